@@ -114,6 +114,12 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mod
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def read_partitioned(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read a partitioned table with its written schema, so partition values keep
+    their type (inference would turn a boolean partition into a string)."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_table(
     df: DataFrame,
     name: str,
