@@ -35,15 +35,26 @@ def join_bounded(
     on: Sequence[str],
     how: str = "left_semi",
     row_limit: int = BROADCAST_ROW_LIMIT,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join with ``small`` broadcast only after its row count is checked.
 
+    ``null_safe=True`` matches NULL keys to NULL keys (``<=>``).
+
     Over the limit, a shuffle join is planned and AQE's skew-join split takes
     care of hot keys on the big side.
     """
     n = small.count()
     side = F.broadcast(small) if n <= row_limit else small
-    return big.join(side, on=list(on), how=how)
+    if not null_safe:
+        return big.join(side, on=list(on), how=how)
+    renamed = side.select(*[F.col(k).alias(f"__r_{k}") for k in on])
+    cond = None
+    for k in on:
+        c = big[k].eqNullSafe(renamed[f"__r_{k}"])
+        cond = c if cond is None else cond & c
+    out = big.join(renamed, on=cond, how=how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"__r_{k}" for k in on])
 
 
 def skip_change_commits(changes: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
@@ -82,9 +93,14 @@ def _diff_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
     values = [c for c in old.columns if c not in keys]
     if sorted(values) != sorted(c for c in new.columns if c not in keys):
         raise ValueError("both versions need the same columns")
-    o = old.select(*keys, F.struct(*[F.col(c) for c in old.columns]).alias("__o"))
-    n = new.select(*keys, F.struct(*[F.col(c) for c in old.columns]).alias("__n"))
-    j = o.join(n, on=list(keys), how="full_outer")
+    o = old.select(*[F.col(k).alias(f"__ok_{k}") for k in keys], F.struct(*[F.col(c) for c in old.columns]).alias("__o"))
+    n = new.select(*[F.col(k).alias(f"__nk_{k}") for k in keys], F.struct(*[F.col(c) for c in old.columns]).alias("__n"))
+    # Null-safe key match: a NULL key is one key, like in grouping.
+    cond = None
+    for k in keys:
+        c = F.col(f"__ok_{k}").eqNullSafe(F.col(f"__nk_{k}"))
+        cond = c if cond is None else cond & c
+    j = o.join(n, on=cond, how="full_outer")
     changed = F.col("__o").isNotNull() & F.col("__n").isNotNull() & ~F.col("__o").eqNullSafe(F.col("__n"))
 
     def image(kind: str, cond: Column, side: str) -> Column:

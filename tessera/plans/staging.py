@@ -48,3 +48,33 @@ def raw_line(df: DataFrame) -> Column:
 
 def sql_raw_line() -> str:
     return "concat_ws(',', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in STAFF_COLUMNS) + ")"
+
+
+def write_change_log(
+    spark: SparkSession,
+    changes: DataFrame,
+    path: str,
+    files: int = 6,
+    arrival: str = "in_order",
+) -> T.StructType:
+    """Write a change log as ``files`` Parquet files of whole, contiguous commits.
+
+    Range partitioning on ``_commit_version`` never splits a commit across
+    files, so a file stream with ``maxFilesPerTrigger=1`` sees every commit
+    inside one micro-batch.  ``arrival`` sets file modification times, which
+    is the order the stream picks files up: ``in_order``, ``reversed``
+    (newest commits first) or ``interleaved`` (even files, then odd ones).
+    Returns the schema to stream the directory with.
+    """
+    changes.repartitionByRange(files, "_commit_version").write.mode("overwrite").parquet(path)
+    names = sorted(n for n, d, _, _ in fs_list(spark, path) if not d and n.endswith(".parquet"))
+    if arrival == "reversed":
+        order = list(reversed(names))
+    elif arrival == "interleaved":
+        order = names[0::2] + names[1::2]
+    else:
+        order = names
+    t0 = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    for i, n in enumerate(order):
+        fs_set_mtime(spark, f"{path}/{n}", t0 + i * 60_000)
+    return changes.schema

@@ -1,0 +1,188 @@
+"""SCD tables maintained by micro-batches on plain Parquet (CDC-1..4 streaming, STR-4/5).
+
+A :class:`ChangeLogTable` is merge-on-read:
+
+* every micro-batch writes its staged change rows (value columns + sequence,
+  delete flag and tie hash) to ``log/batch_id=<id>`` with *overwrite* — a
+  retried batch rewrites its own directory, so a replay never duplicates;
+* the SCD1 view is ``scd1_state`` folded over the log, the SCD2 view is the
+  history over the log.  Both are order-free folds, so late and out-of-order
+  batches give the same table as one batch run over everything;
+* ``compact()`` folds the SCD1 log up to a batch into ``base/v=<id>`` (the
+  fold is associative and idempotent), so reads stay proportional to recent
+  batches;
+* with ``emit_changes`` a batch also writes this table's own change feed
+  (insert / update pre+post images / delete) to
+  ``changes/_commit_version=<id>``; the next hop streams that directory.
+  Only the batch's keys are looked up in the older state (a semi-join whose
+  key side is broadcast only after its size is checked).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.operators.changes import COMMIT_TIMESTAMP, COMMIT_VERSION, change_feed, join_bounded
+from tessera.operators.scd import HELPERS, scd1_state, scd1_view, scd2_versions, with_change_helpers
+from tessera.session import fs_exists, fs_list, fs_read_text, fs_write_text
+
+
+class ChangeLogTable:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str],
+        sequence_by,
+        apply_as_deletes: str | Column | None = "_change_type = 'delete'",
+        except_columns: Sequence[str] = (),
+    ):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.keys = list(keys)
+        self.sequence_by = sequence_by
+        self.apply_as_deletes = apply_as_deletes
+        self.except_columns = list(except_columns)
+
+    # -------------------------------------------------------------- layout
+    @property
+    def log_path(self) -> str:
+        return f"{self.path}/log"
+
+    @property
+    def changes_path(self) -> str:
+        return f"{self.path}/changes"
+
+    @property
+    def base_path(self) -> str:
+        return f"{self.path}/base"
+
+    def _base_version(self) -> int | None:
+        v = fs_read_text(self.spark, f"{self.base_path}/_CURRENT")
+        return int(v) if v else None
+
+    def _batches(self) -> list[int]:
+        return sorted(
+            int(n.split("=", 1)[1])
+            for n, is_dir, _, _ in fs_list(self.spark, self.log_path)
+            if is_dir and n.startswith("batch_id=") and fs_exists(self.spark, f"{self.log_path}/{n}/_SUCCESS")
+        )
+
+    # -------------------------------------------------------------- reads
+    def staged_rows(self, before: int | None = None, after: int | None = None) -> DataFrame | None:
+        """Log rows of committed batches in (after, before); None when there are none."""
+        ids = [b for b in self._batches() if (before is None or b < before) and (after is None or b > after)]
+        if not ids:
+            return None
+        paths = [f"{self.log_path}/batch_id={b}" for b in ids]
+        return self.spark.read.option("basePath", self.log_path).parquet(*paths).drop("batch_id")
+
+    def state(self, before: int | None = None, only_keys: DataFrame | None = None) -> DataFrame | None:
+        """SCD1 state (tombstones kept) from the base snapshot and later log batches.
+
+        ``only_keys`` restricts the rows *before* they are folded (null-safe
+        semi-join), so a micro-batch touching few keys reads, but does not
+        aggregate, the rest of the log.
+        """
+        base_v = self._base_version()
+        if base_v is not None and before is not None and base_v >= before:
+            base_v = None  # a replay of an old batch: ignore the newer snapshot
+        parts = []
+        if base_v is not None:
+            parts.append(self.spark.read.parquet(f"{self.base_path}/v={base_v}"))
+        tail = self.staged_rows(before=before, after=base_v)
+        if tail is not None:
+            parts.append(tail)
+        if not parts:
+            return None
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+        if only_keys is not None:
+            rows = join_bounded(rows, only_keys, self.keys, "left_semi", null_safe=True)
+        return scd1_state(rows, self.keys)
+
+    def scd1(self) -> DataFrame:
+        st = self.state()
+        if st is None:
+            raise FileNotFoundError(f"no committed batch in {self.path}")
+        return scd1_view(st)
+
+    def scd2(self) -> DataFrame:
+        rows = self.staged_rows()
+        if rows is None:
+            raise FileNotFoundError(f"no committed batch in {self.path}")
+        return scd2_versions(rows, self.keys)
+
+    def change_feed(self) -> DataFrame:
+        return self.spark.read.parquet(self.changes_path).withColumn(
+            COMMIT_VERSION, F.col(COMMIT_VERSION).cast("bigint")
+        )
+
+    def change_feed_schema(self, value_schema: T.StructType) -> T.StructType:
+        return T.StructType(
+            [
+                *value_schema.fields,
+                T.StructField("_change_type", T.StringType()),
+                T.StructField(COMMIT_TIMESTAMP, T.TimestampType()),
+                T.StructField(COMMIT_VERSION, T.LongType()),
+            ]
+        )
+
+    # -------------------------------------------------------------- writes
+    def apply(self, changes: DataFrame, batch_id: int, emit_changes: bool = False) -> None:
+        """Fold one micro-batch of change rows in; idempotent per ``batch_id``."""
+        staged = with_change_helpers(changes, self.sequence_by, self.apply_as_deletes, self.except_columns)
+        staged = staged.persist()
+        try:
+            if emit_changes:
+                affected = staged.select(*self.keys).distinct()
+                before = self.state(before=batch_id, only_keys=affected)
+                if before is None:
+                    before = staged.limit(0)
+            staged.write.mode("overwrite").parquet(f"{self.log_path}/batch_id={batch_id}")
+            if emit_changes:
+                after = scd1_state(before.unionByName(staged), self.keys)
+                feed = change_feed(scd1_view(before), scd1_view(after), self.keys, batch_id)
+                feed.drop(COMMIT_VERSION).write.mode("overwrite").parquet(
+                    f"{self.changes_path}/{COMMIT_VERSION}={batch_id}"
+                )
+        finally:
+            staged.unpersist()
+
+    def compact(self) -> int | None:
+        """Fold the whole SCD1 log into a new base snapshot; returns its batch id."""
+        ids = self._batches()
+        if not ids:
+            return None
+        upto = ids[-1]
+        st = self.state(before=upto + 1)
+        st.write.mode("overwrite").parquet(f"{self.base_path}/v={upto}")
+        fs_write_text(self.spark, f"{self.base_path}/_CURRENT", str(upto))
+        return upto
+
+
+def value_schema(changes_schema: T.StructType, except_columns: Sequence[str]) -> T.StructType:
+    skip = set(except_columns) | set(HELPERS)
+    return T.StructType([f for f in changes_schema.fields if f.name not in skip])
+
+
+def apply_stream(
+    stream: DataFrame,
+    table: ChangeLogTable,
+    checkpoint: str,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    emit_changes: bool = False,
+    trigger: str = "availableNow",
+):
+    """Run a change stream into ``table`` through ``foreachBatch`` (SCD1/SCD2 stream form)."""
+    from tessera.sinks.tables import foreach_batch
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        table.apply(transform(batch) if transform else batch, batch_id, emit_changes=emit_changes)
+
+    return foreach_batch(stream, fn, checkpoint, trigger=trigger)
