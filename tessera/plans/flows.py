@@ -115,7 +115,7 @@ def run_ignore(
 ) -> DataFrame:
     """Change log with update/delete commits skipped: layers only ever append."""
     ck = f"{base}/_checkpoints"
-    log = stream_table(spark, log_dir, log_schema, maxFilesPerTrigger=max_files)
+    log = stream_table(spark, log_dir, log_schema, maxFilesPerTrigger=max_files, recursiveFileLookup="true")
 
     def silver(batch: DataFrame, batch_id: int) -> None:
         clean = skip_change_commits(batch).drop(*CDF_COLUMNS)
@@ -159,8 +159,15 @@ def run_propagate(
     keys=("empid",),
     keep=("row_id",),
     max_files: int = 1,
+    hop_max_files: int | None = None,
 ) -> PropagateTables:
-    """Deletes and updates flow from a raw change log to gold SCD2 (CDC-7)."""
+    """Deletes and updates flow from a raw change log to gold SCD2 (CDC-7).
+
+    Call it again as new raw commits arrive: each hop resumes from its
+    checkpoint.  ``max_files`` caps raw files per micro-batch (a file holds
+    whole commits); downstream hops take all new change-feed files of a run
+    in one batch unless ``hop_max_files`` is set.
+    """
     ck = f"{base}/_checkpoints"
     keys = list(keys)
     t = PropagateTables(
@@ -181,7 +188,7 @@ def run_propagate(
         finally:
             enforced.unpersist()
 
-    log = stream_table(spark, log_dir, log_schema, maxFilesPerTrigger=max_files)
+    log = stream_table(spark, log_dir, log_schema, maxFilesPerTrigger=max_files, recursiveFileLookup="true")
     run_to_completion(foreach_batch(log, hop1, f"{ck}/silver"))
 
     # hop 2: silver change feed -> curated gate SCD1; silver-bad feed -> labelled SCD1
@@ -191,12 +198,17 @@ def run_propagate(
     def hop2_bad(batch: DataFrame, batch_id: int) -> None:
         t.curated_bad.apply(Q.label_changes(read_changes(batch)), batch_id)
 
-    run_to_completion(foreach_batch(_changes_stream(spark, t.silver, max_files), hop2, f"{ck}/curated"))
-    run_to_completion(foreach_batch(_changes_stream(spark, t.silver_bad, max_files), hop2_bad, f"{ck}/curated_bad"))
+    if t.silver.has_changes():
+        run_to_completion(foreach_batch(_changes_stream(spark, t.silver, hop_max_files), hop2, f"{ck}/curated"))
+    if t.silver_bad.has_changes():
+        run_to_completion(
+            foreach_batch(_changes_stream(spark, t.silver_bad, hop_max_files), hop2_bad, f"{ck}/curated_bad")
+        )
 
     # hop 3: curated change feed -> derived columns -> gold SCD2 (deletes close versions)
     def hop3(batch: DataFrame, batch_id: int) -> None:
         t.gold.apply(add_derived(read_changes(batch), employee_derivations(as_of)), batch_id)
 
-    run_to_completion(foreach_batch(_changes_stream(spark, t.curated, max_files), hop3, f"{ck}/gold"))
+    if t.curated.has_changes():
+        run_to_completion(foreach_batch(_changes_stream(spark, t.curated, hop_max_files), hop3, f"{ck}/gold"))
     return t

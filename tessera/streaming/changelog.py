@@ -118,6 +118,9 @@ class ChangeLogTable:
             raise FileNotFoundError(f"no committed batch in {self.path}")
         return scd2_versions(rows, self.keys)
 
+    def has_changes(self) -> bool:
+        return fs_exists(self.spark, self.changes_path)
+
     def change_feed(self) -> DataFrame:
         return self.spark.read.parquet(self.changes_path).withColumn(
             COMMIT_VERSION, F.col(COMMIT_VERSION).cast("bigint")

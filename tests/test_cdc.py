@@ -1,0 +1,131 @@
+"""SCD1 / SCD2 / change feed / skip-change-commits: unit cases and properties."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from conftest import MEDIUM, SMALL
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tessera.operators import changes as C
+from tessera.operators.ordered import next_in_key
+from tessera.operators.scd import flatten_sequence, scd1, scd1_state, scd1_view, scd2, scd2_current, with_change_helpers
+from tessera.plans import fixtures as X
+
+SCHEMA = "k string, v string, seq int, _change_type string"
+
+
+def rows(spark, data):
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def test_scd1_latest_sequence_wins_regardless_of_order(spark):
+    data = [("a", "v3", 3, "update_postimage"), ("a", "v1", 1, "insert"), ("a", "v2", 2, "update_postimage")]
+    out = scd1(rows(spark, data), ["k"], "seq").collect()
+    assert [(r["k"], r["v"]) for r in out] == [("a", "v3")]
+
+
+def test_scd1_delete_wins_a_tie_and_tombstone_blocks_late_rows(spark):
+    data = [("a", "v1", 1, "insert"), ("a", "v1", 5, "delete"), ("a", "late", 5, "update_postimage"), ("b", "x", 1, "insert")]
+    out = scd1(rows(spark, data), ["k"], "seq").collect()
+    assert [r["k"] for r in out] == ["b"]
+    # fold the state with an older, late-arriving upsert: the key stays deleted
+    st = scd1_state(with_change_helpers(rows(spark, data), "seq"), ["k"])
+    late = with_change_helpers(rows(spark, [("a", "older", 4, "update_postimage")]), "seq")
+    again = scd1_view(scd1_state(st.unionByName(late), ["k"])).collect()
+    assert [r["k"] for r in again] == ["b"]
+
+
+def test_scd1_fold_is_associative(spark):
+    ch = C.read_changes(X.changes(spark, SMALL))
+    staged = with_change_helpers(ch, ["ts", "event_id"], except_columns=C.CDF_COLUMNS)
+    whole = scd1_view(scd1_state(staged, ["user_id"]))
+    a = staged.filter(F.col("event_id") % 3 == 0)
+    b = staged.filter(F.col("event_id") % 3 != 0)
+    parts = scd1_view(scd1_state(scd1_state(b, ["user_id"]).unionByName(scd1_state(a, ["user_id"])), ["user_id"]))
+    assert sorted(whole.collect()) == sorted(parts.collect())
+
+
+def test_scd2_versions_and_deletes(spark):
+    data = [("a", "v1", 1, "insert"), ("a", "v2", 3, "update_postimage"), ("a", None, 5, "delete"), ("a", "v3", 7, "insert")]
+    h = flatten_sequence(scd2(rows(spark, data), ["k"], "seq", apply_as_deletes="_change_type = 'delete'"))
+    got = sorted((r["v"], r["__START_AT_seq"], r["__END_AT_seq"]) for r in h.collect())
+    assert got == [("v1", 1, 3), ("v2", 3, 5), ("v3", 7, None)]
+    cur = scd2_current(scd2(rows(spark, data), ["k"], "seq", apply_as_deletes="_change_type = 'delete'")).collect()
+    assert [r["v"] for r in cur] == ["v3"]
+
+
+def test_scd2_delete_in_a_tie_leaves_zero_length_version(spark):
+    data = [("a", "v1", 1, "insert"), ("a", "v1", 1, "delete")]
+    h = flatten_sequence(scd2(rows(spark, data), ["k"], "seq", apply_as_deletes="_change_type = 'delete'")).collect()
+    assert [(r["__START_AT_seq"], r["__END_AT_seq"]) for r in h] == [(1, 1)]
+
+
+def test_scd2_properties_on_events(spark):
+    ch = C.read_changes(X.changes(spark, MEDIUM))
+    h = flatten_sequence(scd2(ch, ["user_id"], ["ts", "event_id"], "_change_type = 'delete'", C.CDF_COLUMNS))
+    assert h.count() == 6005
+    open_per_key = h.filter(F.col("__END_AT_ts").isNull()).groupBy("user_id").count()
+    assert open_per_key.filter("count > 1").count() == 0
+    assert open_per_key.count() == 116
+    # intervals of a key never overlap: each START is >= the previous END
+    w = Window.partitionBy("user_id").orderBy("__START_AT_ts", "__START_AT_event_id")
+    prev_end = F.lag(F.struct("__END_AT_ts", "__END_AT_event_id")).over(w)
+    bad = h.withColumn("p", prev_end).filter(
+        F.col("p").isNotNull() & (F.struct("__START_AT_ts", "__START_AT_event_id") < F.col("p"))
+    )
+    assert bad.count() == 0
+    # SCD1 == SCD2 current, key by key
+    s1 = scd1(ch, ["user_id"], ["ts", "event_id"], except_columns=C.CDF_COLUMNS)
+    cur = scd2_current(scd2(ch, ["user_id"], ["ts", "event_id"], "_change_type = 'delete'", C.CDF_COLUMNS))
+    assert sorted(s1.collect()) == sorted(cur.drop("__START_AT", "__END_AT").collect())
+
+
+@pytest.mark.parametrize("blocks", [1, 3, 16])
+def test_next_in_key_matches_window_with_a_hot_key(spark, blocks):
+    # one key holds most rows; with several blocks it spans several of them
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 37).cast("string")).alias("k"),
+        ((F.col("id") * 7919) % 3001).alias("s"),
+    )
+    got = next_in_key(df, ["k"], ["s"], blocks=blocks).select("k", "s", F.col("__next.s").alias("n"))
+    w = Window.partitionBy("k").orderBy("s")
+    want = df.select("k", "s", F.lead("s").over(w).alias("n"))
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_next_in_key_null_keys_and_nested_order(spark):
+    df = spark.createDataFrame(
+        [(None, dt.datetime(2024, 1, 1), 1), (None, dt.datetime(2024, 1, 2), 2), ("x", None, 3), ("x", dt.datetime(2024, 1, 1), 4)],
+        "k string, ts timestamp_ntz, id int",
+    ).select("k", F.struct("ts", "id").alias("q"))
+    got = {(r["k"], r["q"]["id"], r["__next"]["q"]["id"] if r["__next"] else None) for r in next_in_key(df, ["k"], ["q"], blocks=3).collect()}
+    assert got == {(None, 1, 2), (None, 2, None), ("x", 3, 4), ("x", 4, None)}
+
+
+def test_change_feed_counts(spark):
+    feed = C.change_feed(X.snapshot_old(spark, MEDIUM), X.snapshot_new(spark, MEDIUM), ["k"], 2)
+    counts = {r["_change_type"]: r["count"] for r in feed.groupBy("_change_type").count().collect()}
+    assert counts == {"insert": 100, "delete": 150, "update_preimage": 150, "update_postimage": 150}
+
+
+def test_change_feed_of_identical_versions_is_empty(spark):
+    old = X.snapshot_old(spark, SMALL)
+    assert C.change_feed(old, old, ["k"], 1).count() == 0
+
+
+def test_skip_change_commits(spark):
+    kept = C.skip_change_commits(X.changes(spark, MEDIUM))
+    assert kept.count() == 422
+    assert kept.filter("_change_type <> 'insert'").count() == 0
+
+
+def test_strict_append_raises_on_change(spark):
+    from pyspark.errors import PySparkException
+
+    ok = C.assert_append_only(C.skip_change_commits(X.changes(spark, SMALL)))
+    assert ok.count() > 0
+    with pytest.raises(PySparkException):
+        C.assert_append_only(X.changes(spark, SMALL)).collect()
