@@ -19,7 +19,7 @@ curated AS (SELECT *,
 """
 DIM_SQL = {
     "dept_id": "dept_id",
-    "joining_month": "CAST(date_trunc('month', joining_date) AS VARCHAR)",
+    "joining_month": "CAST(CAST(date_trunc('month', joining_date) AS DATE) AS VARCHAR)",
     "age_bracket": "CASE WHEN age_y < 30 THEN 'Under 30' WHEN age_y < 40 THEN '30-39' WHEN age_y < 50 THEN '40-49' ELSE '50+' END",
     "tenure_bracket": "CASE WHEN tenure_y < 1 THEN 'Less than 1 year' WHEN tenure_y < 3 THEN '1-3 years' "
     "WHEN tenure_y < 5 THEN '3-5 years' ELSE '5+ years' END",
