@@ -41,7 +41,7 @@ def latest_per_key(
     packed = F.struct(*[F.col(c) for c in cols])
     order = F.struct(*[F.col(c) for c in order_desc])
     return df.groupBy(*[F.col(k) for k in keys]).agg(F.max_by(packed, order).alias("__row")).select(
-        *[F.col(f"__row.{c}").alias(c) for c in cols]
+        *[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in cols]
     )
 
 

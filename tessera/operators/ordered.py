@@ -99,40 +99,43 @@ def _null_safe_equal(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return out
 
 
-def next_in_key(
+def with_blocks(
     df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    out_col: str = "__next",
+    cols: Sequence[str],
     blocks: int | None = None,
     sample_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``out_col`` = struct(order...) of the following row within the same key.
-
-    ``order`` columns are compared ascending, NULL first (Spark's struct order).
-    Rows should be unique on (keys, order).  ``sample_from`` (default ``df``)
-    is where bounds are sampled: pass a cheaper frame with the same key
-    distribution (e.g. the input before a dedup aggregate).
-    """
-    spark = df.sparkSession
-    nblocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = [*keys, *order]
+    """Add ``__blk``: the block of struct(cols) under bounds sampled from ``sample_from``."""
+    nblocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     src = sample_from if sample_from is not None else df
     bound_vals = sample_bounds(src.select(*cols), cols, nblocks)
     whole = F.struct(*[F.col(c) for c in cols])
-    if bound_vals:
-        dtype = df.select(whole.alias("w")).schema["w"].dataType
-        blocked = df.withColumn("__blk", block_of(whole, [_literal(v, dtype) for v in bound_vals]))
-    else:
-        blocked = df.withColumn("__blk", F.lit(0))
+    if not bound_vals:
+        return df.withColumn("__blk", F.lit(0))
+    dtype = df.select(whole.alias("w")).schema["w"].dataType
+    return df.withColumn("__blk", block_of(whole, [_literal(v, dtype) for v in bound_vals]))
+
 
-    # (2) lead inside each (block, key) group
+def lead_in_blocks(
+    blocked: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    out_col: str = "__next",
+    heads_from: DataFrame | None = None,
+) -> DataFrame:
+    """Steps (2) and (3) on a frame that already has ``__blk``.
+
+    ``heads_from`` (default ``blocked``) is any frame with ``__blk`` holding
+    the same set of (keys, order) values — e.g. the rows before a dedup — so
+    the per-block minimum does not recompute an expensive upstream.
+    """
+    whole = F.struct(*[F.col(c) for c in [*keys, *order]])
     w = Window.partitionBy("__blk", *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     order_struct = F.struct(*[F.col(c) for c in order])
     inner = blocked.withColumn(out_col, F.lead(order_struct).over(w))
 
-    # (3) first row of every non-empty block and the first row of the next one
-    heads = blocked.groupBy("__blk").agg(F.min(whole).alias("__head"))
+    src = heads_from if heads_from is not None else blocked
+    heads = src.groupBy("__blk").agg(F.min(whole).alias("__head"))
     heads = heads.select("__blk", F.lead("__head").over(Window.orderBy("__blk")).alias("__next_head"))
     joined = inner.join(F.broadcast(heads), on="__blk", how="left")  # <= B rows
     same_key = _null_safe_equal([F.col(f"__next_head.{k}") for k in keys], [F.col(k) for k in keys])
@@ -141,3 +144,22 @@ def next_in_key(
         F.struct(*[F.col(f"__next_head.{c}").alias(c) for c in order]),
     )
     return joined.withColumn(out_col, F.coalesce(F.col(out_col), carry)).drop("__blk", "__next_head")
+
+
+def next_in_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    out_col: str = "__next",
+    blocks: int | None = None,
+    sample_from: DataFrame | None = None,
+) -> DataFrame:
+    """Add ``out_col`` = struct(order...) of the following row within the same key.
+
+    ``order`` columns are compared ascending, NULL first (Spark's struct order).
+    Rows should be unique on (keys, order).  ``sample_from`` (default ``df``)
+    is where bounds are sampled: pass a cheaper frame with the same key
+    distribution (e.g. the input before a dedup aggregate).
+    """
+    blocked = with_blocks(df, [*keys, *order], blocks, sample_from)
+    return lead_in_blocks(blocked, keys, order, out_col)

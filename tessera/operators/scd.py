@@ -9,8 +9,8 @@ decides, never arrival order) and deterministic on ties:
   retried batch is harmless.  The aggregate runs partial-then-final, so a hot
   key is reduced map-side before the shuffle.
 * **SCD2** orders each key's changes and closes every version with the
-  sequence of the next change (``operators.ordered.next_in_key``, which
-  splits hot keys across range partitions).
+  sequence of the next change (``operators.ordered``: hot keys are split
+  into value-range blocks, one shuffle serves dedup and window).
 
 A delete wins a sequence tie (at silver a delete carries the same sequence
 as the row it removes).  Tombstones stay in SCD1 *state* so that a late,
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.rules import as_column
-from tessera.operators.ordered import next_in_key
+from tessera.operators.ordered import lead_in_blocks, with_blocks
 
 SEQ = "__seq"
 IS_DELETE = "__is_delete"
@@ -72,7 +72,7 @@ def scd1_state(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     packed = F.struct(*[F.col(c) for c in cols])
     order = F.struct(F.col(SEQ), F.col(IS_DELETE), F.col(TIE))
     return staged.groupBy(*[F.col(k) for k in keys]).agg(F.max_by(packed, order).alias("__row")).select(
-        *[F.col(f"__row.{c}").alias(c) for c in cols]
+        *[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in cols]
     )
 
 
@@ -117,14 +117,21 @@ def scd2_versions(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     (key, sequence, kind) rows collapse to one, chosen by the tie hash.
     """
     cols = list(staged.columns)
+    # Block every staged row once (a pure function of its values), then one
+    # shuffle on (block, key) serves both the dedup aggregate and the window.
+    blocked = with_blocks(staged, [*keys, SEQ, IS_DELETE], sample_from=staged)
+    grouped = {*keys, SEQ, IS_DELETE}
     dedup = (
-        staged.groupBy(*[F.col(k) for k in keys], F.col(SEQ), F.col(IS_DELETE))
+        blocked.repartition("__blk", *keys)
+        .groupBy("__blk", *[F.col(k) for k in keys], F.col(SEQ), F.col(IS_DELETE))
         .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(TIE)).alias("__row"))
-        .select(*[F.col(f"__row.{c}").alias(c) for c in cols])
+        # grouping columns straight from the group keys keep the (block, key)
+        # partitioning visible, so the window below needs no new exchange
+        .select("__blk", *[F.col(c) if c in grouped else F.col(f"__row.{c}").alias(c) for c in cols])
     )
-    # Bounds are sampled from the staged rows (a scan + projection) rather
-    # than from the dedup aggregate, which would otherwise be computed twice.
-    ordered = next_in_key(dedup, keys, [SEQ, IS_DELETE], out_col="__next", sample_from=staged)
+    # Dedup drops no (key, sequence, kind) value, so block heads come from the
+    # staged rows: a partial aggregate over the scan, not a second dedup.
+    ordered = lead_in_blocks(dedup, keys, [SEQ, IS_DELETE], out_col="__next", heads_from=blocked)
     return (
         ordered.filter(~F.col(IS_DELETE))
         .withColumn("__START_AT", F.col(SEQ))
