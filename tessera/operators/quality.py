@@ -123,9 +123,25 @@ def pass_deletes(pred: Column | str, change_col: str = CHANGE_TYPE) -> Column:
     return (F.col(change_col) == F.lit("delete")) | as_column(pred)
 
 
-def split_enforced_changes(df: DataFrame, bad_col: str = "_is_bad", rescue_col: str = "_rescue_data"):
-    """(good, bad) change rows after enforcement; deletes go to both (FLT-3)."""
-    good = df.filter(pass_deletes(~F.col(bad_col))).drop(bad_col, rescue_col)
+def retract(df: DataFrame, failing: Column, change_col: str = CHANGE_TYPE) -> DataFrame:
+    """Turn failing upserts into deletes, so a row that goes bad leaves its target."""
+    ct = F.col(change_col)
+    return df.withColumn(change_col, F.when(failing & (ct != F.lit("delete")), F.lit("delete")).otherwise(ct))
+
+
+def split_enforced_changes(
+    df: DataFrame, bad_col: str = "_is_bad", rescue_col: str = "_rescue_data", retract_on_fail: bool = False
+):
+    """(good, bad) change rows after enforcement; deletes go to both (FLT-3).
+
+    By default a failing post-image is simply not sent to the good target,
+    which keeps the key's older good row there (reference behaviour).
+    ``retract_on_fail=True`` sends it to the good target as a delete instead.
+    """
+    if retract_on_fail:
+        good = retract(df, F.col(bad_col)).drop(bad_col, rescue_col)
+    else:
+        good = df.filter(pass_deletes(~F.col(bad_col))).drop(bad_col, rescue_col)
     bad = df.filter(pass_deletes(F.col(bad_col))).drop(bad_col, rescue_col)
     return good, bad
 
@@ -220,8 +236,15 @@ def split_quarantine(df: DataFrame, flag_col: str = "is_quarantined"):
     return df.filter(~F.col(flag_col)), df.filter(F.col(flag_col))
 
 
-def gate_changes(df: DataFrame, rules: Mapping[str, str | Column] = CURATED_DROP_RULES) -> DataFrame:
-    """Change-aware expectation (DQ-6): deletes always pass, upserts must pass every rule."""
+def gate_changes(
+    df: DataFrame, rules: Mapping[str, str | Column] = CURATED_DROP_RULES, retract_on_fail: bool = False
+) -> DataFrame:
+    """Change-aware expectation (DQ-6): deletes always pass, upserts must pass every rule.
+
+    ``retract_on_fail=True`` turns a failing upsert into a delete of its key.
+    """
+    if retract_on_fail:
+        return retract(df, not_true(all_true(rules)))
     return df.filter(pass_deletes(all_true(rules)))
 
 

@@ -145,3 +145,16 @@ def test_null_sorts_last_in_dedup(spark):
     dated = GOOD
     out = latest_per_key(spark.createDataFrame([newer_null, dated], SILVER), ["empid"], ["upd_tmst", "create_tmst"]).collect()
     assert out[0]["upd_tmst"] == d("2024-06-01")
+
+
+def test_retract_on_fail(spark):
+    later_bad = tuple([*GOOD[:3], Decimal("0.00"), *GOOD[4:7], d("2024-09-01")])
+    ch = spark.createDataFrame([("insert", *GOOD), ("update_postimage", *later_bad)], CHANGE_SCHEMA)
+    kept = Q.gate_changes(ch).collect()
+    assert [r["_change_type"] for r in kept] == ["insert"]  # stale good row stays downstream
+    retracted = sorted(r["_change_type"] for r in Q.gate_changes(ch, retract_on_fail=True).collect())
+    assert retracted == ["delete", "insert"]
+    from tessera.operators.scd import scd1
+
+    assert scd1(Q.gate_changes(ch, retract_on_fail=True), ["empid"], ["upd_tmst"]).count() == 0
+    assert scd1(Q.gate_changes(ch), ["empid"], ["upd_tmst"]).count() == 1

@@ -190,3 +190,25 @@ def test_observed_expectations_on_a_stream(spark, tmp):
     staff = X.staff(spark, SMALL)
     assert got["valid_empid"][0] + got["valid_empid"][1] == staff.count()
     assert got["valid_dob"][1] == staff.filter(F.col("dob").isNull()).count()
+
+
+def test_processing_time_trigger_and_sinks(spark, tmp):
+    from tessera.session import fs_write_text
+    from tessera.sinks.tables import start_stream
+    from tessera.sources.files import csv_stream
+
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.StringType())])
+    for i in range(3):
+        fs_write_text(spark, f"{tmp}/in/f{i}.csv", f"id,v\n{i},x{i}\n")
+    src = csv_stream(spark, f"{tmp}/in", schema, max_files=1)
+    q = start_stream(src, f"{tmp}/json", f"{tmp}/ck1", fmt="json", trigger="processingTime", interval="1 second", name="json_sink")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert q.name == "json_sink"
+    assert sorted(r["id"] for r in spark.read.schema(schema).json(f"{tmp}/json").collect()) == ["0", "1", "2"]
+    name = f"t_{abs(hash(tmp)) % 10**8}"
+    q2 = start_stream(csv_stream(spark, f"{tmp}/in", schema), None, f"{tmp}/ck2", table=name)
+    run_to_completion(q2)
+    assert spark.table(name).count() == 3
