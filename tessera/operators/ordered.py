@@ -27,6 +27,9 @@ from pyspark.sql import types as T
 
 SAMPLE_PER_BLOCK = 64  # sampled rows per block when choosing bounds
 MAX_SAMPLE_ROWS = 200_000  # hard cap on what reaches the driver
+ROWS_PER_BLOCK = 4_000_000  # target rows of one (block, key) group at most
+MAX_VALUE_BLOCKS = 1024  # above this, blocks come from a checkpointed range partitioning
+MAX_BLOCKS = 1_000_000
 
 
 def _literal(value, dtype: T.DataType) -> Column:
@@ -56,6 +59,8 @@ def _estimated_rows(df: DataFrame) -> int:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - statistics are optional
         return 1_000_000
+    if size >= 1 << 60:  # the optimizer's "unknown"
+        return 1_000_000
     width = max(8, _width(df.schema))
     return max(1, size // width)
 
@@ -99,6 +104,32 @@ def _null_safe_equal(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return out
 
 
+def blocks_for(df: DataFrame, blocks: int | None = None) -> int:
+    """Block count: at least the shuffle partitions, enough for ~ROWS_PER_BLOCK each."""
+    if blocks:
+        return blocks
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return int(min(MAX_BLOCKS, max(base, -(-_estimated_rows(df) // ROWS_PER_BLOCK))))
+
+
+def checkpoint_blocks(ranged: DataFrame) -> DataFrame:
+    """Add ``__blk`` = partition id of a range-partitioned frame, made stable.
+
+    ``checkpoint()`` writes the partitions to the shared checkpoint folder
+    (reliable, unlike a local checkpoint), so ``spark_partition_id()`` names
+    the same contiguous block in every branch and after any retry.
+    """
+    from tessera.session import shared_dir
+
+    shared_dir(ranged.sparkSession)  # make sure the checkpoint folder is set
+    return ranged.checkpoint(eager=True).withColumn("__blk", F.spark_partition_id())
+
+
+def range_blocks(df: DataFrame, cols: Sequence[str], blocks: int) -> DataFrame:
+    """Blocks from Spark's range partitioner (JVM binary search, any count)."""
+    return checkpoint_blocks(df.repartitionByRange(blocks, *[F.col(c).asc_nulls_first() for c in cols]))
+
+
 def with_blocks(
     df: DataFrame,
     cols: Sequence[str],
@@ -161,5 +192,8 @@ def next_in_key(
     is where bounds are sampled: pass a cheaper frame with the same key
     distribution (e.g. the input before a dedup aggregate).
     """
-    blocked = with_blocks(df, [*keys, *order], blocks, sample_from)
+    nblocks = blocks_for(df, blocks)
+    if nblocks > MAX_VALUE_BLOCKS:
+        return lead_in_blocks(range_blocks(df, [*keys, *order], nblocks), keys, order, out_col)
+    blocked = with_blocks(df, [*keys, *order], nblocks, sample_from)
     return lead_in_blocks(blocked, keys, order, out_col)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.rules import as_column
-from tessera.operators.ordered import lead_in_blocks, with_blocks
+from tessera.operators.ordered import MAX_VALUE_BLOCKS, blocks_for, checkpoint_blocks, lead_in_blocks, with_blocks
 
 SEQ = "__seq"
 IS_DELETE = "__is_delete"
@@ -109,7 +109,7 @@ def gc_tombstones(state: DataFrame, ts_field: str, ttl_seconds: int, now: Column
     return state.filter(~F.col(IS_DELETE) | (ts >= cutoff))
 
 
-def scd2_versions(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+def scd2_versions(staged: DataFrame, keys: Sequence[str], blocks: int | None = None) -> DataFrame:
     """History from staged rows: ``__START_AT`` / ``__END_AT`` (sequence structs).
 
     Every distinct sequence of a key opens a version (an unchanged row still
@@ -117,21 +117,33 @@ def scd2_versions(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     (key, sequence, kind) rows collapse to one, chosen by the tie hash.
     """
     cols = list(staged.columns)
-    # Block every staged row once (a pure function of its values), then one
-    # shuffle on (block, key) serves both the dedup aggregate and the window.
-    blocked = with_blocks(staged, [*keys, SEQ, IS_DELETE], sample_from=staged)
+    order = [*keys, SEQ, IS_DELETE]
     grouped = {*keys, SEQ, IS_DELETE}
-    dedup = (
-        blocked.repartition("__blk", *keys)
-        .groupBy("__blk", *[F.col(k) for k in keys], F.col(SEQ), F.col(IS_DELETE))
-        .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(TIE)).alias("__row"))
-        # grouping columns straight from the group keys keep the (block, key)
-        # partitioning visible, so the window below needs no new exchange
-        .select("__blk", *[F.col(c) if c in grouped else F.col(f"__row.{c}").alias(c) for c in cols])
-    )
-    # Dedup drops no (key, sequence, kind) value, so block heads come from the
-    # staged rows: a partial aggregate over the scan, not a second dedup.
-    ordered = lead_in_blocks(dedup, keys, [SEQ, IS_DELETE], out_col="__next", heads_from=blocked)
+    nblocks = blocks_for(staged, blocks)
+
+    def dedup(frame):
+        return (
+            frame.groupBy("__blk", *[F.col(k) for k in keys], F.col(SEQ), F.col(IS_DELETE))
+            .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(TIE)).alias("__row"))
+            # grouping columns straight from the group keys keep the (block, key)
+            # partitioning visible, so the window needs no new exchange
+            .select("__blk", *[F.col(c) if c in grouped else F.col(f"__row.{c}").alias(c) for c in cols])
+        )
+
+    if nblocks <= MAX_VALUE_BLOCKS:
+        # Block every staged row (a pure function of its values), then one
+        # shuffle on (block, key) serves both the dedup aggregate and the window.
+        blocked = with_blocks(staged, order, nblocks, sample_from=staged)
+        deduped = dedup(blocked.repartition("__blk", *keys))
+        # Dedup drops no (key, sequence, kind) value, so block heads come from
+        # the staged rows: a partial aggregate over the scan, not a second dedup.
+        ordered = lead_in_blocks(deduped, keys, [SEQ, IS_DELETE], out_col="__next", heads_from=blocked)
+    else:
+        # Too many blocks for a bounds expression: range-partition, dedup in
+        # place (equal rows share a range), checkpoint, then lead per block.
+        ranged = staged.repartitionByRange(nblocks, *[F.col(c).asc_nulls_first() for c in order])
+        deduped = dedup(ranged.withColumn("__blk", F.lit(0))).drop("__blk")
+        ordered = lead_in_blocks(checkpoint_blocks(deduped), keys, [SEQ, IS_DELETE], out_col="__next")
     return (
         ordered.filter(~F.col(IS_DELETE))
         .withColumn("__START_AT", F.col(SEQ))
@@ -146,10 +158,15 @@ def scd2(
     sequence_by,
     apply_as_deletes: str | Column | None = None,
     except_columns: Sequence[str] = (),
+    blocks: int | None = None,
 ) -> DataFrame:
-    """Version history per key (CDC-3; with ``apply_as_deletes`` CDC-4)."""
+    """Version history per key (CDC-3; with ``apply_as_deletes`` CDC-4).
+
+    ``blocks`` overrides the number of order blocks (default: sized from the
+    estimated row count, see ``operators.ordered``).
+    """
     staged = with_change_helpers(changes, sequence_by, apply_as_deletes, except_columns)
-    return scd2_versions(staged, keys)
+    return scd2_versions(staged, keys, blocks)
 
 
 def scd2_current(history: DataFrame) -> DataFrame:

@@ -9,8 +9,9 @@ A :class:`ChangeLogTable` is merge-on-read:
   history over the log.  Both are order-free folds, so late and out-of-order
   batches give the same table as one batch run over everything;
 * ``compact()`` folds the SCD1 log up to a batch into ``base/v=<id>`` (the
-  fold is associative and idempotent), so reads stay proportional to recent
-  batches;
+  fold is associative and idempotent); it runs by itself every
+  ``compact_every`` batches, so a batch reads one snapshot plus a bounded
+  number of recent batch directories, not the whole history;
 * with ``emit_changes`` a batch also writes this table's own change feed
   (insert / update pre+post images / delete) to
   ``changes/_commit_version=<id>``; the next hop streams that directory.
@@ -40,7 +41,9 @@ class ChangeLogTable:
         sequence_by,
         apply_as_deletes: str | Column | None = "_change_type = 'delete'",
         except_columns: Sequence[str] = (),
+        compact_every: int | None = 8,
     ):
+        self.compact_every = compact_every
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
@@ -156,6 +159,11 @@ class ChangeLogTable:
                 )
         finally:
             staged.unpersist()
+        if self.compact_every:
+            base_v = self._base_version()
+            pending = [b for b in self._batches() if base_v is None or b > base_v]
+            if len(pending) >= self.compact_every:
+                self.compact()
 
     def compact(self) -> int | None:
         """Fold the whole SCD1 log into a new base snapshot; returns its batch id."""

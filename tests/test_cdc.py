@@ -129,3 +129,17 @@ def test_strict_append_raises_on_change(spark):
     assert ok.count() > 0
     with pytest.raises(PySparkException):
         C.assert_append_only(X.changes(spark, SMALL)).collect()
+
+
+def test_scd2_range_block_path_matches_value_blocks(spark):
+    """Above MAX_VALUE_BLOCKS the history comes from a checkpointed range partitioning."""
+    from tessera.operators import ordered
+
+    ch = C.read_changes(X.changes(spark, SMALL))
+    want = scd2(ch, ["user_id"], ["ts", "event_id"], "_change_type = 'delete'", C.CDF_COLUMNS, blocks=4)
+    got = scd2(ch, ["user_id"], ["ts", "event_id"], "_change_type = 'delete'", C.CDF_COLUMNS, blocks=ordered.MAX_VALUE_BLOCKS + 1)
+    assert sorted(got.collect()) == sorted(want.collect())
+    df = spark.range(0, 2000).select((F.col("id") % 3).alias("k"), ((F.col("id") * 7) % 2003).alias("s"))
+    fast = next_in_key(df, ["k"], ["s"], blocks=5).collect()
+    ranged = next_in_key(df, ["k"], ["s"], blocks=ordered.MAX_VALUE_BLOCKS + 1).collect()
+    assert sorted(fast) == sorted(ranged)
