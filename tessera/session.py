@@ -38,8 +38,12 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; set a local one only if unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        # Only reached where the cluster names no shared folder (tests, a laptop).
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        try:
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:  # noqa: BLE001 - a core setting may be read-only at runtime
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
