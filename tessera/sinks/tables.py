@@ -91,6 +91,19 @@ def foreach_batch(
     return w.start()
 
 
+def foreach_row(stream_df: DataFrame, writer, checkpoint: str, trigger: str = "availableNow") -> StreamingQuery:
+    """Per-row sink (SNK-9): ``writer`` is a function of a row, or an object with
+    ``open(partition_id, epoch_id) -> bool``, ``process(row)`` and ``close(error)``.
+
+    It runs on the executors, one task per partition; use it for side effects
+    (notifications, external calls), not for bulk writes — those belong in a
+    file sink or ``foreach_batch``.
+    """
+    w = stream_df.writeStream.option("checkpointLocation", checkpoint).foreach(writer)
+    w = w.trigger(availableNow=True) if trigger in ("availableNow", "once") else w.trigger(processingTime=trigger)
+    return w.start()
+
+
 # ------------------------------------------------------------------ batch
 def clustered_write(
     df: DataFrame,

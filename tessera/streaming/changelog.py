@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.changes import COMMIT_TIMESTAMP, COMMIT_VERSION, change_feed, join_bounded
-from tessera.operators.scd import HELPERS, scd1_state, scd1_view, scd2_versions, with_change_helpers
+from tessera.operators.scd import HELPERS, gc_tombstones, scd1_state, scd1_view, scd2_versions, with_change_helpers
 from tessera.session import fs_exists, fs_list, fs_read_text, fs_write_text
 
 
@@ -42,8 +42,12 @@ class ChangeLogTable:
         apply_as_deletes: str | Column | None = "_change_type = 'delete'",
         except_columns: Sequence[str] = (),
         compact_every: int | None = 8,
+        tombstone_ttl_seconds: int | None = None,
+        tombstone_ts_field: str | None = None,
     ):
         self.compact_every = compact_every
+        self.tombstone_ttl_seconds = tombstone_ttl_seconds
+        self.tombstone_ts_field = tombstone_ts_field
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
@@ -172,6 +176,10 @@ class ChangeLogTable:
             return None
         upto = ids[-1]
         st = self.state(before=upto + 1)
+        if self.tombstone_ttl_seconds is not None and self.tombstone_ts_field:
+            # tombstone retention (CDC-9): a delete older than the TTL is
+            # forgotten; a still later, older upsert could then come back
+            st = gc_tombstones(st, self.tombstone_ts_field, self.tombstone_ttl_seconds)
         st.write.mode("overwrite").parquet(f"{self.base_path}/v={upto}")
         fs_write_text(self.spark, f"{self.base_path}/_CURRENT", str(upto))
         return upto
