@@ -72,7 +72,10 @@ def sample_bounds(sample_from: DataFrame, cols: Sequence[str], blocks: int) -> l
     want = min(MAX_SAMPLE_ROWS, blocks * SAMPLE_PER_BLOCK)
     fraction = min(1.0, 2.0 * want / _estimated_rows(sample_from))
     key = F.struct(*[F.col(c) for c in cols]).alias("__b")
-    sample = sample_from.select(key).sample(False, fraction, seed=17).limit(want).orderBy("__b").collect()
+    # An oversized sample is cut in random order (a per-task top-k), never by
+    # limit(), which would keep the first partitions' key range.
+    sampled = sample_from.select(key).sample(False, fraction, seed=17)
+    sample = sampled.orderBy(F.rand(seed=17)).limit(want).orderBy("__b").collect()
     if not sample:
         return []
     step = len(sample) / blocks

@@ -190,11 +190,13 @@ def infer_schema(
     hints: str | None = None,
     sampling_ratio: float = 1.0,
     schema_location: str | None = None,
+    max_files: int = 1000,
     **options,
 ) -> T.StructType:
     """Inferred schema with type hints laid over it (SRC-9).
 
-    Inference runs once on a sample (``samplingRatio``); the result is kept as
+    Inference runs once, on at most ``max_files`` files and a ``samplingRatio``
+    share of their rows; the result is kept as
     JSON at ``schema_location`` so a restarted stream reuses the same schema.
     Hinted columns missing from the data are appended.
     """
@@ -207,7 +209,10 @@ def infer_schema(
         reader = reader.option("header", "true").option("inferSchema", "true")
     for k, v in options.items():
         reader = reader.option(k, str(v))
-    inferred = reader.load(path).schema
+    # Infer from a bounded set of files (the listing is needed for any read);
+    # the data itself is later read with the resulting schema.
+    files = sorted(spark.read.format("text" if fmt == "csv" else fmt).options(**{k: str(v) for k, v in options.items()}).load(path).inputFiles())
+    inferred = reader.load(files[:max_files] if files else path).schema
     if hints:
         hinted = T._parse_datatype_string(hints)
         by_name = {f.name: f for f in hinted.fields}
