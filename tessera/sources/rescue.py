@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.changes import join_bounded
+from tessera.operators.changes import BROADCAST_ROW_LIMIT
 from tessera.session import fs_read_text, fs_write_text
 
 RESCUE_COL = "_rescued_data"
@@ -115,10 +115,21 @@ def parse_csv_by_header(
     # Widest header (one row per file) decides the split width: exact, no cap.
     # Quoted header names are rare; a plain split of the header line is enough
     # to count and name columns, the data lines get a full CSV parse.
-    headers = header_lines.select(
-        "__file", F.transform(F.split("value", _regex_escape(sep)), lambda x: F.trim(F.regexp_replace(x, '^"|"$', ""))).alias("__hdr")
-    ).dropDuplicates(["__file"])
-    stats = headers.agg(F.max(F.size("__hdr")).alias("w"), F.collect_set(F.col("__hdr")).alias("names")).first()
+    # One row per file; persisted so the size check and the join reuse the
+    # single header-detection pass instead of rescanning the text.
+    headers = (
+        header_lines.select(
+            "__file",
+            F.transform(F.split("value", _regex_escape(sep)), lambda x: F.trim(F.regexp_replace(x, '^"|"$', ""))).alias(
+                "__hdr"
+            ),
+        )
+        .dropDuplicates(["__file"])
+        .persist()
+    )
+    stats = headers.agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("__hdr")).alias("w"), F.collect_set(F.col("__hdr")).alias("names")
+    ).first()
     if stats is None or stats["w"] is None:
         return lines.limit(0).select("value", "__file", F.lit(None).cast("map<string,string>").alias("__map")), []
     width = int(stats["w"]) + 1
@@ -128,7 +139,8 @@ def parse_csv_by_header(
             if n not in all_names:
                 all_names.append(n)
     data = lines.filter(~is_header & (F.length("value") > 0))
-    joined = join_bounded(data, headers, ["__file"], how="inner")
+    side = F.broadcast(headers) if stats["n"] <= BROADCAST_ROW_LIMIT else headers
+    joined = data.join(side, on="__file", how="inner")
     toks = _split(F.col("value"), width, sep, quote, escape)
     tok_arr = F.array(*[toks[f"c{i}"] for i in range(width)])
     # Token count = separators outside quoted fields + 1 (an empty field and a
