@@ -290,3 +290,13 @@ def src_batch_scan(spark, sf):
     base = scratch_path(spark, "src_scan")
     _raw(spark, sf).write.parquet(f"{base}/t")
     return comparable(SF.read_current(spark, f"{base}/t"))
+
+
+@register("src_rescued_csv_stream", RESCUE_SQL)
+def src_rescued_csv_stream(spark, sf):
+    """The same rescue as a file stream, one or more whole files per micro-batch (SRC-1, SRC-8)."""
+    base = scratch_path(spark, "src_rescue_stream")
+    _two_header_files(spark, sf, base)
+    q = R.rescue_csv_stream(spark, f"{base}/in", S.STAFF_FILE_SCHEMA, f"{base}/out", f"{base}/ck", recursive=True, max_files=1)
+    run_to_completion(q)
+    return comparable(spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/out"))

@@ -273,3 +273,52 @@ def read_csv_evolving(
             fs_write_text(spark, f"{schema_location}/schema.json", schema.json())
     rescue = rescue_col if mode == "rescue" else None
     return rescue_csv(parsed, schema, rescue, None), schema
+
+
+# ------------------------------------------------------------------ stream
+def csv_lines_stream(
+    spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False, max_files: int | None = None
+) -> DataFrame:
+    """Streaming text lines of CSV files with their path (BOM stripped)."""
+    r = spark.readStream.format("text")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", str(max_files))
+    t = r.load(path)
+    return t.select(F.regexp_replace("value", "^\ufeff", "").alias("value"), F.col("_metadata.file_path").alias("__file"))
+
+
+def rescue_csv_stream(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    out_path: str,
+    checkpoint: str,
+    rescue_col: str | None = RESCUE_COL,
+    corrupt_col: str | None = CORRUPT_COL,
+    glob: str | None = None,
+    recursive: bool = False,
+    max_files: int | None = None,
+    sep: str = ",",
+):
+    """Raw ingest with rescued data as a stream (SRC-1 + SRC-8).
+
+    A file source never splits a file across micro-batches, so each batch
+    holds whole files, headers included; every batch is parsed by header
+    name and written to its own ``batch_id=`` directory (overwrite: a replayed
+    batch rewrites, never duplicates).
+    """
+    from tessera.sinks.tables import foreach_batch
+
+    lines = csv_lines_stream(spark, path, glob, recursive, max_files)
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        parsed, _ = parse_csv_by_header(batch, schema.fields[0].name, sep)
+        rescue_csv(parsed, schema, rescue_col, corrupt_col).write.mode("overwrite").parquet(
+            f"{out_path}/batch_id={batch_id}"
+        )
+
+    return foreach_batch(lines, fn, checkpoint)

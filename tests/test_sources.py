@@ -25,7 +25,7 @@ SCHEMA = T.StructType(
 @pytest.fixture()
 def csv_dir(spark, tmp):
     # file 1: BOM + declared header, a quoted comma
-    fs_write_text(spark, f"{tmp}/a.csv", "﻿id,name,amount,day\n1,Ann,10.50,1/2/2024\n2,\"Lee, Bo\",20.00,1/3/2024\n")
+    fs_write_text(spark, f"{tmp}/a.csv", "\ufeffid,name,amount,day\n1,Ann,10.50,1/2/2024\n2,\"Lee, Bo\",20.00,1/3/2024\n")
     # file 2: two unknown columns, one short row, one non-numeric amount
     fs_write_text(
         spark,
