@@ -9,8 +9,9 @@ Spark job from files to files.
 * :func:`run_ignore`    — the same on a change log whose update/delete
   commits are skipped (``skipChangeCommits``): layers keep old rows.
 * :func:`run_propagate` — change propagation: raw change log -> silver SCD1
-  (+ bad) -> curated SCD1 gate (+ labelled bad) -> gold SCD2, every hop
-  reading the previous table's change feed.
+  (+ bad) -> curated SCD1 gate (+ labelled bad) -> gold SCD2, and the
+  quarantine branch silver -> tagged staging SCD1 -> manual curated / bad
+  SCD1; every hop reads the previous table's change feed.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from tessera.streaming.changelog import ChangeLogTable
 SILVER_SEQUENCE = ["upd_tmst", "create_tmst"]
 CURATED_SEQUENCE = ["_commit_version", "_commit_timestamp"]
 GOLD_SEQUENCE = ["upd_tmst", "create_tmst", "_commit_version"]
+QUARANTINE_COLUMNS = ["quarantine_reason", "is_quarantined"]
 
 
 def _enforce(df: DataFrame, schema: T.StructType, keep) -> DataFrame:
@@ -140,6 +142,9 @@ class PropagateTables:
     curated: ChangeLogTable
     curated_bad: ChangeLogTable
     gold: ChangeLogTable
+    staging: ChangeLogTable  # quarantine staging: tagged silver rows (DQ-8)
+    manual_curated: ChangeLogTable
+    manual_bad: ChangeLogTable
 
 
 def _changes_stream(spark: SparkSession, table: ChangeLogTable, max_files: int | None) -> DataFrame:
@@ -160,6 +165,7 @@ def run_propagate(
     keep=("row_id",),
     max_files: int = 1,
     hop_max_files: int | None = None,
+    quarantine: bool = True,
 ) -> PropagateTables:
     """Deletes and updates flow from a raw change log to gold SCD2 (CDC-7).
 
@@ -176,6 +182,13 @@ def run_propagate(
         curated=ChangeLogTable(spark, f"{base}/curated", keys, CURATED_SEQUENCE, except_columns=CDF_COLUMNS),
         curated_bad=ChangeLogTable(spark, f"{base}/curated_bad", keys, CURATED_SEQUENCE, except_columns=CDF_COLUMNS),
         gold=ChangeLogTable(spark, f"{base}/gold", keys, GOLD_SEQUENCE, except_columns=CDF_COLUMNS),
+        staging=ChangeLogTable(spark, f"{base}/staging", keys, CURATED_SEQUENCE, except_columns=CDF_COLUMNS),
+        manual_curated=ChangeLogTable(
+            spark, f"{base}/manual_curated", keys, CURATED_SEQUENCE, except_columns=[*CDF_COLUMNS, *QUARANTINE_COLUMNS]
+        ),
+        manual_bad=ChangeLogTable(
+            spark, f"{base}/manual_bad", keys, CURATED_SEQUENCE, except_columns=[*CDF_COLUMNS, *QUARANTINE_COLUMNS]
+        ),
     )
 
     # hop 1: raw change feed -> enforce -> silver SCD1 and silver-bad SCD1 (deletes reach both)
@@ -205,6 +218,27 @@ def run_propagate(
             foreach_batch(_changes_stream(spark, t.silver_bad, hop_max_files), hop2_bad, f"{ck}/curated_bad")
         )
 
+    # hop 2b (DQ-8): silver change feed -> tagged staging SCD1 -> its change feed
+    # split with delete pass-through -> manual curated / manual bad SCD1
+    def hop2_staging(batch: DataFrame, batch_id: int) -> None:
+        t.staging.apply(Q.tag_violations(read_changes(batch)), batch_id, emit_changes=True)
+
+    def hop2_split(batch: DataFrame, batch_id: int) -> None:
+        ch = read_changes(batch).persist()
+        try:
+            reason_len = F.length("quarantine_reason")
+            t.manual_curated.apply(ch.filter(Q.pass_deletes(reason_len == 0)), batch_id)
+            t.manual_bad.apply(ch.filter(Q.pass_deletes(reason_len > 0)), batch_id)
+        finally:
+            ch.unpersist()
+
+    if quarantine and t.silver.has_changes():
+        run_to_completion(foreach_batch(_changes_stream(spark, t.silver, hop_max_files), hop2_staging, f"{ck}/staging"))
+        if t.staging.has_changes():
+            run_to_completion(
+                foreach_batch(_changes_stream(spark, t.staging, hop_max_files), hop2_split, f"{ck}/manual")
+            )
+
     # hop 3: curated change feed -> derived columns -> gold SCD2 (deletes close versions)
     def hop3(batch: DataFrame, batch_id: int) -> None:
         t.gold.apply(add_derived(read_changes(batch), employee_derivations(as_of)), batch_id)

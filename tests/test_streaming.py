@@ -181,6 +181,14 @@ def test_propagate_matches_replay(spark, tmp):
     assert {r["empid"] for r in t.silver_bad.scd1().collect()} == {"E3"}
     gold_cols = t.gold.scd2().columns
     assert {"age", "tenure_years", "salary_band"} <= set(gold_cols)
+    # quarantine branch: rows that changed side leave a stale row behind
+    manual = {r["empid"] for r in t.manual_curated.scd1().collect()}
+    manual_bad = {r["empid"] for r in t.manual_bad.scd1().collect()}
+    assert manual == {"E1", "E2", "E4", "E6"}
+    assert manual_bad == {"E1", "E4", "E7"}
+    staged = {r["empid"]: r["quarantine_reason"] for r in t.staging.scd1().collect()}
+    assert staged["E1"] == "valid_salary" and staged["E4"] == "" and staged["E7"] == "valid_dob"
+    assert "quarantine_reason" not in t.manual_curated.scd1().columns
 
 
 def test_observed_expectations_on_a_stream(spark, tmp):
