@@ -105,17 +105,36 @@ def foreach_row(stream_df: DataFrame, writer, checkpoint: str, trigger: str = "a
 
 
 # ------------------------------------------------------------------ batch
+# Target file sizes of the layers (fixed values of the reference's tables).
+TARGET_FILE_BYTES = {"raw": 1 << 30, "silver": 1 << 30, "curated": 1 << 30, "gold": 256 << 20}
+
+
+def partitions_for_size(df: DataFrame, target_bytes: int) -> int | None:
+    """Output partitions so files come out near ``target_bytes`` (None when unknown)."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - statistics are optional
+        return None
+    if size >= 1 << 60:  # the optimizer's "unknown"
+        return None
+    return max(1, -(-size // int(target_bytes)))
+
+
 def clustered_write(
     df: DataFrame,
     cols: Sequence[str],
     path: str,
     mode: str = "overwrite",
     max_records_per_file: int | None = None,
+    target_file_bytes: int | None = TARGET_FILE_BYTES["silver"],
 ) -> None:
     """Clustered layout (SNK-5): range-partition and sort by ``cols`` so each
     file covers a narrow key range and Parquet min/max statistics skip files
-    and row groups for filters on those columns."""
-    out = df.repartitionByRange(*[F.col(c) for c in cols]).sortWithinPartitions(*cols)
+    and row groups for filters on those columns.  The range count comes from
+    the plan's size estimate and ``target_file_bytes`` (one file per range)."""
+    n = partitions_for_size(df, target_file_bytes) if target_file_bytes else None
+    ranged = df.repartitionByRange(n, *[F.col(c) for c in cols]) if n else df.repartitionByRange(*[F.col(c) for c in cols])
+    out = ranged.sortWithinPartitions(*cols)
     w = out.write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
