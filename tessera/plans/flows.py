@@ -27,6 +27,7 @@ from tessera.operators.changes import CDF_COLUMNS, COMMIT_VERSION, read_changes,
 from tessera.operators.derive import add_derived, employee_derivations, gold_summary
 from tessera.sinks.tables import append_table, foreach_batch, refresh_view, run_to_completion
 from tessera.sources.files import csv_stream, stream_table
+from tessera.session import fs_exists
 from tessera.streaming.changelog import ChangeLogTable
 
 SILVER_SEQUENCE = ["upd_tmst", "create_tmst"]
@@ -77,6 +78,8 @@ def run_primary(
         finally:
             enforced.unpersist()
 
+    if not fs_exists(spark, f"{base}/raw"):
+        raise FileNotFoundError(f"no input files under {raw_dir}")
     run_to_completion(foreach_batch(_stream_dir(spark, f"{base}/raw"), silver, f"{ck}/silver"))
 
     # hop 3: silver -> curated (drop rules) and its quarantine complement
@@ -125,6 +128,8 @@ def run_ignore(
         good.write.mode("overwrite").parquet(f"{base}/silver/batch_id={batch_id}")
 
     run_to_completion(foreach_batch(log, silver, f"{ck}/silver"))
+    if not fs_exists(spark, f"{base}/silver"):
+        raise FileNotFoundError(f"no change log files under {log_dir}")
     cur = Q.expect_or_drop(_stream_dir(spark, f"{base}/silver"), Q.CURATED_DROP_RULES)
     run_to_completion(append_table(cur, f"{base}/curated", f"{ck}/curated"))
 
