@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHANGE_TYPE = "_change_type"
 COMMIT_VERSION = "_commit_version"
@@ -93,15 +94,29 @@ def _diff_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
     values = [c for c in old.columns if c not in keys]
     if sorted(values) != sorted(c for c in new.columns if c not in keys):
         raise ValueError("both versions need the same columns")
-    o = old.select(*[F.col(k).alias(f"__ok_{k}") for k in keys], F.struct(*[F.col(c) for c in old.columns]).alias("__o"))
-    n = new.select(*[F.col(k).alias(f"__nk_{k}") for k in keys], F.struct(*[F.col(c) for c in old.columns]).alias("__n"))
+    def comparable(df: DataFrame) -> Column:
+        # maps cannot be compared; their JSON text stands in for the equality test
+        return F.struct(
+            *[F.to_json(F.col(c)) if isinstance(df.schema[c].dataType, T.MapType) else F.col(c) for c in old.columns]
+        )
+
+    o = old.select(
+        *[F.col(k).alias(f"__ok_{k}") for k in keys],
+        F.struct(*[F.col(c) for c in old.columns]).alias("__o"),
+        comparable(old).alias("__oc"),
+    )
+    n = new.select(
+        *[F.col(k).alias(f"__nk_{k}") for k in keys],
+        F.struct(*[F.col(c) for c in old.columns]).alias("__n"),
+        comparable(new).alias("__nc"),
+    )
     # Null-safe key match: a NULL key is one key, like in grouping.
     cond = None
     for k in keys:
         c = F.col(f"__ok_{k}").eqNullSafe(F.col(f"__nk_{k}"))
         cond = c if cond is None else cond & c
     j = o.join(n, on=cond, how="full_outer")
-    changed = F.col("__o").isNotNull() & F.col("__n").isNotNull() & ~F.col("__o").eqNullSafe(F.col("__n"))
+    changed = F.col("__o").isNotNull() & F.col("__n").isNotNull() & ~F.col("__oc").eqNullSafe(F.col("__nc"))
 
     def image(kind: str, cond: Column, side: str) -> Column:
         return F.when(cond, F.struct(F.lit(kind).alias(CHANGE_TYPE), F.col(side).alias("__r")))

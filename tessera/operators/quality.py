@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, StringType, StructType, TimestampNTZType, TimestampType
 
 from tessera.functions.rules import all_true, as_column, not_true, rule_labels
 
@@ -53,8 +53,9 @@ EMPLOYEE_DATE_FORMATS = {
 
 
 # ------------------------------------------------------------ enforcement
-def _typed(src: Column, field, date_formats: Mapping[str, str]) -> Column:
-    fmt = date_formats.get(field.name)
+def _typed(src: Column, field, date_formats: Mapping[str, str], src_type=None) -> Column:
+    # a pattern applies to text only; an already typed source is just cast
+    fmt = date_formats.get(field.name) if src_type is None or isinstance(src_type, StringType) else None
     if fmt is not None and isinstance(field.dataType, DateType):
         return F.try_to_date(src, fmt)
     if fmt is not None and isinstance(field.dataType, (TimestampType, TimestampNTZType)):
@@ -88,7 +89,7 @@ def enforce_schema(
     staged = df.select(
         *[F.col(k) for k in keep],
         *[F.col(f.name).alias(s) for f, s in zip(schema.fields, src_names)],
-        *[_typed(F.col(f.name), f, date_formats).alias(f.name) for f in schema.fields],
+        *[_typed(F.col(f.name), f, date_formats, df.schema[f.name].dataType).alias(f.name) for f in schema.fields],
     )
     failed = []
     for f, s in zip(schema.fields, src_names):

@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.rules import as_column
 from tessera.operators.ordered import MAX_VALUE_BLOCKS, blocks_for, checkpoint_blocks, lead_in_blocks, with_blocks
@@ -59,7 +60,9 @@ def with_change_helpers(
     is_delete = F.coalesce(as_column(apply_as_deletes), F.lit(False)) if apply_as_deletes is not None else F.lit(False)
     staged = changes.withColumn(SEQ, _seq_struct(sequence_by)).withColumn(IS_DELETE, is_delete)
     values = _values(staged, except_columns)
-    return staged.select(*values, SEQ, IS_DELETE, F.xxhash64(*values).alias(TIE))
+    # maps cannot be hashed; their JSON text stands in for the tie hash only
+    hashed = [F.to_json(c) if isinstance(staged.schema[c].dataType, T.MapType) else F.col(c) for c in values]
+    return staged.select(*values, SEQ, IS_DELETE, F.xxhash64(*hashed).alias(TIE))
 
 
 def scd1_state(staged: DataFrame, keys: Sequence[str]) -> DataFrame:

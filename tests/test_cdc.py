@@ -143,3 +143,16 @@ def test_scd2_range_block_path_matches_value_blocks(spark):
     fast = next_in_key(df, ["k"], ["s"], blocks=5).collect()
     ranged = next_in_key(df, ["k"], ["s"], blocks=ordered.MAX_VALUE_BLOCKS + 1).collect()
     assert sorted(fast) == sorted(ranged)
+
+
+def test_map_columns_in_changes(spark):
+    df = spark.createDataFrame(
+        [("a", {"x": "1"}, 1, "insert"), ("a", {"x": "2"}, 2, "update_postimage")],
+        "k string, m map<string,string>, seq int, _change_type string",
+    )
+    assert scd1(df, ["k"], "seq").collect()[0]["m"] == {"x": "2"}
+    old = df.filter("seq = 1").select("k", "m")
+    new = df.filter("seq = 2").select("k", "m")
+    kinds = sorted(r["_change_type"] for r in C.diff_tables(old, new, ["k"]).collect())
+    assert kinds == ["update_postimage", "update_preimage"]
+    assert C.diff_tables(old, old, ["k"]).count() == 0

@@ -158,3 +158,9 @@ def test_retract_on_fail(spark):
 
     assert scd1(Q.gate_changes(ch, retract_on_fail=True), ["empid"], ["upd_tmst"]).count() == 0
     assert scd1(Q.gate_changes(ch), ["empid"], ["upd_tmst"]).count() == 1
+
+
+def test_typed_source_is_cast_not_parsed(spark, silver_rows):
+    out = Q.enforce_schema(silver_rows, SILVER, Q.EMPLOYEE_DATE_FORMATS).collect()
+    assert all(r["_is_bad"] is False for r in out)
+    assert {r["dob"] for r in out} == {d("1990-01-15"), None}
