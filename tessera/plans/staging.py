@@ -57,16 +57,27 @@ def write_change_log(
     files: int = 6,
     arrival: str = "in_order",
 ) -> T.StructType:
-    """Write a change log as ``files`` Parquet files of whole, contiguous commits.
+    """Write a change log as at most ``files`` Parquet files of whole commits.
 
-    Range partitioning on ``_commit_version`` never splits a commit across
-    files, so a file stream with ``maxFilesPerTrigger=1`` sees every commit
-    inside one micro-batch.  ``arrival`` sets file modification times, which
+    Every commit goes to exactly one file, so a file stream with
+    ``maxFilesPerTrigger=1`` sees every commit inside one micro-batch.  ``arrival`` sets file modification times, which
     is the order the stream picks files up: ``in_order``, ``reversed``
     (newest commits first) or ``interleaved`` (even files, then odd ones).
     Returns the schema to stream the directory with.
     """
-    changes.repartitionByRange(files, "_commit_version").write.mode("overwrite").parquet(path)
+    # Equal-width commit buckets, one bucket per file position: the grouping
+    # is a pure function of the commit number, so reruns batch identically.
+    lo, hi = changes.agg(F.min("_commit_version"), F.max("_commit_version")).first()
+    width = (hi - lo + 1) if lo is not None else 1
+    bucket = F.floor((F.col("_commit_version") - F.lit(lo or 0)) * F.lit(files) / F.lit(width)).cast("int")
+    (
+        changes.withColumn("__bucket", bucket)
+        .repartition(files, "__bucket")
+        .sortWithinPartitions("_commit_version")
+        .drop("__bucket")
+        .write.mode("overwrite")
+        .parquet(path)
+    )
     names = sorted(n for n, d, _, _ in fs_list(spark, path) if not d and n.endswith(".parquet"))
     if arrival == "reversed":
         order = list(reversed(names))
