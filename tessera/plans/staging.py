@@ -57,7 +57,7 @@ def write_change_log(
     files: int = 6,
     arrival: str = "in_order",
 ) -> T.StructType:
-    """Write a change log as at most ``files`` Parquet files of whole commits.
+    """Write a change log as ``files`` Parquet files of whole, contiguous commits.
 
     Every commit goes to exactly one file, so a file stream with
     ``maxFilesPerTrigger=1`` sees every commit inside one micro-batch.  ``arrival`` sets file modification times, which
@@ -72,7 +72,7 @@ def write_change_log(
     bucket = F.floor((F.col("_commit_version") - F.lit(lo or 0)) * F.lit(files) / F.lit(width)).cast("int")
     (
         changes.withColumn("__bucket", bucket)
-        .repartition(files, "__bucket")
+        .repartitionByRange(files, "__bucket")
         .sortWithinPartitions("_commit_version")
         .drop("__bucket")
         .write.mode("overwrite")
