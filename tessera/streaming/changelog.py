@@ -27,8 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.changes import COMMIT_TIMESTAMP, COMMIT_VERSION, change_feed, join_bounded
-from tessera.operators.scd import HELPERS, gc_tombstones, scd1_state, scd1_view, scd2_versions, with_change_helpers
+from tessera.operators.changes import COMMIT_TIMESTAMP, COMMIT_VERSION, join_bounded
+from tessera.operators.scd import HELPERS, IS_DELETE, SEQ, TIE, gc_tombstones, scd1_state, scd1_view, scd2_versions, with_change_helpers
 from tessera.session import fs_exists, fs_list, fs_read_text, fs_write_text
 
 
@@ -88,13 +88,10 @@ class ChangeLogTable:
         paths = [f"{self.log_path}/batch_id={b}" for b in ids]
         return self.spark.read.option("basePath", self.log_path).parquet(*paths).drop("batch_id")
 
-    def state(self, before: int | None = None, only_keys: DataFrame | None = None) -> DataFrame | None:
-        """SCD1 state (tombstones kept) from the base snapshot and later log batches.
-
-        ``only_keys`` restricts the rows *before* they are folded (null-safe
-        semi-join), so a micro-batch touching few keys reads, but does not
-        aggregate, the rest of the log.
-        """
+    def _rows(self, before: int | None = None, only_keys: DataFrame | None = None) -> DataFrame | None:
+        """Staged rows equivalent to the state before ``before``: base snapshot +
+        later log batches, optionally only those of ``only_keys`` (null-safe
+        semi-join applied before any fold)."""
         base_v = self._base_version()
         if base_v is not None and before is not None and base_v >= before:
             base_v = None  # a replay of an old batch: ignore the newer snapshot
@@ -111,7 +108,12 @@ class ChangeLogTable:
             rows = rows.unionByName(p)
         if only_keys is not None:
             rows = join_bounded(rows, only_keys, self.keys, "left_semi", null_safe=True)
-        return scd1_state(rows, self.keys)
+        return rows
+
+    def state(self, before: int | None = None, only_keys: DataFrame | None = None) -> DataFrame | None:
+        """SCD1 state (tombstones kept) from the base snapshot and later log batches."""
+        rows = self._rows(before, only_keys)
+        return None if rows is None else scd1_state(rows, self.keys)
 
     def scd1(self) -> DataFrame:
         st = self.state()
@@ -149,15 +151,13 @@ class ChangeLogTable:
         staged = with_change_helpers(changes, self.sequence_by, self.apply_as_deletes, self.except_columns)
         staged = staged.persist()
         try:
+            old = None
             if emit_changes:
                 affected = staged.select(*self.keys).distinct()
-                before = self.state(before=batch_id, only_keys=affected)
-                if before is None:
-                    before = staged.limit(0)
+                old = self._rows(before=batch_id, only_keys=affected)
             staged.write.mode("overwrite").parquet(f"{self.log_path}/batch_id={batch_id}")
             if emit_changes:
-                after = scd1_state(before.unionByName(staged), self.keys)
-                feed = change_feed(scd1_view(before), scd1_view(after), self.keys, batch_id)
+                feed = batch_change_feed(old, staged, self.keys, batch_id)
                 feed.drop(COMMIT_VERSION).write.mode("overwrite").parquet(
                     f"{self.changes_path}/{COMMIT_VERSION}={batch_id}"
                 )
@@ -205,3 +205,56 @@ def apply_stream(
         table.apply(transform(batch) if transform else batch, batch_id, emit_changes=emit_changes)
 
     return foreach_batch(stream, fn, checkpoint, trigger=trigger)
+
+
+def batch_change_feed(old: DataFrame | None, staged: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
+    """Change rows of one batch from a single aggregate per affected key.
+
+    ``old`` holds the earlier staged rows of the batch's keys, ``staged`` the
+    batch.  Per key, ``max_by`` over old rows only is the state before, over
+    all rows the state after (``max_by`` skips NULL orderings); the images
+    follow row-wise.  One shuffle, where two folds and a full outer join
+    would take four.
+    """
+    cols = list(staged.columns)
+    values = [c for c in cols if c not in HELPERS]
+    tagged = staged.withColumn("__old", F.lit(False))
+    if old is not None:
+        tagged = old.select(*cols).withColumn("__old", F.lit(True)).unionByName(tagged)
+    packed = F.struct(*[F.col(c) for c in cols])
+    order = F.struct(F.col(SEQ), F.col(IS_DELETE), F.col(TIE))
+    is_old = F.col("__old")
+    per_key = tagged.groupBy(*[F.col(k) for k in keys]).agg(
+        F.max_by(F.when(is_old, packed), F.when(is_old, order)).alias("__b"),
+        F.max_by(packed, order).alias("__a"),
+    )
+    b_live = F.col("__b").isNotNull() & ~F.col(f"__b.{IS_DELETE}")
+    a_live = F.col("__a").isNotNull() & ~F.col(f"__a.{IS_DELETE}")
+
+    def vals(side: str, comparable: bool = False) -> Column:
+        fields = []
+        for c in values:
+            v = F.col(f"{side}.{c}")
+            if comparable and isinstance(staged.schema[c].dataType, T.MapType):
+                v = F.to_json(v)
+            fields.append(v.alias(c))
+        return F.struct(*fields)
+
+    changed = b_live & a_live & ~vals("__b", True).eqNullSafe(vals("__a", True))
+
+    def image(kind: str, cond: Column, side: str) -> Column:
+        return F.when(cond, F.struct(F.lit(kind).alias("_change_type"), vals(side).alias("__r")))
+
+    images = F.array(
+        image("insert", ~b_live & a_live, "__a"),
+        image("delete", b_live & ~a_live, "__b"),
+        image("update_preimage", changed, "__b"),
+        image("update_postimage", changed, "__a"),
+    )
+    out = per_key.select(F.explode(F.filter(images, lambda x: x.isNotNull())).alias("__c"))
+    return out.select(
+        *[F.col(f"__c.__r.{c}").alias(c) for c in values],
+        F.col("__c._change_type").alias("_change_type"),
+        F.current_timestamp().alias(COMMIT_TIMESTAMP),
+        F.lit(int(version)).cast("bigint").alias(COMMIT_VERSION),
+    )
