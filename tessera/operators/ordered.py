@@ -15,6 +15,12 @@ task.  Instead:
    block.  Blocks are contiguous, so that successor is the first row of the
    next non-empty block when it has the same key.  That table has one row
    per block (B, known up front) and is broadcast.
+
+B is sized from the estimated row count (``blocks_for``).  Up to
+``MAX_VALUE_BLOCKS`` the block comes from sampled bounds (a binary-search
+expression).  Beyond that, Spark's range partitioner places the rows and a
+reliable ``checkpoint()`` turns partition ids into stable block ids
+(``range_blocks`` / ``checkpoint_blocks``).
 """
 
 from __future__ import annotations
