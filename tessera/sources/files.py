@@ -80,6 +80,9 @@ def _options(
         opts["mode"] = mode.upper()
     if corrupt_col:
         opts["columnNameOfCorruptRecord"] = corrupt_col
+    if fmt == "csv" and (mode or corrupt_col):
+        # Which rows are malformed must not depend on the projected columns.
+        opts["columnPruning"] = "false"
     for k, v in dialect.items():
         key = _DIALECT.get(k, k)
         opts[key] = str(v).lower() if isinstance(v, bool) else str(v)
