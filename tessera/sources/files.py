@@ -177,7 +177,12 @@ def _first_start(spark: SparkSession, state_dir: str | None, start_time: dt.date
         kept = fs_read_text(spark, f"{state_dir}/start_time")
         if kept:
             return kept.strip()
-    start = (start_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).isoformat(sep=" ")
+    if start_time is not None:
+        start = start_time.isoformat(sep=" ")
+    else:
+        # "now" as wall-clock time of the session time zone, the zone in which
+        # the bound is parsed again (as Spark's own modifiedAfter does).
+        start = spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
     if state_dir:
         fs_write_text(spark, f"{state_dir}/start_time", start)
     return start
