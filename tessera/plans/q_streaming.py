@@ -26,7 +26,7 @@ def _event_table(spark, sf, name, arrival="in_order"):
     base = scratch_path(spark, name)
     schema = S.write_change_log(spark, X.changes(spark, sf), f"{base}/log", files=6, arrival=arrival)
     table = ChangeLogTable(spark, f"{base}/table", ["user_id"], SEQ, except_columns=CDF_COLUMNS)
-    stream = stream_table(spark, f"{base}/log", schema, maxFilesPerTrigger=1)
+    stream = stream_table(spark, f"{base}/log", schema, maxFilesPerTrigger=1, recursiveFileLookup="true")
     run_to_completion(apply_stream(stream, table, f"{base}/ck", transform=read_changes))
     return table
 

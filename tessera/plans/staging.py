@@ -63,22 +63,32 @@ def write_change_log(
     ``maxFilesPerTrigger=1`` sees every commit inside one micro-batch.  ``arrival`` sets file modification times, which
     is the order the stream picks files up: ``in_order``, ``reversed``
     (newest commits first) or ``interleaved`` (even files, then odd ones).
-    Returns the schema to stream the directory with.
+    Files sit in ``__bucket=<n>`` subdirectories: stream the directory with
+    ``recursiveFileLookup`` and the returned schema.
     """
     # Equal-width commit buckets, one bucket per file position: the grouping
     # is a pure function of the commit number, so reruns batch identically.
     lo, hi = changes.agg(F.min("_commit_version"), F.max("_commit_version")).first()
     width = (hi - lo + 1) if lo is not None else 1
     bucket = F.floor((F.col("_commit_version") - F.lit(lo or 0)) * F.lit(files) / F.lit(width)).cast("int")
+    # One directory per bucket, each written by a single task: exactly one
+    # file per bucket, with no sampled range bounds involved.
     (
         changes.withColumn("__bucket", bucket)
-        .repartitionByRange(files, "__bucket")
+        .repartition(files, "__bucket")
         .sortWithinPartitions("_commit_version")
-        .drop("__bucket")
         .write.mode("overwrite")
+        .partitionBy("__bucket")
         .parquet(path)
     )
-    names = sorted(n for n, d, _, _ in fs_list(spark, path) if not d and n.endswith(".parquet"))
+    buckets = sorted(
+        (int(n.split("=", 1)[1]), n) for n, d, _, _ in fs_list(spark, path) if d and n.startswith("__bucket=")
+    )
+    names = [
+        f"{sub}/{f}"
+        for _, sub in buckets
+        for f in sorted(n for n, d, _, _ in fs_list(spark, f"{path}/{sub}") if not d and n.endswith(".parquet"))
+    ]
     if arrival == "reversed":
         order = list(reversed(names))
     elif arrival == "interleaved":

@@ -8,10 +8,12 @@ A :class:`ChangeLogTable` is merge-on-read:
 * the SCD1 view is ``scd1_state`` folded over the log, the SCD2 view is the
   history over the log.  Both are order-free folds, so late and out-of-order
   batches give the same table as one batch run over everything;
-* ``compact()`` folds the SCD1 log up to a batch into ``base/v=<id>`` (the
-  fold is associative and idempotent); it runs by itself every
-  ``compact_every`` batches, so a batch reads one snapshot plus a bounded
-  number of recent batch directories, not the whole history;
+* ``compact()`` folds the SCD1 log into a snapshot hash-bucketed by key
+  (``base/v=<id>/__bp=<bucket>`` plus a bucket -> version manifest); only
+  buckets touched since the last snapshot are refolded, and it runs by
+  itself every ``compact_every`` batches.  A batch therefore reads the
+  snapshot buckets of its own keys plus a bounded number of recent batch
+  directories, not the whole history;
 * with ``emit_changes`` a batch also writes this table's own change feed
   (insert / update pre+post images / delete) to
   ``changes/_commit_version=<id>``; the next hop streams that directory.
@@ -21,6 +23,7 @@ A :class:`ChangeLogTable` is merge-on-read:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +35,9 @@ from tessera.operators.scd import HELPERS, IS_DELETE, SEQ, TIE, gc_tombstones, s
 from tessera.session import fs_exists, fs_list, fs_read_text, fs_write_text
 
 
+MANIFEST = "_MANIFEST.json"
+
+
 class ChangeLogTable:
     def __init__(
         self,
@@ -44,7 +50,9 @@ class ChangeLogTable:
         compact_every: int | None = 8,
         tombstone_ttl_seconds: int | None = None,
         tombstone_ts_field: str | None = None,
+        buckets: int = 256,
     ):
+        self.buckets = int(buckets)
         self.compact_every = compact_every
         self.tombstone_ttl_seconds = tombstone_ttl_seconds
         self.tombstone_ts_field = tombstone_ts_field
@@ -68,9 +76,24 @@ class ChangeLogTable:
     def base_path(self) -> str:
         return f"{self.path}/base"
 
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def _manifest(self) -> dict | None:
+        text = fs_read_text(self.spark, f"{self.base_path}/{MANIFEST}")
+        return json.loads(text) if text else None
+
     def _base_version(self) -> int | None:
-        v = fs_read_text(self.spark, f"{self.base_path}/_CURRENT")
-        return int(v) if v else None
+        m = self._manifest()
+        return None if m is None else int(m["version"])
+
+    def _base_rows(self, manifest: dict, buckets: list[int] | None = None) -> DataFrame | None:
+        """Snapshot rows of the given buckets (all when None); each bucket is read
+        from the version directory the manifest names for it."""
+        entries = manifest["buckets"]
+        wanted = entries.items() if buckets is None else [(str(b), entries[str(b)]) for b in buckets if str(b) in entries]
+        paths = [f"{self.base_path}/v={v}/__bp={b}" for b, v in wanted]
+        return self.spark.read.parquet(*paths) if paths else None
 
     def _batches(self) -> list[int]:
         return sorted(
@@ -91,13 +114,21 @@ class ChangeLogTable:
     def _rows(self, before: int | None = None, only_keys: DataFrame | None = None) -> DataFrame | None:
         """Staged rows equivalent to the state before ``before``: base snapshot +
         later log batches, optionally only those of ``only_keys`` (null-safe
-        semi-join applied before any fold)."""
-        base_v = self._base_version()
+        semi-join applied before any fold).  With ``only_keys`` only the
+        snapshot buckets holding those keys are read."""
+        manifest = self._manifest()
+        base_v = None if manifest is None else int(manifest["version"])
         if base_v is not None and before is not None and base_v >= before:
             base_v = None  # a replay of an old batch: ignore the newer snapshot
         parts = []
         if base_v is not None:
-            parts.append(self.spark.read.parquet(f"{self.base_path}/v={base_v}"))
+            buckets = None
+            if only_keys is not None:
+                # at most `buckets` values reach the driver
+                buckets = [r[0] for r in only_keys.select(self._bucket().alias("b")).distinct().collect()]
+            base = self._base_rows(manifest, buckets)
+            if base is not None:
+                parts.append(base)
         tail = self.staged_rows(before=before, after=base_v)
         if tail is not None:
             parts.append(tail)
@@ -170,18 +201,48 @@ class ChangeLogTable:
                 self.compact()
 
     def compact(self) -> int | None:
-        """Fold the whole SCD1 log into a new base snapshot; returns its batch id."""
+        """Fold the log since the last snapshot into the snapshot; returns its batch id.
+
+        Only buckets touched by those batches are refolded and rewritten (to
+        ``base/v=<id>/__bp=<bucket>``); the manifest keeps pointing untouched
+        buckets at their older directories, so a compaction costs the changed
+        part of the state, not all of it.
+        """
         ids = self._batches()
         if not ids:
             return None
         upto = ids[-1]
-        st = self.state(before=upto + 1)
+        manifest = self._manifest() or {"version": None, "buckets": {}}
+        base_v = manifest["version"]
+        tail = self.staged_rows(before=upto + 1, after=base_v)
+        if tail is None:
+            return base_v
+        touched = [r[0] for r in tail.select(self._bucket().alias("b")).distinct().collect()]
+        rows = tail
+        old = self._base_rows(manifest, touched) if base_v is not None else None
+        if old is not None:
+            rows = old.unionByName(tail)
+        st = scd1_state(rows, self.keys)
         if self.tombstone_ttl_seconds is not None and self.tombstone_ts_field:
             # tombstone retention (CDC-9): a delete older than the TTL is
             # forgotten; a still later, older upsert could then come back
             st = gc_tombstones(st, self.tombstone_ts_field, self.tombstone_ttl_seconds)
-        st.write.mode("overwrite").parquet(f"{self.base_path}/v={upto}")
-        fs_write_text(self.spark, f"{self.base_path}/_CURRENT", str(upto))
+        out = f"{self.base_path}/v={upto}"
+        (
+            st.withColumn("__bp", self._bucket())
+            .repartition(self.buckets, "__bp")
+            .write.mode("overwrite")
+            .partitionBy("__bp")
+            .parquet(out)
+        )
+        written = {n.split("=", 1)[1] for n, is_dir, _, _ in fs_list(self.spark, out) if is_dir and n.startswith("__bp=")}
+        buckets = dict(manifest["buckets"])
+        for b in touched:
+            if str(b) in written:
+                buckets[str(b)] = upto
+            else:
+                buckets.pop(str(b), None)  # every row of the bucket was collected
+        fs_write_text(self.spark, f"{self.base_path}/{MANIFEST}", json.dumps({"version": upto, "buckets": buckets}))
         return upto
 
 
