@@ -95,17 +95,22 @@ class ChangeLogTable:
         paths = [f"{self.base_path}/v={v}/__bp={b}" for b, v in wanted]
         return self.spark.read.parquet(*paths) if paths else None
 
-    def _batches(self) -> list[int]:
-        return sorted(
+    def _batches(self, after: int | None = None) -> list[int]:
+        """Committed batch ids > ``after``: one listing, plus a ``_SUCCESS``
+        check only for the batches that will be read (not the whole history)."""
+        ids = sorted(
             int(n.split("=", 1)[1])
             for n, is_dir, _, _ in fs_list(self.spark, self.log_path)
-            if is_dir and n.startswith("batch_id=") and fs_exists(self.spark, f"{self.log_path}/{n}/_SUCCESS")
+            if is_dir and n.startswith("batch_id=")
         )
+        return [
+            b for b in ids if (after is None or b > after) and fs_exists(self.spark, f"{self.log_path}/batch_id={b}/_SUCCESS")
+        ]
 
     # -------------------------------------------------------------- reads
     def staged_rows(self, before: int | None = None, after: int | None = None) -> DataFrame | None:
         """Log rows of committed batches in (after, before); None when there are none."""
-        ids = [b for b in self._batches() if (before is None or b < before) and (after is None or b > after)]
+        ids = [b for b in self._batches(after) if before is None or b < before]
         if not ids:
             return None
         paths = [f"{self.log_path}/batch_id={b}" for b in ids]
@@ -195,9 +200,7 @@ class ChangeLogTable:
         finally:
             staged.unpersist()
         if self.compact_every:
-            base_v = self._base_version()
-            pending = [b for b in self._batches() if base_v is None or b > base_v]
-            if len(pending) >= self.compact_every:
+            if len(self._batches(self._base_version())) >= self.compact_every:
                 self.compact()
 
     def compact(self) -> int | None:
@@ -208,12 +211,12 @@ class ChangeLogTable:
         buckets at their older directories, so a compaction costs the changed
         part of the state, not all of it.
         """
-        ids = self._batches()
-        if not ids:
-            return None
-        upto = ids[-1]
         manifest = self._manifest() or {"version": None, "buckets": {}}
         base_v = manifest["version"]
+        ids = self._batches(base_v)
+        if not ids:
+            return base_v
+        upto = ids[-1]
         tail = self.staged_rows(before=upto + 1, after=base_v)
         if tail is None:
             return base_v
