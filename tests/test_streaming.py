@@ -295,3 +295,23 @@ def test_bucketed_compaction_rewrites_only_touched_buckets(spark, tmp):
     # a key lookup reads only its bucket; the change feed stays right
     t.apply(ch.filter("user_id = 3"), 2, emit_changes=True)
     assert sorted(t.scd1().collect()) == sorted(want.collect())
+
+
+def test_primary_track_side_outputs(spark, tmp):
+    from tessera.operators import quality as Q
+
+    raw = X.staff_raw(spark, SMALL)
+    S.write_csv(raw, f"{tmp}/files", files=3)
+    gold = flows.run_primary(spark, f"{tmp}/files", S.STAFF_CSV_SCHEMA, X.SILVER_SCHEMA, f"{tmp}/tables", as_of=X.AS_OF)
+    read = lambda name: spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp}/tables/{name}")
+    enforced = X.staff_enforced(spark, SMALL)
+    assert read("silver").count() == Q.good_rows(enforced).count()
+    assert sorted(r["row_id"] for r in read("silver_bad").collect()) == sorted(
+        r["row_id"] for r in Q.bad_rows(enforced).collect()
+    )
+    staff = X.staff(spark, SMALL)
+    assert read("curated").count() == Q.expect_or_drop(staff, Q.CURATED_DROP_RULES).count()
+    bad = {r["row_id"]: r["failure_reason"] for r in read("curated_bad").collect()}
+    want = {r["row_id"]: r["failure_reason"] for r in Q.quarantine_complement(staff, Q.CURATED_DROP_RULES).collect()}
+    assert bad == want
+    assert gold.count() == read("curated").select("empid").distinct().count()
