@@ -322,3 +322,40 @@ def batch_change_feed(old: DataFrame | None, staged: DataFrame, keys: Sequence[s
         F.current_timestamp().alias(COMMIT_TIMESTAMP),
         F.lit(int(version)).cast("bigint").alias(COMMIT_VERSION),
     )
+
+
+def scd1_stream(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    sequence_by,
+    apply_as_deletes: str | Column | None = "_change_type = 'delete'",
+    except_columns: Sequence[str] = (),
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    emit_changes: bool = False,
+    trigger: str = "availableNow",
+    **table_options,
+):
+    """Stream form of ``scd1`` (CDC-1, STR-4): returns (query, table); read the
+    result with ``table.scd1()``, its change feed with ``table.change_feed()``."""
+    table = ChangeLogTable(stream.sparkSession, path, keys, sequence_by, apply_as_deletes, except_columns, **table_options)
+    return apply_stream(stream, table, checkpoint, transform, emit_changes, trigger), table
+
+
+def scd2_stream(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    sequence_by,
+    apply_as_deletes: str | Column | None = None,
+    except_columns: Sequence[str] = (),
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    trigger: str = "availableNow",
+    **table_options,
+):
+    """Stream form of ``scd2`` (CDC-3/4, STR-4): returns (query, table); read the
+    history with ``table.scd2()`` (merge-on-read over the batch log)."""
+    table = ChangeLogTable(stream.sparkSession, path, keys, sequence_by, apply_as_deletes, except_columns, **table_options)
+    return apply_stream(stream, table, checkpoint, transform, False, trigger), table

@@ -315,3 +315,15 @@ def test_primary_track_side_outputs(spark, tmp):
     want = {r["row_id"]: r["failure_reason"] for r in Q.quarantine_complement(staff, Q.CURATED_DROP_RULES).collect()}
     assert bad == want
     assert gold.count() == read("curated").select("empid").distinct().count()
+
+
+def test_scd1_stream_entry_point(spark, tmp):
+    from tessera.streaming import scd1_stream
+
+    ch = X.changes(spark, SMALL)
+    schema = S.write_change_log(spark, ch, f"{tmp}/log", files=3)
+    s = stream_table(spark, f"{tmp}/log", schema, maxFilesPerTrigger=1, recursiveFileLookup="true")
+    q, table = scd1_stream(s, f"{tmp}/t", f"{tmp}/ck", ["user_id"], SEQ, except_columns=C.CDF_COLUMNS, transform=C.read_changes)
+    run_to_completion(q)
+    want = scd1(C.read_changes(ch), ["user_id"], SEQ, except_columns=C.CDF_COLUMNS)
+    assert sorted(table.scd1().collect()) == sorted(want.collect())
