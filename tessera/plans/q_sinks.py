@@ -111,8 +111,9 @@ def snk_insert_values(spark, sf):
 @register(
     "snk_output_modes",
     X.with_ctes(X.SQL_STAFF_RAW)
-    + """SELECT mode, dept_id, count(*) AS n_rows FROM staff_raw, (SELECT 'complete' AS mode UNION ALL SELECT 'update')
-    GROUP BY mode, dept_id""",
+    + """SELECT 'complete' AS mode, dept_id, count(*) AS n_rows FROM staff_raw GROUP BY dept_id
+    UNION ALL
+    SELECT 'update' AS mode, dept_id, count(*) AS n_rows FROM staff_raw GROUP BY dept_id""",
 )
 def snk_output_modes(spark, sf):
     """A streaming aggregate in complete and update mode equals the batch count (SNK-8)."""
