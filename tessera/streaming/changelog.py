@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.changes import COMMIT_TIMESTAMP, COMMIT_VERSION, join_bounded
+from tessera.operators.changes import BROADCAST_ROW_LIMIT, COMMIT_TIMESTAMP, COMMIT_VERSION
 from tessera.operators.scd import HELPERS, IS_DELETE, SEQ, TIE, gc_tombstones, scd1_state, scd1_view, scd2_versions, with_change_helpers
 from tessera.session import fs_exists, fs_list, fs_read_text, fs_write_text
 
@@ -126,11 +126,15 @@ class ChangeLogTable:
         if base_v is not None and before is not None and base_v >= before:
             base_v = None  # a replay of an old batch: ignore the newer snapshot
         parts = []
+        n_keys, buckets = None, None
+        if only_keys is not None:
+            # one pass: the key count (broadcast decision) and the touched
+            # buckets (at most `buckets` values reach the driver)
+            stats = only_keys.agg(
+                F.count(F.lit(1)).alias("n"), F.collect_set(self._bucket()).alias("b")
+            ).first()
+            n_keys, buckets = int(stats["n"]), list(stats["b"])
         if base_v is not None:
-            buckets = None
-            if only_keys is not None:
-                # at most `buckets` values reach the driver
-                buckets = [r[0] for r in only_keys.select(self._bucket().alias("b")).distinct().collect()]
             base = self._base_rows(manifest, buckets)
             if base is not None:
                 parts.append(base)
@@ -143,7 +147,13 @@ class ChangeLogTable:
         for p in parts[1:]:
             rows = rows.unionByName(p)
         if only_keys is not None:
-            rows = join_bounded(rows, only_keys, self.keys, "left_semi", null_safe=True)
+            side = only_keys.select(*[F.col(k).alias(f"__r_{k}") for k in self.keys])
+            side = F.broadcast(side) if n_keys <= BROADCAST_ROW_LIMIT else side
+            cond = None
+            for k in self.keys:
+                c = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+                cond = c if cond is None else cond & c
+            rows = rows.join(side, on=cond, how="left_semi")  # null-safe key match
         return rows
 
     def state(self, before: int | None = None, only_keys: DataFrame | None = None) -> DataFrame | None:
