@@ -135,7 +135,7 @@ def file_stream(
     corrupt_col: str | None = None,
     **dialect,
 ) -> DataFrame:
-    """Incremental file stream (Auto-Loader-like) on the built-in file source.
+    """Incremental file stream on Spark's built-in file source.
 
     * ``include_existing=False`` keeps only files modified at/after
       ``start_time`` (default: the first start) — "new files only".  With
