@@ -14,10 +14,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
-    """Session with the settings every operator here assumes (UTC, AQE on, no UI)."""
-    spark = (
-        SparkSession.builder.master(master)
+def get_spark(
+    master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tessera", conf: dict | None = None
+) -> SparkSession:
+    """Session with the settings every operator here assumes (UTC, AQE on, no UI).
+
+    ``conf`` adds or overrides settings (e.g. the cluster sizing in README).
+    """
+    builder = SparkSession.builder
+    spark_builder = (
+        builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -28,8 +34,10 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         # CSV column pruning changes which rows count as malformed; keep it off.
         .config("spark.sql.csv.parser.columnPruning.enabled", "false")
-        .getOrCreate()
     )
+    for k, v in (conf or {}).items():  # caller settings win over the defaults
+        spark_builder = spark_builder.config(k, str(v))
+    spark = spark_builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
