@@ -16,6 +16,7 @@ from tessera.operators.quality import (
     enforce_schema,
     expect,
     expect_or_drop,
+    expect_with_metrics,
     expectation_counts,
     gate_changes,
     good_rows,
@@ -32,7 +33,7 @@ __all__ = [
     "assert_append_only", "change_feed", "diff_tables", "join_bounded", "read_changes", "skip_change_commits",
     "add_derived", "employee_derivations", "gold_summary", "latest_per_key", "salary_band",
     "Dimension", "Measure", "MetricView", "employee_metrics", "next_in_key",
-    "bad_rows", "enforce_schema", "expect", "expect_or_drop", "expectation_counts", "gate_changes", "good_rows",
+    "bad_rows", "enforce_schema", "expect", "expect_or_drop", "expect_with_metrics", "expectation_counts", "gate_changes", "good_rows",
     "label_changes", "pass_deletes", "quarantine_complement", "split_enforced_changes", "split_quarantine",
     "tag_violations", "flatten_sequence", "gc_tombstones", "scd1", "scd2", "scd2_current",
 ]

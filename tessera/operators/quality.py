@@ -163,6 +163,25 @@ def expect(df: DataFrame, rules: Mapping[str, str | Column], name: str = "expect
     return df.observe(name, *metrics)
 
 
+def expect_with_metrics(df: DataFrame, rules: Mapping[str, str | Column]):
+    """Warn-only expectations returning ``(df, observation)`` (DQ-1).
+
+    The rows are unchanged; ``observation.get`` holds ``<rule>_passed`` /
+    ``<rule>_failed`` once an action (a write, a count) has run on ``df``.
+    The counts are computed by the executors alongside that action — no
+    extra pass over the data.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation()
+    metrics = []
+    for rule, cond in rules.items():
+        c = as_column(cond)
+        metrics.append(F.count_if(F.coalesce(c, F.lit(False))).alias(f"{rule}_passed"))
+        metrics.append(F.count_if(not_true(c)).alias(f"{rule}_failed"))
+    return df.observe(obs, *metrics), obs
+
+
 def expectation_counts(df: DataFrame, rules: Mapping[str, str | Column]) -> DataFrame:
     """One row per rule with passed/failed counts, in a single aggregate pass."""
     aggs = []

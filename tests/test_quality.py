@@ -164,3 +164,12 @@ def test_typed_source_is_cast_not_parsed(spark, silver_rows):
     out = Q.enforce_schema(silver_rows, SILVER, Q.EMPLOYEE_DATE_FORMATS).collect()
     assert all(r["_is_bad"] is False for r in out)
     assert {r["dob"] for r in out} == {d("1990-01-15"), None}
+
+
+def test_expect_with_metrics(silver_rows, tmp):
+    rules = {**Q.CURATED_DROP_RULES, **Q.CURATED_WARN_RULES}
+    df, obs = Q.expect_with_metrics(silver_rows, rules)
+    df.write.parquet(f"{tmp}/out")  # any action fills the observation
+    m = obs.get
+    assert m["valid_dob_passed"] == 1 and m["valid_dob_failed"] == 1
+    assert m["valid_dept_format_failed"] == 1 and m["valid_empid_passed"] == 2
