@@ -11,19 +11,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.chat_quotes import as_mail, link_quotes
 from tessera.llm.decontam import contaminated
+from tessera.llm.license_scan import scan_licenses
 from tessera.llm.mixing import mix
 from tessera.llm.quality_rules import fit_rules, quality_verdicts
+from tessera.llm.secret_scan import find_secrets, secret_digest
 from tessera.llm.sharding import shard
 from tessera.llm.simhash_dedup import simhash_dedup
+from tessera.llm.url_filter import judge_urls, rule_table
+from tessera.llm.warc import archive_pages
+from tessera.session import scratch_path
 
 SHARDS = 40
 
+#: Fixed values of the contract: (verdict, host, path).
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op2_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS t, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p),
+g AS (SELECT *, payload_bytes >= 100 AND first IS NOT NULL AND (page_id IS NULL OR page_id > first) AS again FROM f)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to, TRUE AS intact
+FROM g
+"""
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -62,6 +97,27 @@ FROM r
 """
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
+
+
+OP5_SQL = r"""
+WITH rules(verdict, host, path) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+u AS (
+  SELECT row_number() OVER () AS i, page_id,
+         translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+m AS (
+  SELECT u.i, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM u JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
+  GROUP BY u.i)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host = '' THEN 'block' ELSE 'allow' END) AS verdict
+FROM u LEFT JOIN m USING (i)
+"""
+
+
 def op6_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard(_table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -77,11 +133,43 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as mail threads, two levels of quotes in each message, and back."""
+    found = link_quotes(as_mail(_table(spark, sf_dir, "conversations")))
+    digest = F.md5("body").alias("body_md5")
+    return found.select("conv_id", "turn", "role", "n_quotes", "max_level", "n_linked", "parent_turn", "root_turn", "depth", digest)
+
+
+OP8_SQL = r"""
+WITH m AS (
+  SELECT conv_id, turn, role, regexp_replace(coalesce(text, ''), '^[ 	
+]+|[ 	
+]+$', '', 'g') AS body,
+         trim(regexp_replace(lower(coalesce(text, '')), '[ 	-]+', ' ', 'g')) <> '' AS said
+  FROM conversations),
+j AS (
+  SELECT m.*, a.turn AS p1, b.turn AS p2, coalesce(a.said, FALSE) AS s1, coalesce(b.said, FALSE) AS s2
+  FROM m LEFT JOIN m a ON a.conv_id = m.conv_id AND a.turn = m.turn - 1 LEFT JOIN m b ON b.conv_id = m.conv_id AND b.turn = m.turn - 2),
+k AS (
+  SELECT *, CASE WHEN s1 THEN p1 END AS parent_turn,
+         max(CASE WHEN NOT s1 THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS root_turn
+  FROM j)
+SELECT conv_id, turn, role, CAST(s1 AS BIGINT) + CAST(s2 AS BIGINT) AS n_quotes,
+       CASE WHEN s2 THEN 2 WHEN s1 THEN 1 ELSE 0 END::BIGINT AS max_level, CAST(s1 AS BIGINT) + CAST(s2 AS BIGINT) AS n_linked,
+       parent_turn, root_turn, turn - root_turn AS depth, md5(body) AS body_md5
+FROM k
+"""
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(find_secrets(_table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -89,11 +177,22 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
+    "op2_warc_chunks": op2_warc_chunks,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_source_mixing": op4_source_mixing,
+    "op5_url_filter": op5_url_filter,
     "op6_ring_sharding": op6_ring_sharding,
     "op7_quality_rules": op7_quality_rules,
+    "op8_quotation_linking": op8_quotation_linking,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_secret_scan": op10_secret_scan,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL}
+#: The others learn, walk a graph or follow a plan; tests/llm holds them against brute-force versions.
+ORACLES: dict[str, str] = {
+    "op2_warc_chunks": OP2_SQL,
+    "op4_source_mixing": OP4_SQL,
+    "op5_url_filter": OP5_SQL,
+    "op8_quotation_linking": OP8_SQL,
+}
