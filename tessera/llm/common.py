@@ -54,7 +54,7 @@ KEY_BITS = 60
 
 
 def prefix_sums(
-    df: DataFrame, group: list[str], key: str, ties: list[str], value: str, out: str, rows_per_bucket: int = 20_000
+    df: DataFrame, group: list[str], key: str, ties: list[str], value: str, out: str, rows_per_bucket: int = 2_000
 ) -> DataFrame:
     """Exclusive running sum of ``value`` within ``group`` in the order of ``key``, then ``ties``.
 
