@@ -177,7 +177,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .filter((F.col("found") == F.col("musts")) & (F.col("cover") >= MIN_COVER))
     )
     based = lambda c: F.when(F.col("base"), c)
-    found = at_place.groupBy("k").agg(
+    per_text = at_place.groupBy("k").agg(
         F.count(based(F.lit(1))).alias("n_base"),
         F.min(based(F.col("start"))).cast("long").alias("first_word"),
         F.max(based(F.col("start"))).cast("long").alias("last_word"),
@@ -185,6 +185,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.sort_array(F.collect_set("label")).alias("labels"),
         F.max("cover").alias("score"),
     )
+    found = materialize(per_text, "license-found")  # so that a text with many copies can be split in the join
     joined = lambda c: F.coalesce(F.array_join(c, ","), F.lit(""))
     return rows.join(found, "k", "left").select(
         F.col("id").alias(id_col),
