@@ -32,6 +32,8 @@ SIMILARITY = 0.8
 MAX_BITS = 24
 #: Distinct benchmark shingles up to which their hash table is broadcast (16 bytes each); beyond it, a shuffle join.
 BROADCAST_SHINGLES = 2_000_000
+#: The same for the 8-byte keys of texts that share a shingle with the benchmark.
+BROADCAST_TEXTS = 2_000_000
 
 
 def shingle_hashes(text: Column, shingle: int = SHINGLE) -> Column:
@@ -50,15 +52,25 @@ def shingle_hashes(text: Column, shingle: int = SHINGLE) -> Column:
     return F.when(n >= 0, F.get(F.transform(F.array(words), at), F.lit(0)))
 
 
-def simhash(df: DataFrame, keys: list[str], h: str, weight: str) -> DataFrame:
-    """(keys, fp): bit b of ``fp`` is set when the weights of hashes with it outweigh the others."""
-    bits = [
-        F.sum(F.when(F.getbit(F.col(h), F.lit(b)) == 1, F.col(weight)).otherwise(-F.col(weight))).alias(f"b{b}") for b in range(64)
-    ]
+#: Three counters of 21 bits in a long: bits b, b + 21 and b + 42 of a hash are counted at once.
+_THREE = 1 | 1 << 21 | 1 << 42
+
+
+def simhash(df: DataFrame, keys: list[str], h: str) -> DataFrame:
+    """(keys, fp): bit b of ``fp`` is set when more than half of the group's hashes ``h`` have it.
+
+    A shingle weighs as often as it occurs.  Groups are windows, so their
+    counts stay far below 2^21; rows of a window come from one row, so partial
+    sums leave a single row of each to shuffle.
+    """
+    sums = [F.sum(F.shiftrightunsigned(F.col(h), j).bitwiseAND(F.lit(_THREE))).alias(f"c{j}") for j in range(21)]
+    last = F.sum(F.shiftrightunsigned(F.col(h), 63)).alias("c63")
+    counted = df.groupBy(*keys).agg(*sums, last, F.count(F.lit(1)).alias("all"))
     word = F.lit(0).cast("long")
     for b in range(64):
-        word = word.bitwiseOR(F.when(F.col(f"b{b}") > 0, F.shiftleft(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
-    return df.groupBy(*keys).agg(*bits).select(*keys, word.alias("fp"))
+        count = F.col("c63") if b == 63 else F.shiftright(F.col(f"c{b % 21}"), 21 * (b // 21)).bitwiseAND(F.lit((1 << 21) - 1))
+        word = word.bitwiseOR(F.when(2 * count > F.col("all"), F.shiftleft(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
+    return counted.select(*keys, word.alias("fp"))
 
 
 def hamming_blocks(fp: Column, max_bits: int) -> Column:
@@ -108,7 +120,9 @@ def leaks(
     hits = materialize(
         shingled.select("k", F.posexplode("hs").alias("pos", "h")).join(known, "h").select("k", "pos", "h").distinct(), "leak-hits"
     )
-    near = hits.select("k").distinct()
+    near = materialize(hits.select("k").distinct(), "leak-near")
+    if near.count() <= BROADCAST_TEXTS:
+        near = F.broadcast(near)  # else whole texts are shuffled to find the few with shared shingles
     texts = materialize(
         docs.select(key.alias("k"), F.col(text_col).alias("t"))
         .join(near, "k", "left_semi")
@@ -137,15 +151,10 @@ def leaks(
     )
     spans = materialize(reach, "leak-windows")
     windows = spans.select("k", "n", "start").distinct()
-    content = (
-        windows.join(texts, "k")
-        .select("k", "n", "start", F.explode(F.slice("hs", F.col("start") + 1, F.col("n"))).alias("h"))
-        .groupBy("k", "n", "start", "h")
-        .agg(F.count(F.lit(1)).alias("w"))
-    )
-    content = materialize(content, "leak-content")
-    window_fp = simhash(content, ["k", "n", "start"], "h", "w")
-    item_fp = simhash(index, ["version"], "h", "c").withColumnRenamed("fp", "item_fp")
+    content = windows.join(texts, "k").select("k", "n", "start", F.explode(F.slice("hs", F.col("start") + 1, F.col("n"))).alias("h"))
+    window_fp = simhash(content, ["k", "n", "start"], "h")
+    whole = items.select("version", F.explode("hs").alias("h"))
+    item_fp = simhash(whole, ["version"], "h").withColumnRenamed("fp", "item_fp")
     blocks = lambda c: F.explode(hamming_blocks(F.col(c), max_bits)).alias("b")
     mine = spans.join(window_fp, ["k", "n", "start"]).select("k", "n", "start", "version", "fp", blocks("fp")).select("*", "b.*")
     theirs = item_fp.select("version", "item_fp", blocks("item_fp")).select("version", "item_fp", "b.*")
@@ -155,11 +164,19 @@ def leaks(
         .select("k", "n", "start", "version")
         .distinct()
     )
+    # exact: the item's shingles within each window; stretches of n places keep a long text's windows and places apart
+    stretch = lambda c: F.floor(c / F.col("n"))
+    places = hits.join(index, "h").select("k", "version", "h", "c", "pos", stretch(F.col("pos")).alias("b"))
+    ends = F.array_distinct(F.array(stretch(F.col("start")), stretch(F.col("start") + F.col("n") - 1)))
+    inside = (F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("start") + F.col("n"))
     shared = (
-        close.join(content, ["k", "n", "start"])
-        .join(index.select("version", "h", "c"), ["version", "h"])
+        close.select("*", F.explode(ends).alias("b"))
+        .join(places, ["k", "version", "b"])
+        .filter(inside)
+        .groupBy("k", "n", "start", "version", "h")
+        .agg(F.least(F.count(F.lit(1)), F.max("c")).alias("both"))
         .groupBy("k", "n", "start", "version")
-        .agg(F.sum(F.least("w", "c")).alias("both"))
+        .agg(F.sum("both").alias("both"))
     )
     # |window| + |item| - shared; a window at a short text's end has less than n shingles
     mass = shared.join(sized, "k").select(
@@ -186,10 +203,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     require_columns(docs, id_col, text_col)
     item_id = how.get("item_id", "item_id")
-    found = (
+    found = materialize(
         leaks(docs, benchmark, text_col, **how)
         .groupBy("__k")
-        .agg(F.sort_array(F.collect_set(item_id)).alias("__items"), F.max("similarity").alias("__s"))
+        .agg(F.sort_array(F.collect_set(item_id)).alias("__items"), F.max("similarity").alias("__s")),
+        "leak-found",
     )
     t = F.col(text_col)
     own = docs.select(F.col(id_col).alias("__id"), F.xxhash64(F.lit(2), t.isNull(), t).alias("__k"))
@@ -207,5 +225,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text holds no benchmark item."""
     t = F.col(text_col)
-    bad = leaks(docs, benchmark, text_col, **how).select("__k").distinct()
+    bad = materialize(leaks(docs, benchmark, text_col, **how).select("__k").distinct(), "leak-found")
     return docs.withColumn("__k", F.xxhash64(F.lit(2), t.isNull(), t)).join(bad, "__k", "left_anti").drop("__k")

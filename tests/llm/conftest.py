@@ -1,0 +1,6 @@
+"""The session of the other tests, with few partitions."""
+
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
