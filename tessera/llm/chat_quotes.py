@@ -45,19 +45,27 @@ def passages(messages: DataFrame) -> DataFrame:
 
 
 def _chains(parents: DataFrame, max_rounds: int = 40) -> DataFrame:
-    """(conv, turn, root_turn, depth) of ``parents`` (conv, turn, parent): doubling until all point at roots."""
-    top = F.coalesce("parent", "turn")
-    state = materialize(parents.select("conv", "turn", top.alias("top"), F.col("parent").isNotNull().cast("long").alias("depth")), "chat-chains")
+    """(conv, turn, root_turn, depth) of ``parents`` (conv, turn, parent): doubling until all point at roots.
+
+    Only messages that do not yet point at a root take part in a round's join.
+    """
+    start = parents.select(
+        "conv", "turn", F.coalesce("parent", "turn").alias("top"), F.col("parent").isNotNull().cast("long").alias("depth"),
+        F.col("parent").isNull().alias("done"),
+    )
+    state = materialize(start, "chat-chains")
     for _ in range(max_rounds):
-        up = state.select(F.col("conv").alias("c"), F.col("turn").alias("t"), F.col("top").alias("over"), F.col("depth").alias("more"))
-        same = (F.col("conv") == F.col("c")) & (F.col("top") == F.col("t"))
-        step = state.join(up, same, "left").select(
-            "conv", "turn", F.coalesce("over", "top").alias("top"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            F.coalesce(F.col("over") != F.col("top"), F.lit(False)).alias("moved"),
-        )
-        state = materialize(step, "chat-chains")
-        if not state.filter("moved").limit(1).count():
+        open_ones = state.filter("not done")
+        if not open_ones.limit(1).count():
             return state.select("conv", "turn", F.col("top").alias("root_turn"), "depth")
+        up = state.select(
+            F.col("conv").alias("c"), F.col("turn").alias("t"), F.col("top").alias("over"), F.col("depth").alias("more"), F.col("done").alias("up_done")
+        )
+        # a linked message was found in the table, so its row is there
+        step = open_ones.join(up, (F.col("conv") == F.col("c")) & (F.col("top") == F.col("t"))).select(
+            "conv", "turn", F.col("over").alias("top"), (F.col("depth") + F.col("more")).alias("depth"), F.col("up_done").alias("done")
+        )
+        state = materialize(state.filter("done").unionByName(step), "chat-chains")
     raise RuntimeError("reply chains did not settle")
 
 
