@@ -20,11 +20,6 @@ COMMIT_TIMESTAMP = "_commit_timestamp"
 CDF_COLUMNS = [CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIMESTAMP]
 UPSERT_AND_DELETE = ("insert", "update_postimage", "delete")
 
-# Largest lookup table we broadcast without asking; beyond it a shuffle join
-# (with AQE skew splitting) is used.
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
 def read_changes(changes: DataFrame, types: Sequence[str] = UPSERT_AND_DELETE) -> DataFrame:
     """Keep the wanted change types (pre-images dropped by default) (SRC-16, FLT-4)."""
     return changes.filter(F.col(CHANGE_TYPE).isin(*types))
@@ -35,18 +30,15 @@ def join_bounded(
     small: DataFrame,
     on: Sequence[str],
     how: str = "left_semi",
-    row_limit: int = BROADCAST_ROW_LIMIT,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Join with ``small`` broadcast only after its row count is checked.
-
-    ``null_safe=True`` matches NULL keys to NULL keys (``<=>``).
+    """Join with a lookup table, without a hint: Spark broadcasts it when its size in bytes allows.
 
-    Over the limit, a shuffle join is planned and AQE's skew-join split takes
-    care of hot keys on the big side.
+    ``null_safe=True`` matches NULL keys to NULL keys (``<=>``).  Otherwise a
+    shuffle join is planned and AQE's skew-join split takes care of hot keys on
+    the big side.
     """
-    n = small.count()
-    side = F.broadcast(small) if n <= row_limit else small
+    side = small
     if not null_safe:
         return big.join(side, on=list(on), how=how)
     renamed = side.select(*[F.col(k).alias(f"__r_{k}") for k in on])
@@ -58,7 +50,7 @@ def join_bounded(
     return out if how in ("left_semi", "left_anti") else out.drop(*[f"__r_{k}" for k in on])
 
 
-def skip_change_commits(changes: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def skip_change_commits(changes: DataFrame) -> DataFrame:
     """Drop every commit holding any non-insert row (SRC-15, ``skipChangeCommits``).
 
     Which commits are clean is one partial aggregate per commit (no commit
@@ -72,7 +64,7 @@ def skip_change_commits(changes: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT
         .filter("__clean")
         .select(COMMIT_VERSION)
     )
-    return join_bounded(changes, clean, [COMMIT_VERSION], "left_semi", row_limit)
+    return join_bounded(changes, clean, [COMMIT_VERSION], "left_semi")
 
 
 def assert_append_only(changes: DataFrame) -> DataFrame:

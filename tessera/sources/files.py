@@ -202,26 +202,6 @@ def modification_window(df: DataFrame, after: str | None = None, before: str | N
     return df.filter(cond).select(*cols)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan over more tasks when it yields fewer partitions than cores.
-
-    A Parquet file is split by row group; a file written as one big row group
-    is one task no matter its size, and every per-row expression after it
-    runs single-threaded.  At cluster scale a scan has thousands of
-    partitions and this is a no-op (no shuffle, no cache).
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    # Fewer partitions than cores means at most a few row groups: small and
-    # bounded.  Persisting the spread copy keeps later filters from being
-    # pushed back below the exchange into the single scan task (the cached
-    # plan is a leaf); lost blocks are recomputed from the source.
-    from pyspark import StorageLevel
-
-    return df.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def csv_stream(spark: SparkSession, path: str, schema: StructType, **opts) -> DataFrame:
     """CSV file stream with a header and a declared schema (SRC-1)."""
     opts.setdefault("header", True)

@@ -3,10 +3,10 @@
 CSV files that disagree about their columns are read *by header name*:
 
 1. read the files as text, keeping ``_metadata.file_path``;
-2. the header line of each file is recognised by its first token (the
-   first declared column name) — one row per file, so the header table is
-   as small as the file count; it is broadcast only after that count is
-   checked (``operators.changes.join_bounded``);
+2. the first line of each file is its header when it names the first
+   declared column, in any place; only the first block of a file is looked
+   at, and a partial aggregate keeps one line per file.  Lines of files
+   without such a header go whole to ``_corrupt_record``;
 3. every data line is split with ``from_csv`` into W generic string
    columns, W = widest header + 1 (computed, not guessed), and zipped with
    its file's header into a map;
@@ -27,7 +27,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.changes import BROADCAST_ROW_LIMIT
 from tessera.session import fs_read_text, fs_write_text
 
 RESCUE_COL = "_rescued_data"
@@ -88,7 +87,7 @@ def csv_lines(spark: SparkSession, path: str, glob: str | None = None, recursive
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     t = r.load(path)
-    return t.select(F.regexp_replace("value", "^\ufeff", "").alias("value"), F.col("_metadata.file_path").alias("__file"))
+    return t.select(F.regexp_replace("value", "^\ufeff", "").alias("value"), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
 
 
 def _split(line: Column, width: int, sep: str, quote: str, escape: str) -> Column:
@@ -106,41 +105,28 @@ def parse_csv_by_header(
 ) -> tuple[DataFrame, list[str]]:
     """(rows with a ``__map`` of header name -> token and ``__ntok``/``__nhead``, all header names).
 
-    ``lines`` has ``value`` and ``__file`` (see :func:`csv_lines`); it may be a
-    micro-batch.  Header lines are those whose first token is ``first_column``.
+    ``lines`` has ``value``, ``__file`` and ``__block`` (see :func:`csv_lines`); it may
+    be a micro-batch.  Lines of a file without a header have a null ``__map``.
     """
-    head_probe = _split(F.col("value"), 1, sep, quote, escape)
-    is_header = F.trim(head_probe["c0"]) == F.lit(first_column)
-    header_lines = lines.filter(is_header)
-    # Widest header (one row per file) decides the split width: exact, no cap.
+    names = F.transform(F.split("value", _regex_escape(sep)), lambda x: F.trim(F.regexp_replace(x, '^"|"$', "")))
     # Quoted header names are rare; a plain split of the header line is enough
     # to count and name columns, the data lines get a full CSV parse.
-    # One row per file; persisted so the size check and the join reuse the
-    # single header-detection pass instead of rescanning the text.
-    headers = (
-        header_lines.select(
-            "__file",
-            F.transform(F.split("value", _regex_escape(sep)), lambda x: F.trim(F.regexp_replace(x, '^"|"$', ""))).alias(
-                "__hdr"
-            ),
-        )
-        .dropDuplicates(["__file"])
-        .persist()
+    first = lines.filter(F.col("__block") == 0).withColumn("__at", F.monotonically_increasing_id())
+    heads = (
+        first.filter(F.length("value") > 0)
+        .groupBy("__file")
+        .agg(F.min_by("value", "__at").alias("value"))
+        .select("__file", F.col("value").alias("__head"), names.alias("__hdr"))
+        .filter(F.array_contains("__hdr", first_column))
     )
-    stats = headers.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("__hdr")).alias("w"), F.collect_set(F.col("__hdr")).alias("names")
-    ).first()
-    if stats is None or stats["w"] is None:
-        return lines.limit(0).select("value", "__file", F.lit(None).cast("map<string,string>").alias("__map")), []
-    width = int(stats["w"]) + 1
-    all_names: list[str] = []
-    for hdr in stats["names"]:
-        for n in hdr:
-            if n not in all_names:
-                all_names.append(n)
-    data = lines.filter(~is_header & (F.length("value") > 0))
-    side = F.broadcast(headers) if stats["n"] <= BROADCAST_ROW_LIMIT else headers
-    joined = data.join(side, on="__file", how="inner")
+    # Widest header decides the split width: exact, no cap.  Distinct names only reach the driver.
+    stats = heads.agg(F.max(F.size("__hdr")).alias("w")).first()
+    width = int(stats["w"] or 0) + 1
+    all_names = []
+    for r in heads.select(F.posexplode("__hdr").alias("p", "n")).groupBy("n").agg(F.min("p").alias("p")).orderBy("p", "n").collect():
+        all_names.append(r["n"])
+    joined = lines.filter(F.length("value") > 0).join(heads, on="__file", how="left")
+    joined = joined.filter(F.col("__head").isNull() | (F.col("value") != F.col("__head")))
     toks = _split(F.col("value"), width, sep, quote, escape)
     tok_arr = F.array(*[toks[f"c{i}"] for i in range(width)])
     # Token count = separators outside quoted fields + 1 (an empty field and a
@@ -152,7 +138,7 @@ def parse_csv_by_header(
     out = joined.select(
         "value",
         "__file",
-        F.map_from_arrays(F.col("__hdr"), clean).alias("__map"),
+        F.when(F.col("__hdr").isNotNull(), F.map_from_arrays(F.col("__hdr"), clean)).alias("__map"),
         n_tok.alias("__ntok"),
         F.size("__hdr").alias("__nhead"),
     )
@@ -173,7 +159,8 @@ def rescue_csv(
     """Declared columns by header name + rescued JSON + corrupt line (token count != header)."""
     cols = _known_and_rescued(F.col("__map"), schema, rescue_col)
     if corrupt_col:
-        cols.append(F.when(F.col("__ntok") != F.col("__nhead"), F.col("value")).alias(corrupt_col))
+        lost = F.col("__map").isNull() | (F.col("__ntok") != F.col("__nhead"))
+        cols.append(F.when(lost, F.col("value")).alias(corrupt_col))
     if file_col:
         cols.append(F.col("__file").alias(file_col))
     return parsed.select(*cols)
@@ -202,13 +189,12 @@ def infer_schema(
     hints: str | None = None,
     sampling_ratio: float = 1.0,
     schema_location: str | None = None,
-    max_files: int = 1000,
     **options,
 ) -> T.StructType:
     """Inferred schema with type hints laid over it (SRC-9).
 
-    Inference runs once, on at most ``max_files`` files and a ``samplingRatio``
-    share of their rows; the result is kept as
+    Inference runs once, on a ``samplingRatio`` share of the rows of all files;
+    the result is kept as
     JSON at ``schema_location`` so a restarted stream reuses the same schema.
     Hinted columns missing from the data are appended.
     """
@@ -221,10 +207,7 @@ def infer_schema(
         reader = reader.option("header", "true").option("inferSchema", "true")
     for k, v in options.items():
         reader = reader.option(k, str(v))
-    # Infer from a bounded set of files (the listing is needed for any read);
-    # the data itself is later read with the resulting schema.
-    files = sorted(spark.read.format("text" if fmt == "csv" else fmt).options(**{k: str(v) for k, v in options.items()}).load(path).inputFiles())
-    inferred = reader.load(files[:max_files] if files else path).schema
+    inferred = reader.load(path).schema
     if hints:
         hinted = T._parse_datatype_string(hints)
         by_name = {f.name: f for f in hinted.fields}
@@ -288,7 +271,7 @@ def csv_lines_stream(
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
     t = r.load(path)
-    return t.select(F.regexp_replace("value", "^\ufeff", "").alias("value"), F.col("_metadata.file_path").alias("__file"))
+    return t.select(F.regexp_replace("value", "^\ufeff", "").alias("value"), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
 
 
 def rescue_csv_stream(

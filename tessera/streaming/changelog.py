@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.changes import BROADCAST_ROW_LIMIT, COMMIT_TIMESTAMP, COMMIT_VERSION
+from tessera.operators.changes import COMMIT_TIMESTAMP, COMMIT_VERSION
 from tessera.operators.scd import HELPERS, IS_DELETE, SEQ, TIE, gc_tombstones, scd1_state, scd1_view, scd2_versions, with_change_helpers
 from tessera.session import fs_exists, fs_list, fs_read_text, fs_write_text
 
@@ -148,7 +148,6 @@ class ChangeLogTable:
             rows = rows.unionByName(p)
         if only_keys is not None:
             side = only_keys.select(*[F.col(k).alias(f"__r_{k}") for k in self.keys])
-            side = F.broadcast(side) if n_keys <= BROADCAST_ROW_LIMIT else side
             cond = None
             for k in self.keys:
                 c = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
