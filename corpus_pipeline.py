@@ -52,7 +52,7 @@ STAGES = [
     ("sharding", sharding),
 ]
 
-#: SQL has neither the learned rules nor the SimHash components; tests/llm holds run() against a brute-force version.
+#: SQL has neither the learned rules nor the SimHash components; tests/llm checks the stages.
 ORACLE_SQL = None
 
 
