@@ -18,7 +18,7 @@ from tessera.session import scratch_path
 from tessera.sinks.tables import append_table, run_to_completion
 from tessera.sources.files import csv_stream, stream_table
 from tessera.streaming.changelog import ChangeLogTable, apply_stream
-from tessera.streaming.metrics import observed_totals
+from tessera.streaming.metrics import append_with_counts, expectation_totals
 
 
 def _event_table(spark, sf, name, arrival="in_order"):
@@ -71,14 +71,14 @@ def str_restart_resume(spark, sf):
 
 @register("str_expect_metrics", STAFF + EXPECT_SQL)
 def str_expect_metrics(spark, sf):
-    """Expectation pass/fail counts observed per micro-batch, summed over the run (STR-7)."""
+    """Expectation pass/fail counts kept per micro-batch, summed over the run (STR-7)."""
     base = scratch_path(spark, "str_metrics")
     S.write_csv(X.staff(spark, sf), f"{base}/in", files=4)
     schema = X.staff(spark, sf).schema
     rules = {**Q.CURATED_DROP_RULES, **Q.CURATED_WARN_RULES}
     s = csv_stream(spark, f"{base}/in", schema, max_files=1)
-    q = run_to_completion(append_table(Q.expect(s, rules, name="curated"), f"{base}/out", f"{base}/ck"))
-    return observed_totals(spark, q, "curated", list(rules))
+    run_to_completion(append_with_counts(s, rules, f"{base}/out", f"{base}/counts", f"{base}/ck"))
+    return expectation_totals(spark, f"{base}/counts")
 
 
 CURATED_LATEST_SQL = STAFF.rstrip() + """,

@@ -46,7 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; set a local one only if unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        # Only reached where the cluster names no shared folder (tests, a laptop).
+        # Executors on other machines would write to their own disks.
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", base)

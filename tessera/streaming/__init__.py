@@ -1,6 +1,6 @@
 """Streaming forms: change-log tables kept by micro-batches, stream metrics."""
 
 from tessera.streaming.changelog import ChangeLogTable, apply_stream, scd1_stream, scd2_stream
-from tessera.streaming.metrics import observed_totals
+from tessera.streaming.metrics import append_with_counts, expectation_totals, observed_totals
 
-__all__ = ["ChangeLogTable", "apply_stream", "scd1_stream", "scd2_stream", "observed_totals"]
+__all__ = ["ChangeLogTable", "apply_stream", "scd1_stream", "scd2_stream", "observed_totals", "append_with_counts", "expectation_totals"]

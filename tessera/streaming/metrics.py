@@ -1,22 +1,63 @@
-"""Per-micro-batch quality metrics from ``observe`` (STR-7, DQ-1 on streams)."""
+"""Per-micro-batch quality metrics (STR-7, DQ-1 on streams).
+
+Spark keeps only the last progress reports of a query, so totals come from
+counts that each batch writes to a folder of its own.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
+COUNTS = "rule string, passed long, failed long"
+
+
+def append_with_counts(
+    stream_df: DataFrame, rules: Mapping[str, str | Column], path: str, counts_path: str, checkpoint: str
+) -> StreamingQuery:
+    """Append a stream to ``path`` and each batch's expectation counts to ``counts_path``.
+
+    Rows and counts go to ``batch_id=`` folders that a replayed batch writes
+    anew; the counts are observed while the rows are written.
+    """
+    from tessera.operators.quality import expect_with_metrics
+    from tessera.sinks.tables import foreach_batch
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        rows, seen = expect_with_metrics(batch, rules)
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        counts = [(r, int(seen.get[f"{r}_passed"]), int(seen.get[f"{r}_failed"])) for r in rules]
+        one = batch.sparkSession.createDataFrame(counts, COUNTS)
+        one.coalesce(1).write.mode("overwrite").parquet(f"{counts_path}/batch_id={batch_id}")
+
+    return foreach_batch(stream_df, fn, checkpoint)
+
+
+def expectation_totals(spark: SparkSession, counts_path: str) -> DataFrame:
+    """(rule, passed, failed) over all batches written by :func:`append_with_counts`."""
+    counts = spark.read.schema(COUNTS).parquet(counts_path)
+    return counts.groupBy("rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
 def observed_totals(spark: SparkSession, query: StreamingQuery, name: str, rules: Sequence[str]) -> DataFrame:
-    """Sum ``<rule>_passed`` / ``<rule>_failed`` over every progress report of ``query``.
+    """Sum ``<rule>_passed`` / ``<rule>_failed`` over the progress reports that Spark still holds.
+
+    For short runs; raises when as many reports are held as Spark keeps, since
+    older ones may be gone.  :func:`append_with_counts` has complete totals.
 
     The metrics were computed by the executors; what reaches the driver is two
     counters per rule and batch.
     """
     totals = {r: [0, 0] for r in rules}
-    for p in query.recentProgress:
+    reports = query.recentProgress
+    if len(reports) >= int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")):
+        raise RuntimeError("progress reports may be incomplete; use append_with_counts")
+    for p in reports:
         row = p.observedMetrics.get(name)
         if row is None:
             continue
