@@ -109,50 +109,6 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n_docs = rows.count()
     df = {r["w"]: r["n"] for r in rows.select(F.explode("known").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
     idf = {w: math.log(1 + n_docs / (1 + df.get(w, 0))) or 1.0 for w in vocabulary}
-    postings, first, words = [], set(), set()
-    for number, t in enumerate(templates):
-        body, phrase = _words(t.text), _words(t.key_phrase)
-        at = next(i for i in range(len(body)) if body[i : i + len(phrase)] == phrase)
-        by_idf = sorted(set(body), key=lambda w: (-idf[w], w))
-        rare = set(body) if t.base else set(by_idf[:RARE_WORDS])
-        # every place holds the whole key phrase, so its rarest word finds all of them
-        first.add(min(phrase, key=lambda w: (-idf[w], w)))
-        for pos, word in enumerate(body):
-            must = at <= pos < at + len(phrase)
-            if must or word in rare:
-                postings.append((word, number, pos, idf[word] if word in rare else 0.0, int(must)))
-                words.add(word)
-    return postings, sorted(first), sorted(words)
-
-
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: tuple[Template, ...] = NOTICES) -> DataFrame:
-    """Licence places of every text; one row for each input row.
-
-    Returns ``id_col``, ``n_words``, ``n_base`` (places of base phrases),
-    ``first_word`` and ``last_word`` (their smallest and largest start, words
-    from 0), ``base_labels``, ``labels`` (distinct, sorted, comma-joined; those
-    of ``notices`` too) and ``score`` (best share of a template's IDF found at
-    one place, 0 without any).
-
-    Null and empty texts have no words and no places (null starts, empty
-    labels, score 0).  Null ids stay null, repeated rows get equal answers, an
-    empty table gives no rows, other columns are ignored.
-    """
-    require_columns(docs, id_col, text_col)
-    spark = docs.sparkSession
-    templates = [*BASE, *notices]
-    vocabulary = sorted({w for t in templates for w in _words(t.text)})  # bounded by the templates
-    t = F.col(text_col)
-    key = F.xxhash64(F.lit(2), t.isNull(), t)
-    tokens = docs.select(F.col(id_col).alias("id"), key.alias("k"), word_array(ascii_lower(t), NOT_WORD).alias("w"))
-    lit = lambda ws: F.array(*[F.lit(w) for w in ws])
-    rows = materialize(
-        tokens.select("id", "k", F.size("w").cast("long").alias("n_words"), F.array_intersect("w", lit(vocabulary)).alias("known")),
-        "license-rows",
-    )
-    n_docs = rows.count()
-    df = {r["w"]: r["n"] for r in rows.select(F.explode("known").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
-    idf = {r["w"]: r["idf"] for r in spark.createDataFrame([(w, df.get(w, 0)) for w in vocabulary], "w string, n long").select("w", F.log(1 + n_docs / (F.lit(1.0) + F.col("n"))).alias("idf")).collect()} if n_docs else dict.fromkeys(vocabulary, 1.0)
     postings, first, words = _index(templates, idf)
     index = spark.createDataFrame(postings, "word string, template int, tpos int, weight double, must int")
     facts = []

@@ -142,10 +142,8 @@ def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 WITH m AS (
-  SELECT conv_id, turn, role, regexp_replace(coalesce(text, ''), '^[ 	
-]+|[ 	
-]+$', '', 'g') AS body,
-         trim(regexp_replace(lower(coalesce(text, '')), '[ 	-]+', ' ', 'g')) <> '' AS said
+  SELECT conv_id, turn, role, regexp_replace(coalesce(text, ''), '^[\x20\x09\x0A\x0D]+|[\x20\x09\x0A\x0D]+$', '', 'g') AS body,
+         trim(regexp_replace(lower(coalesce(text, '')), '[\x20\x09-\x0D]+', ' ', 'g')) <> '' AS said
   FROM conversations),
 j AS (
   SELECT m.*, a.turn AS p1, b.turn AS p2, coalesce(a.said, FALSE) AS s1, coalesce(b.said, FALSE) AS s2
