@@ -1,208 +1,69 @@
-"""Order-dependent helpers that stay skew-safe.
-
-``next_in_key`` is ``lead(order) OVER (PARTITION BY keys ORDER BY order)``
-without ever putting a whole key into one task.  A plain key-partitioned
-window sends every row of a hot key (say a third of the table) to a single
-task.  Instead:
-
-1. cut the global (keys, order) sequence into B contiguous *blocks* using
-   bounds taken from a bounded sample (like a range partitioner, but the
-   block of a row is a pure function of its values, so any re-execution —
-   a retried task, a lost executor — puts it in the same block);
-2. take the lead inside each (block, key) group; such a group is at most
-   one block, so a hot key is spread over many tasks;
-3. the only rows still missing a successor are the last row of a key in a
-   block.  Blocks are contiguous, so that successor is the first row of the
-   next non-empty block when it has the same key.  That table has one row
-   per block (B, known up front) and is broadcast.
-
-B is sized from the estimated row count (``blocks_for``).  Up to
-``MAX_VALUE_BLOCKS`` the block comes from sampled bounds (a binary-search
-expression).  Beyond that, Spark's range partitioner places the rows and a
-reliable ``checkpoint()`` turns partition ids into stable block ids
-(``range_blocks`` / ``checkpoint_blocks``).
+"""The next row of a key without putting a whole key into one task.
+
+``lead(order) OVER (PARTITION BY keys ORDER BY order)`` sends every row of a
+hot key (say a third of the table) to a single task.  Here instead:
+
+1. Spark's range partitioner cuts the global (keys, order) sequence into
+   ``blocks`` contiguous ranges; a reliable ``checkpoint()`` in the shared
+   folder makes their partition ids stable block ids for every reader and any
+   retry;
+2. the first row of each block is copied to the end of the block before it, so
+   that a block's last row of a key finds its successor;
+3. the lead is taken inside each (block, key) group, at most one block long.
+
+The number of blocks is a parameter (default: the shuffle partitions of the
+session); nothing depends on size estimates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-SAMPLE_PER_BLOCK = 64  # sampled rows per block when choosing bounds
-MAX_SAMPLE_ROWS = 200_000  # hard cap on what reaches the driver
-ROWS_PER_BLOCK = 4_000_000  # target rows of one (block, key) group at most
-MAX_VALUE_BLOCKS = 1024  # above this, blocks come from a checkpointed range partitioning
-MAX_BLOCKS = 1_000_000
-
-
-def _literal(value, dtype: T.DataType) -> Column:
-    """A literal of exactly ``dtype`` for a collected value (nested structs too)."""
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, T.StructType):
-        return F.struct(*[_literal(value[i], f.dataType).alias(f.name) for i, f in enumerate(dtype.fields)])
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.lit(value.isoformat(sep=" ")).cast(dtype)
-    return F.lit(value).cast(dtype)
-
-
-def _width(dtype: T.DataType) -> int:
-    if isinstance(dtype, T.StructType):
-        return sum(_width(f.dataType) for f in dtype.fields)
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        return 20
-    if isinstance(dtype, (T.ArrayType, T.MapType)):
-        return 64
-    return 8
-
-
-def _estimated_rows(df: DataFrame) -> int:
-    """Row estimate from the optimizer's size statistics (no job is run)."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - statistics are optional
-        return 1_000_000
-    if size >= 1 << 60:  # the optimizer's "unknown"
-        return 1_000_000
-    width = max(8, _width(df.schema))
-    return max(1, size // width)
-
-
-def sample_bounds(sample_from: DataFrame, cols: Sequence[str], blocks: int) -> list:
-    """Up to ``blocks - 1`` ascending bound values of struct(cols), from a bounded sample."""
-    if blocks <= 1:
-        return []
-    want = min(MAX_SAMPLE_ROWS, blocks * SAMPLE_PER_BLOCK)
-    fraction = min(1.0, 2.0 * want / _estimated_rows(sample_from))
-    key = F.struct(*[F.col(c) for c in cols]).alias("__b")
-    # An oversized sample is cut in random order (a per-task top-k), never by
-    # limit(), which would keep the first partitions' key range.
-    sampled = sample_from.select(key).sample(False, fraction, seed=17)
-    sample = sampled.orderBy(F.rand(seed=17)).limit(want).orderBy("__b").collect()
-    if not sample:
-        return []
-    step = len(sample) / blocks
-    bounds, last = [], None
-    for i in range(1, blocks):
-        v = sample[min(len(sample) - 1, int(i * step))]["__b"]
-        if v != last:
-            bounds.append(v)
-            last = v
-    return bounds
-
-
-def block_of(x: Column, bounds: Sequence[Column]) -> Column:
-    """Block index of ``x``: i such that bounds[i-1] <= x < bounds[i] (binary search)."""
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(x < bounds[mid - 1], search(lo, mid - 1)).otherwise(search(mid, hi))
-
-    return search(0, len(bounds))
-
-
-def _null_safe_equal(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    out = F.lit(True)
-    for a, b in zip(left, right):
-        out = out & a.eqNullSafe(b)
-    return out
-
-
-def blocks_for(df: DataFrame, blocks: int | None = None) -> int:
-    """Block count: at least the shuffle partitions, enough for ~ROWS_PER_BLOCK each."""
-    if blocks:
-        return blocks
-    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return int(min(MAX_BLOCKS, max(base, -(-_estimated_rows(df) // ROWS_PER_BLOCK))))
-
-
-def checkpoint_blocks(ranged: DataFrame) -> DataFrame:
-    """Add ``__blk`` = partition id of a range-partitioned frame, made stable.
-
-    ``checkpoint()`` writes the partitions to the shared checkpoint folder
-    (reliable, unlike a local checkpoint), so ``spark_partition_id()`` names
-    the same contiguous block in every branch and after any retry.
-    """
-    from tessera.session import shared_dir
 
-    shared_dir(ranged.sparkSession)  # make sure the checkpoint folder is set
-    return ranged.checkpoint(eager=True).withColumn("__blk", F.spark_partition_id())
+BLOCK = "__blk"
 
 
-def range_blocks(df: DataFrame, cols: Sequence[str], blocks: int) -> DataFrame:
-    """Blocks from Spark's range partitioner (JVM binary search, any count)."""
-    return checkpoint_blocks(df.repartitionByRange(blocks, *[F.col(c).asc_nulls_first() for c in cols]))
+def ranges(df: DataFrame, cols: Sequence[str], blocks: int | None = None) -> DataFrame:
+    """``df`` in ``blocks`` contiguous ranges of (cols), NULL first; equal rows share a range."""
+    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in cols])
 
 
-def with_blocks(
-    df: DataFrame,
-    cols: Sequence[str],
-    blocks: int | None = None,
-    sample_from: DataFrame | None = None,
-) -> DataFrame:
-    """Add ``__blk``: the block of struct(cols) under bounds sampled from ``sample_from``."""
-    nblocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    src = sample_from if sample_from is not None else df
-    bound_vals = sample_bounds(src.select(*cols), cols, nblocks)
-    whole = F.struct(*[F.col(c) for c in cols])
-    if not bound_vals:
-        return df.withColumn("__blk", F.lit(0))
-    dtype = df.select(whole.alias("w")).schema["w"].dataType
-    return df.withColumn("__blk", block_of(whole, [_literal(v, dtype) for v in bound_vals]))
-
-
-def lead_in_blocks(
-    blocked: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    out_col: str = "__next",
-    heads_from: DataFrame | None = None,
-) -> DataFrame:
-    """Steps (2) and (3) on a frame that already has ``__blk``.
+def with_block_ids(ranged: DataFrame) -> DataFrame:
+    """Checkpoint a range-partitioned frame and add ``__blk``, its partition id."""
+    from tessera.session import shared_dir
 
-    ``heads_from`` (default ``blocked``) is any frame with ``__blk`` holding
-    the same set of (keys, order) values — e.g. the rows before a dedup — so
-    the per-block minimum does not recompute an expensive upstream.
-    """
+    shared_dir(ranged.sparkSession)  # make sure the checkpoint folder is set
+    return ranged.checkpoint(eager=True).withColumn(BLOCK, F.spark_partition_id())
+
+
+def lead_in_blocks(blocked: DataFrame, keys: Sequence[str], order: Sequence[str], out_col: str = "__next") -> DataFrame:
+    """Steps 2 and 3 on a frame with ``__blk`` that is unique on (keys, order)."""
+    cols = [c for c in blocked.columns if c != BLOCK]
     whole = F.struct(*[F.col(c) for c in [*keys, *order]])
-    w = Window.partitionBy("__blk", *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    order_struct = F.struct(*[F.col(c) for c in order])
-    inner = blocked.withColumn(out_col, F.lead(order_struct).over(w))
-
-    src = heads_from if heads_from is not None else blocked
-    heads = src.groupBy("__blk").agg(F.min(whole).alias("__head"))
-    heads = heads.select("__blk", F.lead("__head").over(Window.orderBy("__blk")).alias("__next_head"))
-    joined = inner.join(F.broadcast(heads), on="__blk", how="left")  # <= B rows
-    same_key = _null_safe_equal([F.col(f"__next_head.{k}") for k in keys], [F.col(k) for k in keys])
-    carry = F.when(
-        F.col("__next_head").isNotNull() & same_key,
-        F.struct(*[F.col(f"__next_head.{c}").alias(c) for c in order]),
+    heads = blocked.groupBy(BLOCK).agg(F.min(whole).alias("__head"))
+    # one row for each block, so a single task sees `blocks` rows at most
+    before = heads.select(F.lag(BLOCK).over(Window.orderBy(BLOCK)).alias(BLOCK), "__head").filter(F.col(BLOCK).isNotNull())
+    known = {c: F.col(f"__head.{c}") for c in [*keys, *order]}
+    copies = before.select(
+        *[known.get(c, F.lit(None).cast(blocked.schema[c].dataType)).alias(c) for c in cols],
+        BLOCK,
+        F.lit(True).alias("__copy"),
     )
-    return joined.withColumn(out_col, F.coalesce(F.col(out_col), carry)).drop("__blk", "__next_head")
+    rows = blocked.select(*cols, BLOCK, F.lit(False).alias("__copy")).unionByName(copies)
+    w = Window.partitionBy(BLOCK, *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    led = rows.withColumn(out_col, F.lead(F.struct(*[F.col(c) for c in order])).over(w))
+    return led.filter(~F.col("__copy")).drop(BLOCK, "__copy")
 
 
 def next_in_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    out_col: str = "__next",
-    blocks: int | None = None,
-    sample_from: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out_col: str = "__next", blocks: int | None = None
 ) -> DataFrame:
     """Add ``out_col`` = struct(order...) of the following row within the same key.
 
     ``order`` columns are compared ascending, NULL first (Spark's struct order).
-    Rows should be unique on (keys, order).  ``sample_from`` (default ``df``)
-    is where bounds are sampled: pass a cheaper frame with the same key
-    distribution (e.g. the input before a dedup aggregate).
+    Rows should be unique on (keys, order).
     """
-    nblocks = blocks_for(df, blocks)
-    if nblocks > MAX_VALUE_BLOCKS:
-        return lead_in_blocks(range_blocks(df, [*keys, *order], nblocks), keys, order, out_col)
-    blocked = with_blocks(df, [*keys, *order], nblocks, sample_from)
-    return lead_in_blocks(blocked, keys, order, out_col)
+    return lead_in_blocks(with_block_ids(ranges(df, [*keys, *order], blocks)), keys, order, out_col)

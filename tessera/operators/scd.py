@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.rules import as_column
-from tessera.operators.ordered import MAX_VALUE_BLOCKS, blocks_for, checkpoint_blocks, lead_in_blocks, with_blocks
+from tessera.operators.ordered import lead_in_blocks, ranges, with_block_ids
 
 SEQ = "__seq"
 IS_DELETE = "__is_delete"
@@ -101,15 +101,16 @@ def gc_tombstones(state: DataFrame, ts_field: str, ttl_seconds: int, now: Column
     """Drop tombstones whose sequence timestamp is older than ``now - ttl`` (CDC-9).
 
     ``ts_field`` names a timestamp field of the sequence struct.  ``now``
-    defaults to the newest sequence timestamp in the state (one scalar).
-    Live rows are never dropped.
+    defaults to the newest sequence timestamp in the state (one scalar); pass
+    it where it is known, which saves a fold of the state.  Live rows are never
+    dropped, and without a cutoff (no timestamp at all) no tombstone is either.
     """
     ts = F.col(f"{SEQ}.{ts_field}")
     if now is None:
-        newest = state.agg(F.max(ts)).first()[0]
-        now = F.lit(newest)
+        now = F.lit(state.agg(F.max(ts)).first()[0])
+    now = now.cast(state.select(ts.alias("t")).schema["t"].dataType)  # a typed NULL when there is none
     cutoff = now - F.make_dt_interval(secs=F.lit(ttl_seconds))
-    return state.filter(~F.col(IS_DELETE) | (ts >= cutoff))
+    return state.filter(~F.col(IS_DELETE) | F.coalesce(ts >= cutoff, F.lit(True)))
 
 
 def scd2_versions(staged: DataFrame, keys: Sequence[str], blocks: int | None = None) -> DataFrame:
@@ -121,32 +122,14 @@ def scd2_versions(staged: DataFrame, keys: Sequence[str], blocks: int | None = N
     """
     cols = list(staged.columns)
     order = [*keys, SEQ, IS_DELETE]
-    grouped = {*keys, SEQ, IS_DELETE}
-    nblocks = blocks_for(staged, blocks)
-
-    def dedup(frame):
-        return (
-            frame.groupBy("__blk", *[F.col(k) for k in keys], F.col(SEQ), F.col(IS_DELETE))
-            .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(TIE)).alias("__row"))
-            # grouping columns straight from the group keys keep the (block, key)
-            # partitioning visible, so the window needs no new exchange
-            .select("__blk", *[F.col(c) if c in grouped else F.col(f"__row.{c}").alias(c) for c in cols])
-        )
-
-    if nblocks <= MAX_VALUE_BLOCKS:
-        # Block every staged row (a pure function of its values), then one
-        # shuffle on (block, key) serves both the dedup aggregate and the window.
-        blocked = with_blocks(staged, order, nblocks, sample_from=staged)
-        deduped = dedup(blocked.repartition("__blk", *keys))
-        # Dedup drops no (key, sequence, kind) value, so block heads come from
-        # the staged rows: a partial aggregate over the scan, not a second dedup.
-        ordered = lead_in_blocks(deduped, keys, [SEQ, IS_DELETE], out_col="__next", heads_from=blocked)
-    else:
-        # Too many blocks for a bounds expression: range-partition, dedup in
-        # place (equal rows share a range), checkpoint, then lead per block.
-        ranged = staged.repartitionByRange(nblocks, *[F.col(c).asc_nulls_first() for c in order])
-        deduped = dedup(ranged.withColumn("__blk", F.lit(0))).drop("__blk")
-        ordered = lead_in_blocks(checkpoint_blocks(deduped), keys, [SEQ, IS_DELETE], out_col="__next")
+    # ranges of the grouping columns serve the aggregate too: equal rows share one
+    deduped = (
+        ranges(staged, order, blocks)
+        .groupBy(*[F.col(c) for c in order])
+        .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(TIE)).alias("__row"))
+        .select(*[F.col(c) if c in order else F.col(f"__row.{c}").alias(c) for c in cols])
+    )
+    ordered = lead_in_blocks(with_block_ids(deduped), keys, [SEQ, IS_DELETE])
     return (
         ordered.filter(~F.col(IS_DELETE))
         .withColumn("__START_AT", F.col(SEQ))
@@ -165,8 +148,8 @@ def scd2(
 ) -> DataFrame:
     """Version history per key (CDC-3; with ``apply_as_deletes`` CDC-4).
 
-    ``blocks`` overrides the number of order blocks (default: sized from the
-    estimated row count, see ``operators.ordered``).
+    ``blocks``: contiguous ranges of (key, sequence) that the history is cut
+    into, each at most one task (default: the session's shuffle partitions).
     """
     staged = with_change_helpers(changes, sequence_by, apply_as_deletes, except_columns)
     return scd2_versions(staged, keys, blocks)

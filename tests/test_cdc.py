@@ -131,18 +131,25 @@ def test_strict_append_raises_on_change(spark):
         C.assert_append_only(X.changes(spark, SMALL)).collect()
 
 
-def test_scd2_range_block_path_matches_value_blocks(spark):
-    """Above MAX_VALUE_BLOCKS the history comes from a checkpointed range partitioning."""
-    from tessera.operators import ordered
-
+def test_scd2_does_not_depend_on_the_number_of_blocks(spark):
     ch = C.read_changes(X.changes(spark, SMALL))
-    want = scd2(ch, ["user_id"], ["ts", "event_id"], "_change_type = 'delete'", C.CDF_COLUMNS, blocks=4)
-    got = scd2(ch, ["user_id"], ["ts", "event_id"], "_change_type = 'delete'", C.CDF_COLUMNS, blocks=ordered.MAX_VALUE_BLOCKS + 1)
-    assert sorted(got.collect()) == sorted(want.collect())
+    one, many = (
+        sorted(scd2(ch, ["user_id"], ["ts", "event_id"], "_change_type = 'delete'", C.CDF_COLUMNS, blocks=b).collect()) for b in (1, 40)
+    )
+    assert one == many
+    w = Window.partitionBy("k").orderBy("s")
     df = spark.range(0, 2000).select((F.col("id") % 3).alias("k"), ((F.col("id") * 7) % 2003).alias("s"))
-    fast = next_in_key(df, ["k"], ["s"], blocks=5).collect()
-    ranged = next_in_key(df, ["k"], ["s"], blocks=ordered.MAX_VALUE_BLOCKS + 1).collect()
-    assert sorted(fast) == sorted(ranged)
+    want = df.select("k", "s", F.lead("s").over(w).alias("n")).collect()
+    got = next_in_key(df, ["k"], ["s"], blocks=30).select("k", "s", F.col("__next.s").alias("n")).collect()
+    assert sorted(got) == sorted(want)
+
+
+def test_tombstones_without_a_sequence_time_stay(spark):
+    from tessera.operators.scd import gc_tombstones
+
+    df = spark.createDataFrame([("a", None, "delete"), ("b", None, "insert")], "k string, ts timestamp, _change_type string")
+    state = scd1_state(with_change_helpers(df, ["ts"]), ["k"])
+    assert gc_tombstones(state, "ts", 60).count() == 2
 
 
 def test_map_columns_in_changes(spark):
