@@ -20,6 +20,7 @@ COMMIT_TIMESTAMP = "_commit_timestamp"
 CDF_COLUMNS = [CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIMESTAMP]
 UPSERT_AND_DELETE = ("insert", "update_postimage", "delete")
 
+
 def read_changes(changes: DataFrame, types: Sequence[str] = UPSERT_AND_DELETE) -> DataFrame:
     """Keep the wanted change types (pre-images dropped by default) (SRC-16, FLT-4)."""
     return changes.filter(F.col(CHANGE_TYPE).isin(*types))
@@ -50,16 +51,31 @@ def join_bounded(
     return out if how in ("left_semi", "left_anti") else out.drop(*[f"__r_{k}" for k in on])
 
 
-def skip_change_commits(changes: DataFrame) -> DataFrame:
+def whole_commits(batch: DataFrame, log: DataFrame) -> DataFrame:
+    """All rows that ``log`` has of the commits from a micro-batch's first to its last.
+
+    A commit may span files and a micro-batch may end between them.  The log
+    holds every committed file, so what a batch sees of a commit does not
+    depend on where the batch was cut.  Commits must be complete before the
+    first of their files is listed.  The range is two scalars, pushed down to
+    the scan of the log.
+    """
+    lo, hi = batch.agg(F.min(COMMIT_VERSION), F.max(COMMIT_VERSION)).first()
+    return log.filter(F.col(COMMIT_VERSION).between(lo, hi)) if lo is not None else log.limit(0)
+
+
+def skip_change_commits(changes: DataFrame, log: DataFrame | None = None) -> DataFrame:
     """Drop every commit holding any non-insert row (SRC-15, ``skipChangeCommits``).
 
     Which commits are clean is one partial aggregate per commit (no commit
     is ever gathered into one task); the rows are then semi-joined to it.
-    In a stream this runs inside ``foreachBatch``: a commit is never split
-    across micro-batches because the log holds one file set per commit.
+    ``log``: where commits are judged, by default ``changes`` itself.  A
+    micro-batch may hold only some files of a commit, so a stream passes the
+    log it reads from.
     """
+    judged = changes if log is None else whole_commits(changes, log)
     clean = (
-        changes.groupBy(COMMIT_VERSION)
+        judged.groupBy(COMMIT_VERSION)
         .agg(F.bool_and(F.col(CHANGE_TYPE) == F.lit("insert")).alias("__clean"))
         .filter("__clean")
         .select(COMMIT_VERSION)
@@ -70,16 +86,15 @@ def skip_change_commits(changes: DataFrame) -> DataFrame:
 def assert_append_only(changes: DataFrame) -> DataFrame:
     """Fail the query on any non-insert change (SRC-14: a strict append stream).
 
-    The check replaces ``_change_type`` in the output projection, so it runs
-    on exactly the rows this frame yields (a filter could be pushed below an
-    upstream join and see rows that join removes).
+    The check is a filter, so it runs whichever columns are read later.  Its
+    condition counts as nondeterministic, which keeps it above upstream joins:
+    it sees the rows this frame yields, not rows that a join removes.
     """
     ct = F.col(CHANGE_TYPE)
-    checked = F.when(
-        ct != F.lit("insert"),
-        F.raise_error(F.concat(F.lit("non-append change in an append-only stream: "), ct)),
-    ).otherwise(ct)
-    return changes.withColumn(CHANGE_TYPE, checked.cast("string"))
+    message = F.concat(F.lit("non-append change in an append-only stream: "), F.coalesce(ct, F.lit("null")))
+    fails = F.raise_error(message).cast("boolean")
+    here = F.spark_partition_id() >= 0  # true for every row; keeps the optimizer from moving the filter
+    return changes.filter(F.when((ct == F.lit("insert")) & here, F.lit(True)).otherwise(fails))
 
 
 def _diff_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

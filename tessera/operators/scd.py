@@ -51,9 +51,12 @@ def with_change_helpers(
     sequence_by,
     apply_as_deletes: str | Column | None = "_change_type = 'delete'",
     except_columns: Sequence[str] = (),
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Stage rows for merging: value columns + ``__seq``, ``__is_delete``, ``__tie``.
 
+    ``carry``: excepted columns to keep beside them (no part of the tie hash).
+
     ``__tie`` is a hash of the value columns; it makes the choice between two
     upserts with one sequence deterministic (and the same in batch and stream).
     """
@@ -62,7 +65,7 @@ def with_change_helpers(
     values = _values(staged, except_columns)
     # maps cannot be hashed; their JSON text stands in for the tie hash only
     hashed = [F.to_json(c) if isinstance(staged.schema[c].dataType, T.MapType) else F.col(c) for c in values]
-    return staged.select(*values, SEQ, IS_DELETE, F.xxhash64(*hashed).alias(TIE))
+    return staged.select(*values, *carry, SEQ, IS_DELETE, F.xxhash64(*hashed).alias(TIE))
 
 
 def scd1_state(staged: DataFrame, keys: Sequence[str]) -> DataFrame:

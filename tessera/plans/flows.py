@@ -5,11 +5,12 @@ rerun picks up only what is new.  Nothing is collected: every hop is a
 Spark job from files to files.
 
 * :func:`run_primary`   — append track: CSV -> raw -> silver good/bad ->
-  curated (expectations) -> gold materialized view.
-* :func:`run_ignore`    — the same on a change log whose update/delete
-  commits are skipped (``skipChangeCommits``): layers keep old rows.
+  curated (expectations and their counts) -> gold materialized view and gold
+  SCD2, and the quarantine branch silver -> tagged staging -> manual curated / bad.
+* :func:`run_ignore`    — the same layers on a change log whose update/delete
+  commits are skipped (``skipChangeCommits``): they keep old rows.
 * :func:`run_propagate` — change propagation: raw change log -> silver SCD1
-  (+ bad) -> curated SCD1 gate (+ labelled bad) -> gold SCD2, and the
+  (+ bad) -> curated SCD1 gate (+ labelled bad) -> gold SCD2 and view, and the
   quarantine branch silver -> tagged staging SCD1 -> manual curated / bad
   SCD1; every hop reads the previous table's change feed.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import quality as Q
-from tessera.operators.changes import CDF_COLUMNS, COMMIT_VERSION, read_changes, skip_change_commits
+from tessera.operators.changes import CDF_COLUMNS, read_changes, skip_change_commits, whole_commits
 from tessera.operators.derive import add_derived, employee_derivations, gold_summary
 from tessera.sinks.tables import append_table, foreach_batch, refresh_view, run_to_completion
 from tessera.sources.files import csv_stream, stream_table
@@ -82,22 +83,55 @@ def run_primary(
         raise FileNotFoundError(f"no input files under {raw_dir}")
     run_to_completion(foreach_batch(_stream_dir(spark, f"{base}/raw"), silver, f"{ck}/silver"))
 
-    # hop 3: silver -> curated (drop rules) and its quarantine complement
+    # hop 3: silver -> curated (drop rules), what they drop, and the rules' counts
+    _curated_hop(spark, base, ck)
+
+    # hop 3b: silver -> tagged staging -> manual curated and bad, from one read of each batch
+    def quarantine(batch: DataFrame, batch_id: int) -> None:
+        tagged = Q.tag_violations(batch).persist()
+        try:
+            tagged.write.mode("overwrite").partitionBy("is_quarantined").parquet(f"{base}/silver_quarantine/batch_id={batch_id}")
+            ok, bad = Q.split_quarantine(tagged)
+            ok.write.mode("overwrite").parquet(f"{base}/curated_manual/batch_id={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{base}/curated_manual_bad/batch_id={batch_id}")
+        finally:
+            tagged.unpersist()
+
+    run_to_completion(foreach_batch(_stream_dir(spark, f"{base}/silver"), quarantine, f"{ck}/quarantine"))
+    return _gold_hop(spark, base, ck, as_of, keys, order_desc)
+
+
+def _curated_hop(spark: SparkSession, base: str, ck: str) -> None:
+    """silver -> curated, curated_bad and curated_counts (rule, passed, failed of each batch)."""
     rules = Q.CURATED_DROP_RULES
 
     def curated(batch: DataFrame, batch_id: int) -> None:
-        checked = Q.expect(batch, {**rules, **Q.CURATED_WARN_RULES}, name=f"curated_{batch_id}").persist()
+        batch = batch.persist()
         try:
-            Q.expect_or_drop(checked, rules).write.mode("overwrite").parquet(f"{base}/curated/batch_id={batch_id}")
-            Q.quarantine_complement(checked, rules).write.mode("overwrite").parquet(
-                f"{base}/curated_bad/batch_id={batch_id}"
-            )
+            Q.expect_or_drop(batch, rules).write.mode("overwrite").parquet(f"{base}/curated/batch_id={batch_id}")
+            Q.quarantine_complement(batch, rules).write.mode("overwrite").parquet(f"{base}/curated_bad/batch_id={batch_id}")
+            counts = Q.expectation_counts(batch, {**rules, **Q.CURATED_WARN_RULES})
+            counts.write.mode("overwrite").parquet(f"{base}/curated_counts/batch_id={batch_id}")
         finally:
-            checked.unpersist()
+            batch.unpersist()
 
     run_to_completion(foreach_batch(_stream_dir(spark, f"{base}/silver"), curated, f"{ck}/curated"))
 
-    # hop 4: gold materialized view over the curated table
+
+def gold_history(spark: SparkSession, base: str, keys=("empid",)) -> ChangeLogTable:
+    """The SCD2 gold table of the primary and the ignore track (no deletes reach it)."""
+    return ChangeLogTable(spark, f"{base}/gold_cdc", list(keys), SILVER_SEQUENCE, apply_as_deletes=None)
+
+
+def _gold_hop(spark: SparkSession, base: str, ck: str, as_of, keys, order_desc) -> DataFrame:
+    """curated -> gold SCD2 and the gold materialized view (returned)."""
+    history = gold_history(spark, base, keys)
+
+    def versions(batch: DataFrame, batch_id: int) -> None:
+        history.apply(add_derived(batch, employee_derivations(as_of)), batch_id)
+
+    run_to_completion(foreach_batch(_stream_dir(spark, f"{base}/curated"), versions, f"{ck}/gold_cdc"))
+
     def gold() -> DataFrame:
         cur = spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/curated")
         return gold_summary(cur, as_of=as_of, keys=keys, order_desc=order_desc)
@@ -105,6 +139,10 @@ def run_primary(
     return refresh_view(spark, gold, f"{base}/gold")
 
 
+def _read_log(spark: SparkSession, log_dir: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(log_dir)
+
+
 # ------------------------------------------------------------------ ignore
 def run_ignore(
     spark: SparkSession,
@@ -123,20 +161,20 @@ def run_ignore(
     log = stream_table(spark, log_dir, log_schema, maxFilesPerTrigger=max_files, recursiveFileLookup="true")
 
     def silver(batch: DataFrame, batch_id: int) -> None:
-        clean = skip_change_commits(batch).drop(*CDF_COLUMNS)
-        good = Q.good_rows(_enforce(clean, silver_schema, list(keep)))
-        good.write.mode("overwrite").parquet(f"{base}/silver/batch_id={batch_id}")
+        # a batch may end within a commit: commits are judged by all their files
+        clean = skip_change_commits(batch, _read_log(spark, log_dir, log_schema)).drop(*CDF_COLUMNS)
+        enforced = _enforce(clean, silver_schema, list(keep)).persist()
+        try:
+            Q.good_rows(enforced).write.mode("overwrite").parquet(f"{base}/silver/batch_id={batch_id}")
+            Q.bad_rows(enforced).write.mode("overwrite").parquet(f"{base}/silver_bad/batch_id={batch_id}")
+        finally:
+            enforced.unpersist()
 
     run_to_completion(foreach_batch(log, silver, f"{ck}/silver"))
     if not fs_exists(spark, f"{base}/silver"):
         raise FileNotFoundError(f"no change log files under {log_dir}")
-    cur = Q.expect_or_drop(_stream_dir(spark, f"{base}/silver"), Q.CURATED_DROP_RULES)
-    run_to_completion(append_table(cur, f"{base}/curated", f"{ck}/curated"))
-
-    def gold() -> DataFrame:
-        return gold_summary(spark.read.parquet(f"{base}/curated"), as_of=as_of, keys=keys, order_desc=order_desc)
-
-    return refresh_view(spark, gold, f"{base}/gold")
+    _curated_hop(spark, base, ck)
+    return _gold_hop(spark, base, ck, as_of, keys, order_desc)
 
 
 # ------------------------------------------------------------------ propagate
@@ -150,13 +188,11 @@ class PropagateTables:
     staging: ChangeLogTable  # quarantine staging: tagged silver rows (DQ-8)
     manual_curated: ChangeLogTable
     manual_bad: ChangeLogTable
+    gold_view: DataFrame | None = None  # recomputed from the curated table by each run
 
 
 def _changes_stream(spark: SparkSession, table: ChangeLogTable, max_files: int | None) -> DataFrame:
-    schema = spark.read.parquet(table.changes_path).schema
-    opts = {"maxFilesPerTrigger": max_files} if max_files else {}
-    s = stream_table(spark, table.changes_path, schema, **opts)
-    return s.withColumn(COMMIT_VERSION, F.col(COMMIT_VERSION).cast("bigint"))
+    return _stream_dir(spark, table.changes_path, max_files)
 
 
 def run_propagate(
@@ -171,19 +207,23 @@ def run_propagate(
     max_files: int = 1,
     hop_max_files: int | None = None,
     quarantine: bool = True,
+    silver_sequence=tuple(SILVER_SEQUENCE),
 ) -> PropagateTables:
     """Deletes and updates flow from a raw change log to gold SCD2 (CDC-7).
 
     Call it again as new raw commits arrive: each hop resumes from its
-    checkpoint.  ``max_files`` caps raw files per micro-batch (a file holds
-    whole commits); downstream hops take all new change-feed files of a run
-    in one batch unless ``hop_max_files`` is set.
+    checkpoint.  ``max_files`` caps raw files per micro-batch; commits that a
+    batch holds in part are read whole from the log, and every hop's feed
+    carries the raw commits' versions, so the tables do not depend on where
+    batches are cut.  Raw commits must arrive in order, and each downstream hop
+    takes all new feed files of a run in one batch (``hop_max_files`` caps them;
+    use it only if each feed file holds whole commits).
     """
     ck = f"{base}/_checkpoints"
     keys = list(keys)
     t = PropagateTables(
-        silver=ChangeLogTable(spark, f"{base}/silver", keys, SILVER_SEQUENCE, except_columns=CDF_COLUMNS),
-        silver_bad=ChangeLogTable(spark, f"{base}/silver_bad", keys, SILVER_SEQUENCE, except_columns=CDF_COLUMNS),
+        silver=ChangeLogTable(spark, f"{base}/silver", keys, list(silver_sequence), except_columns=CDF_COLUMNS),
+        silver_bad=ChangeLogTable(spark, f"{base}/silver_bad", keys, list(silver_sequence), except_columns=CDF_COLUMNS),
         curated=ChangeLogTable(spark, f"{base}/curated", keys, CURATED_SEQUENCE, except_columns=CDF_COLUMNS),
         curated_bad=ChangeLogTable(spark, f"{base}/curated_bad", keys, CURATED_SEQUENCE, except_columns=CDF_COLUMNS),
         gold=ChangeLogTable(spark, f"{base}/gold", keys, GOLD_SEQUENCE, except_columns=CDF_COLUMNS),
@@ -198,7 +238,8 @@ def run_propagate(
 
     # hop 1: raw change feed -> enforce -> silver SCD1 and silver-bad SCD1 (deletes reach both)
     def hop1(batch: DataFrame, batch_id: int) -> None:
-        enforced = _enforce(read_changes(batch), silver_schema, [*keep, *CDF_COLUMNS]).persist()
+        commits = whole_commits(batch, _read_log(spark, log_dir, log_schema))
+        enforced = _enforce(read_changes(commits), silver_schema, [*keep, *CDF_COLUMNS]).persist()
         try:
             good, bad = Q.split_enforced_changes(enforced)
             t.silver.apply(good, batch_id, emit_changes=True)
@@ -250,4 +291,8 @@ def run_propagate(
 
     if t.curated.has_changes():
         run_to_completion(foreach_batch(_changes_stream(spark, t.curated, hop_max_files), hop3, f"{ck}/gold"))
+        # the recomputed gold view: one row per key of the curated table as it is now
+        t.gold_view = refresh_view(
+            spark, lambda: gold_summary(t.curated.scd1(), as_of=as_of, keys=keys, order_desc=SILVER_SEQUENCE), f"{base}/gold_view"
+        )
     return t

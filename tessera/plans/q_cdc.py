@@ -16,7 +16,11 @@ from tessera.operators.scd import (
     with_change_helpers,
 )
 from tessera.plans import fixtures as X
+from tessera.plans import staging as S
 from tessera.plans.registry import register
+from tessera.session import scratch_path
+from tessera.sinks.tables import append_table, run_to_completion
+from tessera.sources.files import stream_table
 
 CHG = X.with_ctes(X.SQL_CHANGES)
 EV = "event_id, ts, user_id, event_type, value, props"
@@ -52,10 +56,14 @@ def cdc_skip_change_commits(spark, sf):
       (SELECT _commit_version FROM changes GROUP BY 1 HAVING bool_and(_change_type = 'insert'))""",
 )
 def src_strict_append(spark, sf):
-    """An append-only stream passes the strict check untouched (SRC-14).
+    """A stream over an append-only log passes the strict check untouched (SRC-14).
 
     The same check raises on any update or delete (see tests)."""
-    return C.assert_append_only(C.skip_change_commits(X.changes(spark, sf)))
+    base = scratch_path(spark, "strict_append")
+    schema = S.write_change_log(spark, C.skip_change_commits(X.changes(spark, sf)), f"{base}/log", files=4)
+    log = stream_table(spark, f"{base}/log", schema, maxFilesPerTrigger=2, recursiveFileLookup="true")
+    run_to_completion(append_table(C.assert_append_only(log), f"{base}/out", f"{base}/ck"))
+    return spark.read.schema(schema).parquet(f"{base}/out")
 
 
 @register(

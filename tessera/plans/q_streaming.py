@@ -100,20 +100,28 @@ def str_medallion(spark, sf):
     return comparable(gold)
 
 
-IGNORE_SQL = STAFF_CHANGES.rstrip() + f""",
-clean AS (SELECT * FROM chg_enforced WHERE _commit_version IN
-    (SELECT _commit_version FROM staff_changes GROUP BY 1 HAVING bool_and(_change_type = 'insert'))),
+# Commits of three neighbouring rows: some clean, some with an update or a delete.
+def three_row_commits(spark, sf):
+    return X.staff_changes(spark, sf).withColumn("_commit_version", F.floor(F.col("row_id") / 3).cast("bigint"))
+
+
+IGNORE_SQL = STAFF_CHANGES.rstrip() + """,
+clean AS (SELECT * FROM chg_enforced WHERE row_id // 3 IN
+    (SELECT row_id // 3 FROM staff_changes GROUP BY 1 HAVING bool_and(_change_type = 'insert'))),
 curated AS (SELECT * FROM clean WHERE NOT _is_bad AND dob IS NOT NULL AND empid IS NOT NULL AND salary > 0),
 latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY empid
     ORDER BY upd_tmst DESC NULLS LAST, create_tmst DESC NULLS LAST, row_id DESC) AS rn FROM curated) WHERE rn = 1)
-SELECT row_id, {TYPED_OUT}, {DERIVED_SQL} FROM latest"""
+"""
 
 
-@register("cdc_ignore_hops", IGNORE_SQL)
+@register("cdc_ignore_hops", IGNORE_SQL + f"SELECT row_id, {TYPED_OUT}, {DERIVED_SQL} FROM latest")
 def cdc_ignore_hops(spark, sf):
-    """Ignore-changes track: update/delete commits skipped, layers keep old rows (CDC-8)."""
+    """Ignore-changes track: update/delete commits skipped, layers keep old rows (CDC-8).
+
+    Each commit's rows are spread over three files and the stream takes one
+    file at a time."""
     base = scratch_path(spark, "cdc_ignore")
-    schema = S.write_change_log(spark, X.staff_changes(spark, sf), f"{base}/log", files=6)
+    schema = S.write_change_log(spark, three_row_commits(spark, sf), f"{base}/log", files=3, parts=3)
     gold = flows.run_ignore(
         spark, f"{base}/log", schema, X.SILVER_SCHEMA, f"{base}/tables", as_of=X.AS_OF,
         order_desc=("upd_tmst", "create_tmst", "row_id"),
@@ -121,17 +129,42 @@ def cdc_ignore_hops(spark, sf):
     return comparable(gold)
 
 
-def propagate(spark, sf, name="cdc_propagate", arrival="in_order"):
+def propagate(spark, sf, name="cdc_propagate", arrival="in_order", files=6, changes=None, parts=1, **how):
     base = scratch_path(spark, name)
-    schema = S.write_change_log(spark, X.staff_changes(spark, sf), f"{base}/log", files=6, arrival=arrival)
-    return flows.run_propagate(spark, f"{base}/log", schema, X.SILVER_SCHEMA, f"{base}/tables", as_of=X.AS_OF)
+    log = X.staff_changes(spark, sf) if changes is None else changes
+    schema = S.write_change_log(spark, log, f"{base}/log", files=files, arrival=arrival, parts=parts)
+    return flows.run_propagate(
+        spark, f"{base}/log", schema, X.SILVER_SCHEMA, f"{base}/tables", as_of=X.AS_OF,
+        silver_sequence=("upd_tmst", "create_tmst", "row_id"), **how,
+    )
 
 
-@register("cdc_propagate_hops")
+# One row per commit.  o numbers the rows by silver sequence, so a running max of o
+# names the row that is the key's state after each commit; feeds are its changes.
+PROPAGATE_SQL = STAFF_CHANGES.rstrip() + f""",
+good AS (SELECT *, row_number() OVER (ORDER BY upd_tmst NULLS FIRST, create_tmst NULLS FIRST, row_id) AS o
+  FROM chg_enforced WHERE _change_type = 'delete' OR NOT _is_bad),
+st AS (SELECT empid, _commit_version AS v,
+    max(o) OVER (PARTITION BY empid ORDER BY _commit_version ROWS UNBOUNDED PRECEDING) AS a,
+    max(o) OVER (PARTITION BY empid ORDER BY _commit_version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM good),
+live AS (SELECT st.*, ra._change_type <> 'delete' AS al, coalesce(rb._change_type <> 'delete', FALSE) AS bl
+  FROM st JOIN good ra ON ra.o = st.a LEFT JOIN good rb ON rb.o = st.b),
+feed1 AS (SELECT v, CASE WHEN al THEN a ELSE b END AS o, NOT al AS del FROM live WHERE (al AND a IS DISTINCT FROM b) OR (bl AND NOT al)),
+gated AS (SELECT feed1.v, feed1.o, feed1.del, g.empid FROM feed1 JOIN good g ON g.o = feed1.o
+  WHERE feed1.del OR (g.dob IS NOT NULL AND g.empid IS NOT NULL AND g.salary > 0)),
+cur AS (SELECT *, lag(o) OVER w AS b, coalesce(NOT lag(del) OVER w, FALSE) AS bl FROM gated WINDOW w AS (PARTITION BY empid ORDER BY v)),
+feed2 AS (SELECT v, CASE WHEN del THEN b ELSE o END AS o, del FROM cur WHERE (NOT del AND NOT (bl AND b = o)) OR (del AND bl)),
+gold AS (SELECT g.*, feed2.v, feed2.del, lead(g.upd_tmst) OVER w AS nu, lead(g.create_tmst) OVER w AS nc, lead(feed2.v) OVER w AS nv
+  FROM feed2 JOIN good g ON g.o = feed2.o
+  WINDOW w AS (PARTITION BY g.empid ORDER BY g.upd_tmst NULLS FIRST, g.create_tmst NULLS FIRST, feed2.v, feed2.del))
+SELECT row_id, {TYPED_OUT}, {DERIVED_SQL}, CAST(upd_tmst AS VARCHAR) AS __START_AT_upd_tmst, CAST(create_tmst AS VARCHAR) AS __START_AT_create_tmst,
+  v AS __START_AT__commit_version, CAST(nu AS VARCHAR) AS __END_AT_upd_tmst, CAST(nc AS VARCHAR) AS __END_AT_create_tmst,
+  nv AS __END_AT__commit_version
+FROM gold WHERE NOT del"""
+
+
+@register("cdc_propagate_hops", PROPAGATE_SQL)
 def cdc_propagate_hops(spark, sf):
-    """Raw change log -> silver SCD1 -> curated SCD1 -> gold SCD2 through change feeds (CDC-7).
-
-    Commit-by-commit propagation has no compact SQL form; tests compare it with
-    a brute-force replay on a small fixture."""
+    """Raw change log -> silver SCD1 -> curated SCD1 -> gold SCD2 through change feeds (CDC-7)."""
     t = propagate(spark, sf)
     return comparable(flatten_sequence(t.gold.scd2()))

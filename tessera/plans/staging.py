@@ -56,14 +56,16 @@ def write_change_log(
     path: str,
     files: int = 6,
     arrival: str = "in_order",
+    parts: int = 1,
 ) -> T.StructType:
-    """Write a change log as ``files`` Parquet files of whole, contiguous commits.
-
-    Every commit goes to exactly one file, so a file stream with
-    ``maxFilesPerTrigger=1`` sees every commit inside one micro-batch.  ``arrival`` sets file modification times, which
-    is the order the stream picks files up: ``in_order``, ``reversed``
-    (newest commits first) or ``interleaved`` (even files, then odd ones).
-    Files sit in ``__bucket=<n>`` subdirectories: stream the directory with
+    """Write a change log as ``files`` groups of contiguous commits, ``parts`` files each.
+
+    With ``parts`` above 1 a commit's rows are spread over the files of its
+    group, as those of a real commit are, so ``maxFilesPerTrigger=1`` cuts
+    through commits.  ``arrival`` sets file modification times, which is the
+    order the stream picks files up: ``in_order``, ``reversed`` (newest commits
+    first) or ``interleaved`` (even groups, then odd ones).  Files sit in
+    ``__bucket=<n>/__part=<n>`` subdirectories: stream the directory with
     ``recursiveFileLookup`` and the returned schema.
     """
     # Equal-width commit buckets, one bucket per file position: the grouping
@@ -71,31 +73,36 @@ def write_change_log(
     lo, hi = changes.agg(F.min("_commit_version"), F.max("_commit_version")).first()
     width = (hi - lo + 1) if lo is not None else 1
     bucket = F.floor((F.col("_commit_version") - F.lit(lo or 0)) * F.lit(files) / F.lit(width)).cast("int")
-    # One directory per bucket, each written by a single task: exactly one
-    # file per bucket, with no sampled range bounds involved.
+    # maps cannot be hashed
+    plain = [c for c in changes.columns if not isinstance(changes.schema[c].dataType, T.MapType)]
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in plain]), F.lit(parts)).cast("int")
     (
         changes.withColumn("__bucket", bucket)
-        .repartition(files, "__bucket")
+        .withColumn("__part", part)
+        .repartition(files * parts, "__bucket", "__part")
         .sortWithinPartitions("_commit_version")
         .write.mode("overwrite")
-        .partitionBy("__bucket")
+        .partitionBy("__bucket", "__part")
         .parquet(path)
     )
-    buckets = sorted(
-        (int(n.split("=", 1)[1]), n) for n, d, _, _ in fs_list(spark, path) if d and n.startswith("__bucket=")
-    )
-    names = [
-        f"{sub}/{f}"
-        for _, sub in buckets
-        for f in sorted(n for n, d, _, _ in fs_list(spark, f"{path}/{sub}") if not d and n.endswith(".parquet"))
+
+    def subdirs(at: str, key: str) -> list[str]:
+        found = [(int(n.split("=", 1)[1]), n) for n, d, _, _ in fs_list(spark, at) if d and n.startswith(f"{key}=")]
+        return [f"{at}/{n}" for _, n in sorted(found)]
+
+    groups = [
+        [
+            f"{sub}/{f}"
+            for sub in subdirs(b, "__part")
+            for f in sorted(n for n, d, _, _ in fs_list(spark, sub) if not d and n.endswith(".parquet"))
+        ]
+        for b in subdirs(path, "__bucket")
     ]
     if arrival == "reversed":
-        order = list(reversed(names))
+        groups.reverse()
     elif arrival == "interleaved":
-        order = names[0::2] + names[1::2]
-    else:
-        order = names
+        groups = groups[0::2] + groups[1::2]
     t0 = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
-    for i, n in enumerate(order):
-        fs_set_mtime(spark, f"{path}/{n}", t0 + i * 60_000)
+    for i, name in enumerate(n for g in groups for n in g):
+        fs_set_mtime(spark, name, t0 + i * 60_000)
     return changes.schema

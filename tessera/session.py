@@ -87,6 +87,12 @@ def fs_list(spark: SparkSession, path: str) -> list[tuple[str, bool, int, int]]:
     ]
 
 
+def fs_tree_size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def fs_delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):

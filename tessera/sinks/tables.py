@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.session import fs_exists, fs_list, fs_read_text, fs_write_text
+from tessera.session import fs_exists, fs_list, fs_read_text, fs_tree_size, fs_write_text
 
 CURRENT = "_CURRENT"
 
@@ -109,17 +110,6 @@ def foreach_row(stream_df: DataFrame, writer, checkpoint: str, trigger: str = "a
 TARGET_FILE_BYTES = {"raw": 1 << 30, "silver": 1 << 30, "curated": 1 << 30, "gold": 256 << 20}
 
 
-def partitions_for_size(df: DataFrame, target_bytes: int) -> int | None:
-    """Output partitions so files come out near ``target_bytes`` (None when unknown)."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - statistics are optional
-        return None
-    if size >= 1 << 60:  # the optimizer's "unknown"
-        return None
-    return max(1, -(-size // int(target_bytes)))
-
-
 def clustered_write(
     df: DataFrame,
     cols: Sequence[str],
@@ -130,15 +120,32 @@ def clustered_write(
 ) -> None:
     """Clustered layout (SNK-5): range-partition and sort by ``cols`` so each
     file covers a narrow key range and Parquet min/max statistics skip files
-    and row groups for filters on those columns.  The range count comes from
-    the plan's size estimate and ``target_file_bytes`` (one file per range)."""
-    n = partitions_for_size(df, target_file_bytes) if target_file_bytes else None
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in cols]) if n else df.repartitionByRange(*[F.col(c) for c in cols])
-    out = ranged.sortWithinPartitions(*cols)
+    and row groups for filters on those columns.  The session's shuffle
+    partitions give the ranges; AQE joins neighbours by the bytes it measured
+    up to ``target_file_bytes`` (one file per range)."""
+    out = df.repartitionByRange(*[F.col(c) for c in cols]).sortWithinPartitions(*cols)
     w = out.write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
-    w.parquet(path)
+    with advisory_size(df.sparkSession, target_file_bytes):
+        w.parquet(path)
+
+
+@contextmanager
+def advisory_size(spark: SparkSession, size: int | None):
+    """Within the block, AQE makes shuffle partitions of ``size`` bytes (None: the session's settings)."""
+    wanted = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(size)),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    } if size else {}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite") -> None:
@@ -206,17 +213,25 @@ def write_once(df: DataFrame, path: str, app_id: str, version: int, partition_by
     )
 
 
-def compact(spark: SparkSession, path: str, target_bytes: int = 1 << 30, out_path: str | None = None) -> str:
+def compact(
+    spark: SparkSession, path: str, target_bytes: int = 1 << 30, out_path: str | None = None, partition_by: Sequence[str] = ()
+) -> str:
     """Rewrite a directory of small files into files of about ``target_bytes`` (SNK-12).
 
-    The file count comes from the listed size, so no data passes the driver;
-    the rewrite goes to a new directory which is then returned (readers switch
+    The listed size of the whole tree says how many tasks write.  A partitioned
+    table keeps its layout: name its columns in ``partition_by``; its rows are
+    rebalanced by them, and AQE splits a large partition over several tasks.
+    The rewrite goes to a new directory which is then returned (readers switch
     over; the old files can be removed once nobody reads them).
     """
-    total = sum(size for name, is_dir, size, _ in fs_list(spark, path) if not is_dir and not name.startswith(("_", ".")))
-    n = max(1, -(-total // int(target_bytes)))
+    n = max(1, -(-fs_tree_size(spark, path) // int(target_bytes)))
     dest = out_path or f"{path.rstrip('/')}__compacted_{int(time.time() * 1000)}"
-    spark.read.parquet(path).repartition(n).write.mode("overwrite").parquet(dest)
+    rows = spark.read.parquet(path)
+    if partition_by:
+        with advisory_size(spark, target_bytes):
+            rows.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(dest)
+    else:
+        rows.repartition(n).write.mode("overwrite").parquet(dest)
     return dest
 
 

@@ -15,10 +15,11 @@ A :class:`ChangeLogTable` is merge-on-read:
   snapshot buckets of its own keys plus a bounded number of recent batch
   directories, not the whole history;
 * with ``emit_changes`` a batch also writes this table's own change feed
-  (insert / update pre+post images / delete) to
-  ``changes/_commit_version=<id>``; the next hop streams that directory.
-  Only the batch's keys are looked up in the older state (a semi-join whose
-  key side is broadcast only after its size is checked).
+  (insert / update pre+post images / delete) to ``changes/batch_id=<id>``;
+  the next hop streams that directory.  Changes are those between source
+  commits and carry their versions, so the feed does not depend on how commits
+  were cut into batches.  Only the batch's keys are looked up in the older
+  state (a semi-join without a hint).
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +37,8 @@ from tessera.session import fs_exists, fs_list, fs_read_text, fs_write_text
 
 
 MANIFEST = "_MANIFEST.json"
+COMMIT = "__commit"
+COMMIT_TIME = "__commit_time"
 
 
 class ChangeLogTable:
@@ -81,7 +84,12 @@ class ChangeLogTable:
 
     def _manifest(self) -> dict | None:
         text = fs_read_text(self.spark, f"{self.base_path}/{MANIFEST}")
-        return json.loads(text) if text else None
+        if not text:
+            return None
+        manifest = json.loads(text)
+        if manifest.get("count", self.buckets) != self.buckets:
+            raise ValueError(f"{self.path} has {manifest['count']} buckets, not {self.buckets}")
+        return manifest
 
     def _base_version(self) -> int | None:
         m = self._manifest()
@@ -114,7 +122,7 @@ class ChangeLogTable:
         if not ids:
             return None
         paths = [f"{self.log_path}/batch_id={b}" for b in ids]
-        return self.spark.read.option("basePath", self.log_path).parquet(*paths).drop("batch_id")
+        return self.spark.read.option("basePath", self.log_path).option("mergeSchema", "true").parquet(*paths).drop("batch_id")
 
     def _rows(self, before: int | None = None, only_keys: DataFrame | None = None) -> DataFrame | None:
         """Staged rows equivalent to the state before ``before``: base snapshot +
@@ -126,14 +134,10 @@ class ChangeLogTable:
         if base_v is not None and before is not None and base_v >= before:
             base_v = None  # a replay of an old batch: ignore the newer snapshot
         parts = []
-        n_keys, buckets = None, None
-        if only_keys is not None:
-            # one pass: the key count (broadcast decision) and the touched
-            # buckets (at most `buckets` values reach the driver)
-            stats = only_keys.agg(
-                F.count(F.lit(1)).alias("n"), F.collect_set(self._bucket()).alias("b")
-            ).first()
-            n_keys, buckets = int(stats["n"]), list(stats["b"])
+        buckets = None
+        if only_keys is not None and base_v is not None:
+            # at most `buckets` values reach the driver
+            buckets = list(only_keys.agg(F.collect_set(self._bucket()).alias("b")).first()["b"])
         if base_v is not None:
             base = self._base_rows(manifest, buckets)
             if base is not None:
@@ -145,7 +149,7 @@ class ChangeLogTable:
             return None
         rows = parts[0]
         for p in parts[1:]:
-            rows = rows.unionByName(p)
+            rows = rows.unionByName(p, allowMissingColumns=True)
         if only_keys is not None:
             side = only_keys.select(*[F.col(k).alias(f"__r_{k}") for k in self.keys])
             cond = None
@@ -176,36 +180,34 @@ class ChangeLogTable:
         return fs_exists(self.spark, self.changes_path)
 
     def change_feed(self) -> DataFrame:
-        return self.spark.read.parquet(self.changes_path).withColumn(
-            COMMIT_VERSION, F.col(COMMIT_VERSION).cast("bigint")
-        )
-
-    def change_feed_schema(self, value_schema: T.StructType) -> T.StructType:
-        return T.StructType(
-            [
-                *value_schema.fields,
-                T.StructField("_change_type", T.StringType()),
-                T.StructField(COMMIT_TIMESTAMP, T.TimestampType()),
-                T.StructField(COMMIT_VERSION, T.LongType()),
-            ]
-        )
+        return self.spark.read.option("recursiveFileLookup", "true").parquet(self.changes_path)
 
     # -------------------------------------------------------------- writes
     def apply(self, changes: DataFrame, batch_id: int, emit_changes: bool = False) -> None:
-        """Fold one micro-batch of change rows in; idempotent per ``batch_id``."""
-        staged = with_change_helpers(changes, self.sequence_by, self.apply_as_deletes, self.except_columns)
+        """Fold one micro-batch of change rows in; idempotent per ``batch_id``.
+
+        With ``emit_changes``, rows with ``_commit_version`` (and
+        ``_commit_timestamp``) are followed commit by commit; commits must
+        arrive whole and in order.  Without these columns the batch is one
+        commit and its id the version.
+        """
+        versioned = COMMIT_VERSION in changes.columns and COMMIT_VERSION in self.except_columns
+        if emit_changes:
+            version = F.col(COMMIT_VERSION) if versioned else F.lit(int(batch_id))
+            time = F.col(COMMIT_TIMESTAMP) if versioned and COMMIT_TIMESTAMP in changes.columns else F.current_timestamp()
+            changes = changes.withColumns({COMMIT: version.cast("bigint"), COMMIT_TIME: time})
+        carry = [COMMIT, COMMIT_TIME] if emit_changes else []
+        staged = with_change_helpers(changes, self.sequence_by, self.apply_as_deletes, [*self.except_columns, *carry], carry)
         staged = staged.persist()
         try:
             old = None
             if emit_changes:
                 affected = staged.select(*self.keys).distinct()
                 old = self._rows(before=batch_id, only_keys=affected)
-            staged.write.mode("overwrite").parquet(f"{self.log_path}/batch_id={batch_id}")
+            staged.drop(*carry).write.mode("overwrite").parquet(f"{self.log_path}/batch_id={batch_id}")
             if emit_changes:
-                feed = batch_change_feed(old, staged, self.keys, batch_id)
-                feed.drop(COMMIT_VERSION).write.mode("overwrite").parquet(
-                    f"{self.changes_path}/{COMMIT_VERSION}={batch_id}"
-                )
+                feed = batch_change_feed(old, staged, self.keys)
+                feed.write.mode("overwrite").parquet(f"{self.changes_path}/batch_id={batch_id}")
         finally:
             staged.unpersist()
         if self.compact_every:
@@ -233,12 +235,14 @@ class ChangeLogTable:
         rows = tail
         old = self._base_rows(manifest, touched) if base_v is not None else None
         if old is not None:
-            rows = old.unionByName(tail)
+            rows = old.unionByName(tail, allowMissingColumns=True)
         st = scd1_state(rows, self.keys)
         if self.tombstone_ttl_seconds is not None and self.tombstone_ts_field:
             # tombstone retention (CDC-9): a delete older than the TTL is
             # forgotten; a still later, older upsert could then come back
-            st = gc_tombstones(st, self.tombstone_ts_field, self.tombstone_ttl_seconds)
+            # "now" is the newest sequence time of the whole table, not of the touched buckets alone
+            seen = self._rows().agg(F.max(F.col(f"{SEQ}.{self.tombstone_ts_field}"))).first()[0]
+            st = gc_tombstones(st, self.tombstone_ts_field, self.tombstone_ttl_seconds, F.lit(seen))
         out = f"{self.base_path}/v={upto}"
         (
             st.withColumn("__bp", self._bucket())
@@ -254,7 +258,7 @@ class ChangeLogTable:
                 buckets[str(b)] = upto
             else:
                 buckets.pop(str(b), None)  # every row of the bucket was collected
-        fs_write_text(self.spark, f"{self.base_path}/{MANIFEST}", json.dumps({"version": upto, "buckets": buckets}))
+        fs_write_text(self.spark, f"{self.base_path}/{MANIFEST}", json.dumps({"version": upto, "count": self.buckets, "buckets": buckets}))
         return upto
 
 
@@ -280,27 +284,35 @@ def apply_stream(
     return foreach_batch(stream, fn, checkpoint, trigger=trigger)
 
 
-def batch_change_feed(old: DataFrame | None, staged: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
-    """Change rows of one batch from a single aggregate per affected key.
+def batch_change_feed(old: DataFrame | None, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Change rows of a batch, commit by commit.
 
     ``old`` holds the earlier staged rows of the batch's keys, ``staged`` the
-    batch.  Per key, ``max_by`` over old rows only is the state before, over
-    all rows the state after (``max_by`` skips NULL orderings); the images
-    follow row-wise.  One shuffle, where two folds and a full outer join
-    would take four.
+    batch with ``__commit`` and ``__commit_time``.  A partial aggregate first
+    leaves one row for each key and commit (and one for the older state); the
+    running ``max_by`` over a key's commits is the state after each, the one
+    before it the state before.  A window group has at most as many rows as
+    the batch has commits, whatever a hot key's share of the rows.
     """
-    cols = list(staged.columns)
+    cols = [c for c in staged.columns if c not in (COMMIT, COMMIT_TIME)]
     values = [c for c in cols if c not in HELPERS]
-    tagged = staged.withColumn("__old", F.lit(False))
+    tagged = staged
     if old is not None:
-        tagged = old.select(*cols).withColumn("__old", F.lit(True)).unionByName(tagged)
+        # no commit: before all of the batch
+        tagged = old.select(*[c for c in cols if c in old.columns]).unionByName(staged, allowMissingColumns=True).select(*staged.columns)
     packed = F.struct(*[F.col(c) for c in cols])
     order = F.struct(F.col(SEQ), F.col(IS_DELETE), F.col(TIE))
-    is_old = F.col("__old")
-    per_key = tagged.groupBy(*[F.col(k) for k in keys]).agg(
-        F.max_by(F.when(is_old, packed), F.when(is_old, order)).alias("__b"),
-        F.max_by(packed, order).alias("__a"),
+    per_commit = tagged.groupBy(*[F.col(k) for k in keys], COMMIT).agg(
+        F.max_by(packed, order).alias("__row"), F.max(order).alias("__order"), F.max(COMMIT_TIME).alias(COMMIT_TIME)
     )
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(F.col(COMMIT).asc_nulls_first())
+    latest = F.max_by("__row", "__order")
+    per_key = per_commit.select(
+        COMMIT,
+        COMMIT_TIME,
+        latest.over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__b"),
+        latest.over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__a"),
+    ).filter(F.col(COMMIT).isNotNull())
     b_live = F.col("__b").isNotNull() & ~F.col(f"__b.{IS_DELETE}")
     a_live = F.col("__a").isNotNull() & ~F.col(f"__a.{IS_DELETE}")
 
@@ -324,12 +336,12 @@ def batch_change_feed(old: DataFrame | None, staged: DataFrame, keys: Sequence[s
         image("update_preimage", changed, "__b"),
         image("update_postimage", changed, "__a"),
     )
-    out = per_key.select(F.explode(F.filter(images, lambda x: x.isNotNull())).alias("__c"))
+    out = per_key.select(COMMIT, COMMIT_TIME, F.explode(F.filter(images, lambda x: x.isNotNull())).alias("__c"))
     return out.select(
         *[F.col(f"__c.__r.{c}").alias(c) for c in values],
         F.col("__c._change_type").alias("_change_type"),
-        F.current_timestamp().alias(COMMIT_TIMESTAMP),
-        F.lit(int(version)).cast("bigint").alias(COMMIT_VERSION),
+        F.col(COMMIT_TIME).alias(COMMIT_TIMESTAMP),
+        F.col(COMMIT).alias(COMMIT_VERSION),
     )
 
 

@@ -129,6 +129,21 @@ def test_strict_append_raises_on_change(spark):
     assert ok.count() > 0
     with pytest.raises(PySparkException):
         C.assert_append_only(X.changes(spark, SMALL)).collect()
+    with pytest.raises(PySparkException):
+        C.assert_append_only(X.changes(spark, SMALL)).drop("_change_type").collect()
+    with pytest.raises(PySparkException):
+        C.assert_append_only(X.changes(spark, SMALL)).count()
+    # rows that an upstream join removes do not count
+    removed = X.changes(spark, SMALL).join(ok.select("event_id"), "event_id", "left_semi")
+    assert C.assert_append_only(removed).count() == ok.count()
+
+
+def test_commits_are_judged_by_their_whole_log(spark):
+    log = spark.createDataFrame([("a", 1, "insert"), ("b", 1, "delete"), ("c", 2, "insert")], "k string, _commit_version long, _change_type string")
+    batch = log.filter("k in ('a', 'c')")  # the delete of commit 1 is in another file
+    assert [r["k"] for r in C.skip_change_commits(batch, log).collect()] == ["c"]
+    assert sorted(r["k"] for r in C.whole_commits(log.filter("k = 'a'"), log).collect()) == ["a", "b"]
+    assert C.whole_commits(log.limit(0), log).count() == 0
 
 
 def test_scd2_does_not_depend_on_the_number_of_blocks(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.plans import staging as S
@@ -122,3 +123,24 @@ def test_rate_limit_makes_several_batches(spark, tmp):
     q = run_to_completion(append_table(s, f"{tmp}/out", f"{tmp}/ck"))
     assert len([p for p in q.recentProgress if p.numInputRows > 0]) == 3
     assert spark.read.parquet(f"{tmp}/out").count() == 6
+
+
+def test_compaction_keeps_the_partition_layout(spark, tmp):
+    import glob
+
+    from tessera.sinks.tables import clustered_write, compact
+
+    rows = spark.range(20_000).select(F.col("id"), (F.col("id") % 2).alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    rows.repartition(8).write.partitionBy("p").parquet(f"{tmp}/small")
+    dest = compact(spark, f"{tmp}/small", out_path=f"{tmp}/big", partition_by=["p"])
+    assert len(glob.glob(f"{dest}/p=*/*.parquet")) == 2
+    assert spark.read.parquet(dest).agg(F.sum("id"), F.sum("p")).first() == rows.agg(F.sum("id"), F.sum("p")).first()
+    # without partitions, files follow the size of the whole tree
+    spread = compact(spark, f"{tmp}/small", target_bytes=300_000, out_path=f"{tmp}/spread")
+    assert len(glob.glob(f"{spread}/*.parquet")) > 2
+    # clustered files cover ranges that do not overlap
+    more = spark.range(150_000).select(F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    clustered_write(more, ["t"], f"{tmp}/clustered", target_file_bytes=2_000_000)
+    files = spark.read.parquet(f"{tmp}/clustered").groupBy(F.input_file_name().alias("f")).agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
+    got = sorted((r["lo"], r["hi"]) for r in files.collect())
+    assert len(got) > 1 and all(a[1] < b[0] for a, b in zip(got, got[1:]))

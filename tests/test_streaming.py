@@ -191,6 +191,47 @@ def test_propagate_matches_replay(spark, tmp):
     assert "quarantine_reason" not in t.manual_curated.scd1().columns
 
 
+def test_propagation_does_not_depend_on_batch_cuts(spark):
+    from tessera.operators.scd import flatten_sequence
+    from tessera.plans.q_streaming import propagate, three_row_commits
+
+    log = three_row_commits(spark, SMALL).persist()
+    outcomes = []
+    for i, (files, parts) in enumerate([(1, 1), (3, 2)]):
+        t = propagate(spark, SMALL, f"cuts{i}", files=files, parts=parts, changes=log, quarantine=False)
+        outcomes.append((sorted(map(str, flatten_sequence(t.gold.scd2()).collect())), sorted(map(str, t.curated.scd1().collect()))))
+    log.unpersist()
+    assert outcomes[0] == outcomes[1]
+    # the recomputed view holds the curated keys as they are now
+    assert sorted(map(str, t.gold_view.select("empid").collect())) == sorted(map(str, t.curated.scd1().select("empid").collect()))
+
+
+def test_strict_stream_raises(spark, tmp):
+    import pytest
+
+    from tessera.sinks.tables import append_table
+
+    schema = S.write_change_log(spark, X.changes(spark, SMALL), f"{tmp}/log", files=2)
+    log = stream_table(spark, f"{tmp}/log", schema, recursiveFileLookup="true")
+    with pytest.raises(Exception, match="non-append change"):
+        run_to_completion(append_table(C.assert_append_only(log).drop("_change_type"), f"{tmp}/out", f"{tmp}/ck"))
+
+
+def test_a_changed_bucket_count_is_refused(spark, tmp):
+    import pytest
+
+    schema = "k string, v string, seq int, _change_type string"
+    rows = spark.createDataFrame([("a", "1", 1, "insert")], schema)
+    t = ChangeLogTable(spark, f"{tmp}/t", ["k"], "seq", except_columns=["_change_type"], buckets=16)
+    t.apply(rows, 0)
+    t.compact()
+    with pytest.raises(ValueError, match="16 buckets"):
+        ChangeLogTable(spark, f"{tmp}/t", ["k"], "seq", except_columns=["_change_type"], buckets=64).scd1()
+    # a batch with a new column is merged by name
+    t.apply(rows.withColumn("more", F.lit("x")).withColumn("seq", F.lit(2)), 1, emit_changes=True)
+    assert [(r["k"], r["more"]) for r in t.scd1().collect()] == [("a", "x")]
+
+
 def test_observed_expectations_on_a_stream(spark, tmp):
     from tessera.plans.catalog import QUERIES
 
@@ -315,6 +356,13 @@ def test_primary_track_side_outputs(spark, tmp):
     want = {r["row_id"]: r["failure_reason"] for r in Q.quarantine_complement(staff, Q.CURATED_DROP_RULES).collect()}
     assert bad == want
     assert gold.count() == read("curated").select("empid").distinct().count()
+    ok, quarantined = Q.split_quarantine(Q.tag_violations(staff))
+    assert read("curated_manual").count() == ok.count() and read("curated_manual_bad").count() == quarantined.count()
+    counts = spark.read.parquet(f"{tmp}/tables/curated_counts").groupBy("rule").agg(F.sum("passed").alias("p"), F.sum("failed").alias("f"))
+    want_counts = Q.expectation_counts(staff, {**Q.CURATED_DROP_RULES, **Q.CURATED_WARN_RULES})
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, want_counts.collect()))
+    history = flows.gold_history(spark, f"{tmp}/tables").scd2()
+    assert {r["empid"] for r in history.filter("__END_AT IS NULL").collect()} == {r["empid"] for r in read("curated").collect()}
 
 
 def test_scd1_stream_entry_point(spark, tmp):
