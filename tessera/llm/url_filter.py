@@ -71,7 +71,7 @@ def judge_urls(
         F.sort_array(F.collect_set(F.length("path"))).alias("lengths"),
     ).first()  # distinct small numbers: label counts and path lengths
 
-    full = F.sha2(F.concat(F.col("host"), F.col("path")), 256)
+    full = F.sha2(F.concat_ws(" ", "host", "path"), 256)  # the blank keeps host and path apart
     side = table.select(
         full.substr(1, 8).alias("r_short"),
         full.alias("r_full"),
@@ -94,7 +94,7 @@ def judge_urls(
     expressions = [
         F.when(
             (F.col("host") != "") & (F.col("labels") >= m) & (F.length("path") >= n),
-            F.sha2(F.concat(F.substring_index("host", ".", -m), F.substring("path", 1, n)), 256),
+            F.sha2(F.concat_ws(" ", F.substring_index("host", ".", -m), F.substring("path", 1, n)), 256),
         )
         for m in shape["labels"]
         for n in shape["lengths"]
