@@ -32,6 +32,16 @@ def require_columns(df: DataFrame, *names: str) -> None:
         raise ValueError(f"missing columns: {missing}")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names`` as column names that ``df`` does not have yet, with underscores added where it does."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, nothing else; texts without other characters take the fast path."""
     t = F.coalesce(text, F.lit(""))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import NOT_WORD, materialize, require_columns, word_array
+from tessera.llm.common import NOT_WORD, free_names, materialize, require_columns, word_array
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -223,7 +223,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose text holds no benchmark item."""
+    """The rows of ``docs`` (all columns, of whatever name) whose text holds no benchmark item.
+
+    Null and empty texts are clean; see :func:`contaminated` for the other cases.
+    """
     t = F.col(text_col)
-    bad = materialize(leaks(docs, benchmark, text_col, **how).select("__k").distinct(), "leak-found")
-    return docs.withColumn("__k", F.xxhash64(F.lit(2), t.isNull(), t)).join(bad, "__k", "left_anti").drop("__k")
+    (k,) = free_names(docs, "__k")
+    bad = materialize(leaks(docs, benchmark, text_col, **how).select(F.col("__k").alias(k)).distinct(), "leak-found")
+    return docs.withColumn(k, F.xxhash64(F.lit(2), t.isNull(), t)).join(bad, k, "left_anti").drop(k)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BLANKS, hash_key, materialize, prefix_sums, require_columns, word_array
+from tessera.llm.common import BLANKS, free_names, hash_key, materialize, prefix_sums, require_columns, word_array
 
 WEIGHTS = (3.0, 1.0, 2.0)
 
@@ -108,29 +108,30 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """``docs`` (its columns) with each row as often as the mix takes it.
+    """``docs`` (its columns, of whatever name) with each row as often as the mix takes it.
 
     The copy in which a source's budget ends keeps as many words as are taken,
     joined by single blanks.  Documents without words are not taken.
     """
     names = docs.columns
+    k1, k2, n_whole, n_piece, n_copy = free_names(docs, "__k1", "__k2", "__whole", "__piece", "__n")
     i, t = F.col(id_col), F.col(text_col)
     whole = F.col("epochs") + ((F.col("partial") == F.col("size")) & (F.col("size") > 0)).cast("long")
     piece = F.when((F.col("partial") > 0) & (F.col("partial") < F.col("size")), F.col("partial"))
     taken = (
         mix(docs, id_col, text_col, source_col, **how)
         .filter("taken > 0")
-        .groupBy(F.xxhash64(F.lit(1), F.col(id_col).isNull(), F.col(id_col)).alias("__k1"), F.col("text_hash").alias("__k2"))
-        .agg(F.sum(whole).alias("__whole"), F.max(piece).alias("__piece"))  # more than one row only for repeated ones
+        .groupBy(F.xxhash64(F.lit(1), F.col(id_col).isNull(), F.col(id_col)).alias(k1), F.col("text_hash").alias(k2))
+        .agg(F.sum(whole).alias(n_whole), F.max(piece).alias(n_piece))  # more than one row only for repeated ones
     )
-    own = docs.withColumns({"__k1": F.xxhash64(F.lit(1), i.isNull(), i), "__k2": F.xxhash64(F.lit(2), t.isNull(), t)})
+    own = docs.withColumns({k1: F.xxhash64(F.lit(1), i.isNull(), i), k2: F.xxhash64(F.lit(2), t.isNull(), t)})
     # of equal rows the first stands for all
-    first = own.join(taken, ["__k1", "__k2"]).dropDuplicates(["__k1", "__k2"])
+    first = own.join(taken, [k1, k2]).dropDuplicates([k1, k2])
     uncut = F.lit(-1).cast("long")
     copies = F.concat(
-        F.array_repeat(uncut, F.col("__whole").cast("int")),
-        F.when(F.col("__piece").isNotNull(), F.array("__piece")).otherwise(F.array().cast("array<bigint>")),
+        F.array_repeat(uncut, F.col(n_whole).cast("int")),
+        F.when(F.col(n_piece).isNotNull(), F.array(n_piece)).otherwise(F.array().cast("array<bigint>")),
     )
-    cut = F.array_join(F.slice(word_array(F.col(text_col), BLANKS), F.lit(1), F.col("__n").cast("int")), " ")
-    text = F.when(F.col("__n") < 0, F.col(text_col)).otherwise(cut)
-    return first.withColumn("__n", F.explode(copies)).select(*[text.alias(c) if c == text_col else F.col(c) for c in names])
+    cut = F.array_join(F.slice(word_array(F.col(text_col), BLANKS), F.lit(1), F.col(n_copy).cast("int")), " ")
+    text = F.when(F.col(n_copy) < 0, F.col(text_col)).otherwise(cut)
+    return first.withColumn(n_copy, F.explode(copies)).select(*[text.alias(c) if c == text_col else F.col(c) for c in names])

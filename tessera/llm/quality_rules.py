@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import hash_key, require_columns
+from tessera.llm.common import free_names, hash_key, require_columns
 
 SYMBOLS = "#*$%&|<>"
 BLANK_CHARS = " \t\n\v\f\r"
@@ -276,5 +276,6 @@ def quality_verdicts(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` (all columns) that pass the base checks and the rules."""
-    return with_stats(docs, text_col).filter(~base_failed() & first_rule(rules).isNull()).drop("__stats")
+    """The rows of ``docs`` (all columns, of whatever name) that pass the base checks and the rules."""
+    (s,) = free_names(docs, "__stats")
+    return with_stats(docs, text_col, s).filter(~base_failed(s) & first_rule(rules, s).isNull()).drop(s)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import materialize, require_columns
+from tessera.llm.common import free_names, materialize, require_columns
 
 BLOCK = 1024
 FAN = 32
@@ -333,15 +333,16 @@ def _first(i: str, fp: str, text_hash: str) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one row of each component of :func:`simhash_dedup` (all its columns)."""
+    """``docs`` with one row of each component of :func:`simhash_dedup` (all its columns, of whatever name)."""
+    k1, k2 = free_names(docs, "__k1", "__k2")
     kept = simhash_dedup(docs, id_col, text_col, **how).filter("keep").select(
-        F.xxhash64(F.lit(1), F.col(id_col).isNull(), F.col(id_col)).alias("__k1"), F.col("text_hash").alias("__k2")
+        F.xxhash64(F.lit(1), F.col(id_col).isNull(), F.col(id_col)).alias(k1), F.col("text_hash").alias(k2)
     )
     t = F.col(text_col)
     own = docs.withColumns(
         {
-            "__k1": F.xxhash64(F.lit(1), F.col(id_col).cast("long").isNull(), F.col(id_col).cast("long")),
-            "__k2": F.xxhash64(F.lit(2), t.isNull(), t),
+            k1: F.xxhash64(F.lit(1), F.col(id_col).cast("long").isNull(), F.col(id_col).cast("long")),
+            k2: F.xxhash64(F.lit(2), t.isNull(), t),
         }
     )
-    return own.join(kept.distinct(), ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"]).drop("__k1", "__k2")
+    return own.join(kept.distinct(), [k1, k2], "left_semi").dropDuplicates([k1, k2]).drop(k1, k2)
