@@ -28,6 +28,7 @@ from tessera.operators.changes import CDF_COLUMNS, read_changes, skip_change_com
 from tessera.operators.derive import add_derived, employee_derivations, gold_summary
 from tessera.sinks.tables import append_table, foreach_batch, refresh_view, run_to_completion
 from tessera.sources.files import csv_stream, stream_table
+from tessera.sources.rescue import CORRUPT_COL, RESCUE_COL, rescue_csv_stream
 from tessera.session import fs_exists
 from tessera.streaming.changelog import ChangeLogTable
 
@@ -61,15 +62,32 @@ def run_primary(
     keys=("empid",),
     order_desc=("upd_tmst", "create_tmst"),
     max_files: int = 2,
+    rescue_col: str | None = RESCUE_COL,
+    glob: str | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
-    """Append track end to end; returns the gold materialized view."""
+    """Append track end to end; returns the gold materialized view.
+
+    The raw table keeps every value the schema has no place for in ``rescue_col``
+    and every malformed line in ``_corrupt_record``; columns are found by header
+    name.  ``rescue_col=None`` reads by position, without rescued values.
+    """
     ck = f"{base}/_checkpoints"
-    # hop 1: files -> raw (malformed lines kept in _corrupt_record)
-    raw = csv_stream(spark, raw_dir, raw_schema, max_files=max_files, mode="PERMISSIVE", corrupt_col="_corrupt_record")
-    run_to_completion(append_table(raw, f"{base}/raw", f"{ck}/raw"))
+    # hop 1: files -> raw
+    if rescue_col:
+        declared = T.StructType([f for f in raw_schema if f.name != CORRUPT_COL])
+        raw = rescue_csv_stream(
+            spark, raw_dir, declared, f"{base}/raw", f"{ck}/raw", rescue_col, CORRUPT_COL, glob, recursive, max_files
+        )
+    else:
+        rows = csv_stream(
+            spark, raw_dir, raw_schema, max_files=max_files, mode="PERMISSIVE", corrupt_col=CORRUPT_COL, glob=glob, recursive=recursive
+        )
+        raw = append_table(rows, f"{base}/raw", f"{ck}/raw")
+    run_to_completion(raw)
 
     # hop 2: raw -> silver good and bad, both from one read of each batch
-    keep = [c for c in raw_schema.fieldNames() if c not in silver_schema.fieldNames() and c != "_corrupt_record"]
+    keep = [c for c in raw_schema.fieldNames() if c not in silver_schema.fieldNames() and c != CORRUPT_COL]
 
     def silver(batch: DataFrame, batch_id: int) -> None:
         enforced = _enforce(batch, silver_schema, keep).persist()

@@ -107,10 +107,12 @@ def parse_csv_by_header(
 
     ``lines`` has ``value``, ``__file`` and ``__block`` (see :func:`csv_lines`); it may
     be a micro-batch.  Lines of a file without a header have a null ``__map``.
+    Where a header repeats a name, the later column at place n is ``name#n``.
     """
     names = F.transform(F.split("value", _regex_escape(sep)), lambda x: F.trim(F.regexp_replace(x, '^"|"$', "")))
     # Quoted header names are rare; a plain split of the header line is enough
     # to count and name columns, the data lines get a full CSV parse.
+    named = lambda x, i: F.when(F.array_position("__hdr", x) == i + 1, x).otherwise(F.concat(x, F.lit("#"), i + 1))
     first = lines.filter(F.col("__block") == 0).withColumn("__at", F.monotonically_increasing_id())
     heads = (
         first.filter(F.length("value") > 0)
@@ -118,6 +120,7 @@ def parse_csv_by_header(
         .agg(F.min_by("value", "__at").alias("value"))
         .select("__file", F.col("value").alias("__head"), names.alias("__hdr"))
         .filter(F.array_contains("__hdr", first_column))
+        .withColumn("__hdr", F.transform("__hdr", named))
     )
     # Widest header decides the split width: exact, no cap.  Distinct names only reach the driver.
     stats = heads.agg(F.max(F.size("__hdr")).alias("w")).first()

@@ -34,6 +34,30 @@ def test_the_same_as_a_stream(spark, tmp):
     assert {tuple(r) for r in got} == WANT
 
 
+def test_a_repeated_header_name_is_rescued(spark, tmp):
+    fs_write_text(spark, f"{tmp}/in/a.csv", "id,name,name,id\n1,a,b,9\n2,c,,\n")
+    got = {tuple(r) for r in read_csv_rescued(spark, f"{tmp}/in", SCHEMA).select("id", "name", "_rescued_data").collect()}
+    assert got == {(1, "a", '{"name#3":"b","id#4":"9"}'), (2, "c", None)}
+
+
+def test_primary_track_keeps_what_the_schema_lacks(spark, tmp):
+    from tessera.plans import fixtures as X
+    from tessera.plans import flows
+
+    names = [f.name for f in X.RAW_SCHEMA if f.name != "_corrupt_record"]
+    values = {"empid": "E1", "name": "Ann", "dob": "1/15/1990", "salary": "75000.00", "joining_date": "3/1/2020", "dept_id": "D01", "create_tmst": "1/1/2024", "upd_tmst": "6/1/2024"}
+    turned = [names[0], *reversed(names[1:])]
+    for file, head, more in (("a", names, []), ("deep/b", turned, ["badge"])):
+        row = [values.get(n, "") if n != names[0] else file[-1] for n in head]
+        fs_write_text(spark, f"{tmp}/in/{file}.csv", ",".join([*head, *more]) + "\n" + ",".join([*row, *["B7"] * len(more)]) + "\n" + "short,1\n")
+    fs_write_text(spark, f"{tmp}/in/skip.txt", "no table\n")
+    gold = flows.run_primary(spark, f"{tmp}/in", X.RAW_SCHEMA, X.SILVER_SCHEMA, f"{tmp}/t", as_of=X.AS_OF, glob="*.csv", recursive=True)
+    raw = spark.read.parquet(f"{tmp}/t/raw")
+    assert raw.filter("_rescued_data is not null").select("_rescued_data").first()[0] == '{"badge":"B7"}'
+    assert [r[0] for r in raw.select("_corrupt_record").filter("_corrupt_record is not null").collect()] == ["short,1"] * 2
+    assert raw.count() == 4 and sorted(r[names[0]] for r in gold.collect()) == ["a", "b"]
+
+
 def test_inference_sees_every_file(spark, tmp):
     for i, v in enumerate(["1", "2", "abc"]):
         fs_write_text(spark, f"{tmp}/in/{i}.csv", f"v\n{v}\n")
