@@ -7,17 +7,20 @@ weighted Jaccard similarity (shingles weigh as often as they occur) of at least
 
 1. Texts become arrays of shingle hashes.  A window without any of the item's
    shingles has similarity 0, so only windows around a shared shingle are kept.
-2. Each such window gets a SimHash of its weighted shingles, and so does each
-   item.
+2. Each such window gets a SimHash of its shingles, and so does each item.  A
+   shingle's second and later occurrences are features of their own, so every
+   feature weighs 1 and the shared features are the weighted intersection.
 3. Multi-index: the 64 bits are cut into ``max_bits + 1`` blocks; a window and
    its item within ``max_bits`` bits agree in one block at least, so an
    equi-join on (item, block number, block bits) loses no pair in the radius.
 4. Pairs within the radius are verified by their exact similarity.
 
-DataFrame operations only.  The radius is wide enough that a pair at the
-similarity bound is missed with a chance below one in a million: at 0.8 the
-weighted cosine is 0.889 or more, 9.7 of 64 bits differ on average with a
-standard deviation of 2.9, and 24 is five deviations away.
+DataFrame operations only.  With features of weight 1, a similarity of 0.8 means
+a cosine of 0.889 or more: 9.7 of 64 bits differ on average with a standard
+deviation of 2.9, and 24 is five deviations away.  Counted out with ties for up to
+129 shingles, a pair at the bound is missed with a chance of at most 9 in a million.
+Only 4 shingles against 5 would be worse (123 in a million), so items of up to
+``EXACT_SHINGLES`` go to the exact check without the radius.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from tessera.llm.common import NOT_WORD, free_names, materialize, require_column
 SHINGLE = 5
 SIMILARITY = 0.8
 MAX_BITS = 24
+#: Items of so few shingles skip the radius: ties of their bit counts widen the distance.
+EXACT_SHINGLES = 5
 #: Distinct benchmark shingles up to which their hash table is broadcast (16 bytes each); beyond it, a shuffle join.
 BROADCAST_SHINGLES = 2_000_000
 #: The same for the 8-byte keys of texts that share a shingle with the benchmark.
@@ -52,6 +57,25 @@ def shingle_hashes(text: Column, shingle: int = SHINGLE) -> Column:
     return F.when(n >= 0, F.get(F.transform(F.array(words), at), F.lit(0)))
 
 
+def occurrences(hs: Column) -> Column:
+    """The hashes with the second and later occurrences of each hashed with their number: no two alike; order is not kept."""
+
+    def numbered(s: Column) -> Column:
+        def spread(firsts: Column) -> Column:
+            def run(at: Column, j: Column) -> Column:
+                last = F.coalesce(F.get(firsts, j + 1), F.size(s)) - at - 1
+                h = F.get(s, at)
+                return F.transform(F.sequence(F.lit(0), last), lambda o: F.when(o == 0, h).otherwise(F.xxhash64(h, o)))
+
+            return F.flatten(F.transform(firsts, run))
+
+        firsts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return F.get(F.transform(F.array(firsts), spread), F.lit(0))
+
+    repeats = F.size(F.array_distinct(hs)) < F.size(hs)
+    return F.when(repeats, F.get(F.transform(F.array(F.sort_array(hs)), numbered), F.lit(0))).otherwise(hs)
+
+
 #: Three counters of 21 bits in a long: bits b, b + 21 and b + 42 of a hash are counted at once.
 _THREE = 1 | 1 << 21 | 1 << 42
 
@@ -59,7 +83,7 @@ _THREE = 1 | 1 << 21 | 1 << 42
 def simhash(df: DataFrame, keys: list[str], h: str) -> DataFrame:
     """(keys, fp): bit b of ``fp`` is set when more than half of the group's hashes ``h`` have it.
 
-    A shingle weighs as often as it occurs.  Groups are windows, so their
+    Groups are windows, so their
     counts stay far below 2^21; rows of a window come from one row, so partial
     sums leave a single row of each to shuffle.
     """
@@ -151,9 +175,10 @@ def leaks(
     )
     spans = materialize(reach, "leak-windows")
     windows = spans.select("k", "n", "start").distinct()
-    content = windows.join(texts, "k").select("k", "n", "start", F.explode(F.slice("hs", F.col("start") + 1, F.col("n"))).alias("h"))
+    held = windows.join(texts, "k").select("k", "n", "start", F.slice("hs", F.col("start") + 1, F.col("n")).alias("w"))
+    content = held.select("k", "n", "start", F.explode(occurrences(F.col("w"))).alias("h"))
     window_fp = simhash(content, ["k", "n", "start"], "h")
-    whole = items.select("version", F.explode("hs").alias("h"))
+    whole = items.select("version", F.explode(occurrences(F.col("hs"))).alias("h"))
     item_fp = simhash(whole, ["version"], "h").withColumnRenamed("fp", "item_fp")
     blocks = lambda c: F.explode(hamming_blocks(F.col(c), max_bits)).alias("b")
     mine = spans.join(window_fp, ["k", "n", "start"]).select("k", "n", "start", "version", "fp", blocks("fp")).select("*", "b.*")
@@ -162,6 +187,7 @@ def leaks(
         mine.join(theirs, ["version", "block", "bits"])
         .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= max_bits)
         .select("k", "n", "start", "version")
+        .unionByName(spans.filter(F.col("n") <= EXACT_SHINGLES).select("k", "n", "start", "version"))
         .distinct()
     )
     # exact: the item's shingles within each window; stretches of n places keep a long text's windows and places apart

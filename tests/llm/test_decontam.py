@@ -7,8 +7,9 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from tessera.llm.decontam import contaminated, drop_contaminated, hamming_blocks
+from tessera.llm.decontam import contaminated, drop_contaminated, hamming_blocks, occurrences
 
 DOCS = "doc_id long, text string, items string"  # a clashing extra column
 WORD = re.compile(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -88,3 +89,24 @@ def test_blocks_cover_all_bits(spark):
     df = spark.createDataFrame([(-1,)], "fp long").select(hamming_blocks(F.col("fp"), 24).alias("b"))
     bits = [x["bits"] for x in df.first()["b"]]
     assert len(bits) == 25 and sum(bin(b).count("1") for b in bits) == 64
+
+
+def test_repeated_word_in_the_changed_part(spark):
+    """A copy whose last words became one repeated word: one shingle of it weighs as much as all others that changed."""
+    r = random.Random(11)
+    items, docs = [], []
+    for size in (150, 200, 400):
+        for _ in range(6):
+            body = [f"w{r.randrange(100_000)}" for _ in range(size)]
+            run = (size - 4) // 9  # similarity just above 0.8
+            items.append((len(items), " ".join(body)))
+            docs.append((len(docs), " ".join(body[:-run] + ["0"] * run + ["after"] * (len(docs) % 2)), None))
+    assert [brute(t, items) for _, t, _ in docs] == [{i} for i, _ in items]
+    got = contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc_id"]: r["items"] for r in got.collect()} == {i: str(i) for i, _ in items}
+
+
+def test_occurrences_are_numbered(spark):
+    df = spark.createDataFrame([([5, 7, 5, 5, 9, 7],), ([7, 5, 5, 7, 5, 9],), ([5, 7],), ([],), ([5] * 300,)], "hs array<long>")
+    a, b, c, d, e = [x["o"] for x in df.select(occurrences(F.col("hs")).alias("o")).collect()]
+    assert a == b and len(set(a)) == 6 and set(c) < set(a) and d == [] and len(set(e)) == 300 and len(set(a) & set(e)) == 3
