@@ -71,11 +71,25 @@ def with_rescued_json(
     schema: T.StructType,
     rescue_col: str = RESCUE_COL,
     keep: Sequence[str] = (),
+    corrupt_col: str | None = CORRUPT_COL,
 ) -> DataFrame:
     """Parse a JSON text column against ``schema``; unknown or mistyped keys go to
-    ``rescue_col`` (JSON text, NULL when nothing was rescued)."""
-    m = F.from_json(F.col(json_col), T.MapType(T.StringType(), T.StringType()))
-    return df.select(*keep, *_known_and_rescued(m, schema, rescue_col))
+    ``rescue_col`` (JSON text, NULL when nothing was rescued).
+
+    A text that is no JSON object, or has anything behind it, is kept as it is in ``corrupt_col``; without
+    such a column it is kept in ``rescue_col``, where it cannot be taken for a
+    rescue, as those are JSON objects."""
+    text, pairs = F.col(json_col), T.MapType(T.StringType(), T.StringType())
+    # from_json leaves out what stands behind a value: within brackets, and within braces for a "]", it cannot
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(pairs))
+    inner = F.from_json(F.concat(F.lit('{"":'), text, F.lit("}")), pairs)
+    whole = F.when((F.size(listed) == 1) & inner.isNotNull(), F.get(listed, F.lit(0)))
+    parsed = df.select(*keep, text.alias("__text"), whole.alias("__map"))
+    *cols, rescued = _known_and_rescued(F.col("__map"), schema, rescue_col)
+    corrupt = F.when(F.col("__map").isNull(), F.col("__text"))
+    if corrupt_col:
+        return parsed.select(*keep, *cols, rescued, corrupt.alias(corrupt_col))
+    return parsed.select(*keep, *cols, F.coalesce(corrupt, rescued).alias(rescue_col))
 
 
 # ------------------------------------------------------------------ CSV

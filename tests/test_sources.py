@@ -70,6 +70,21 @@ def test_rescue_json(spark):
     assert out[2]["_rescued_data"] is None and out[3]["tag"] is None
 
 
+def test_rescue_json_keeps_malformed_text(spark):
+    bad = ['{"tag": "a", "k": ', "not json", "[1, 2]", "", "null", '{"tag": "a"} {"k": 1}', '{"tag": "a", "k": 1}x', '{"tag": "a"}}', '{"tag": "a"}] x', '{"tag": "a"},{"k": 1}']
+    good = ['{"tag": "b"}', ' {"tag": "b", "k": {"x": [1]}} ', "{}", None]
+    df = spark.createDataFrame(list(enumerate(bad + good)), "id int, j string")
+    schema = T.StructType([T.StructField("tag", T.StringType())])
+    out = {r["id"]: r for r in R.with_rescued_json(df, "j", schema, keep=["id"]).collect()}
+    assert [out[i]["_corrupt_record"] for i in range(len(bad))] == bad
+    assert all(out[i]["tag"] is None and out[i]["_rescued_data"] is None for i in range(len(bad)))
+    assert all(out[i]["_corrupt_record"] is None for i in range(len(bad), len(out)))
+    assert [out[len(bad) + i]["tag"] for i in range(4)] == ["b", "b", None, None]
+    one = {r["id"]: r for r in R.with_rescued_json(df, "j", schema, keep=["id"], corrupt_col=None).collect()}
+    assert [one[i]["_rescued_data"] for i in range(len(bad))] == bad and one[len(out) - 1]["_rescued_data"] is None
+    assert one[len(bad) + 1]["_rescued_data"] == '{"k":"{\\"x\\":[1]}"}'
+
+
 def test_infer_with_hints(spark, csv_dir, tmp):
     s = R.infer_schema(spark, f"{csv_dir}/a.csv", hints="amount DECIMAL(12,2), extra INT", schema_location=f"{tmp}/inf")
     assert s["amount"].dataType == T.DecimalType(12, 2)
