@@ -162,9 +162,19 @@ def in_reply_order(linked: DataFrame, conv_col: str = "conv_id", turn_col: str =
 
 
 def as_mail(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
-    """``messages`` as a mail thread: each text below a quote of the turn before it and, one level deeper, of that before."""
+    """``messages`` as a mail thread: each text below a quote of the turn before it and, one level deeper, of that before.
+
+    One row for each input row; where several messages share a turn, the first text by order is quoted.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    before = messages.select(F.col(conv_col).alias("__c"), F.col(turn_col).alias("__t"), text.alias("__x"))
+    # written out, so that the joins below read it straight and a turn with very many replies can be split
+    before = materialize(
+        messages.select(F.col(conv_col).alias("__c"), F.col(turn_col).alias("__t"), text.alias("__x"))
+        .filter(F.col("__c").isNotNull() & F.col("__t").isNotNull())
+        .groupBy("__c", "__t")
+        .agg(F.min("__x").alias("__x")),
+        "chat-before",
+    )
 
     def back(df: DataFrame, by: int) -> DataFrame:
         old = before.toDF("__c", "__t", f"__x{by}")

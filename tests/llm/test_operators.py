@@ -250,3 +250,15 @@ def test_quotes(spark):
     assert in_reply_order(link_quotes(m)).count() == len(rows)
     plain = m.filter("turn < 1")
     assert as_mail(plain).collect() == plain.collect()
+
+
+def test_as_mail_gives_one_row_for_each_row(spark):
+    turns = [(c, t, "user", f"text {t}") for c in (1, 2, None) for t in (0, 1, 2, 3, None)]
+    rows = turns * 3 + [(1, 1, "assistant", "a text of the same turn")]
+    m = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    mail = as_mail(m)
+    assert mail.count() == len(rows)
+    got = Counter((r["conv_id"], r["turn"], r["text"]) for r in mail.collect())
+    assert got[(2, 1, "> text 0\n\ntext 1")] == 3 and got[(1, 2, ">> text 0\n> a text of the same turn\n\ntext 2")] == 3
+    assert got[(None, 2, "text 2")] == 3 and got[(1, None, "text None")] == 3
+    assert link_quotes(mail).count() == len(rows)
