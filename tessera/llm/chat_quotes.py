@@ -2,10 +2,16 @@
 
 Messages that answer others quote them with ``>`` before each line, deeper
 quotes with more of them.  Quote levels are parsed line by line, a run of lines
-of one level is a passage, and the hash of its normalised text finds the
-earlier message of the conversation that holds it.  A message's parent is the
-message its first-level passages come from; roots and depths follow by pointer
-doubling.  DataFrame operations only.
+of one level is a passage, and hashes of its normalised text find the earlier
+message of the conversation that holds it, as a whole or as a part.  A message's
+parent is the message its first-level passages come from; roots and depths
+follow by pointer doubling.  DataFrame operations only.
+
+Parts are found by doubling too: of a text's units (lines, then words), hashes
+of all runs of 1, 2, 4, ... are built from each other, and a run of any length is
+told by the two such runs that cover it from both ends.  So a passage of n units
+is one hash, and an equi-join with the runs of n units of the conversation's
+messages finds it wherever it stands.
 """
 
 from __future__ import annotations
@@ -28,6 +34,58 @@ def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"^[ \t\r\n]+|[ \t\r\n]+$", "")
 
 
+#: Units of a text, none empty: lines find quotes of whole lines cheaply, words also re-wrapped, cut and trimmed ones.
+UNITS = {
+    "lines": lambda text: F.array_remove(F.transform(F.split(text, "\n"), normalised), ""),
+    "words": lambda text: F.array_remove(F.split(normalised(text), " "), ""),
+}
+#: Passages up to which their hashes are broadcast (16 bytes each); beyond it, all runs are shuffled.
+BROADCAST_PASSAGES = 500_000
+
+
+def _doubled(hashes: Column) -> Column:
+    """Array of arrays: at place j the hashes of all runs of 2^j units, from a non-empty array of unit hashes."""
+
+    def longer(rows: Column, j: Column) -> Column:
+        last, step = F.get(rows, j - 1), F.pow(F.lit(2), j - 1).cast("int")
+        pairs = F.transform(F.sequence(F.lit(0), F.size(last) - 1 - step), lambda i: F.xxhash64(F.get(last, i), F.get(last, i + step)))
+        return F.when(j == 0, rows).otherwise(F.concat(rows, F.array(pairs)))
+
+    return F.aggregate(F.sequence(F.lit(0), F.length(F.bin(F.size(hashes))) - 1), F.array(hashes), longer)
+
+
+def _run_hashes(rows: Column, n: Column, size: Column) -> Column:
+    """Hashes of all runs of ``size`` of the ``n`` units that ``rows`` were doubled from, in order."""
+    k = F.length(F.bin(size)) - 1
+    row, step = F.get(rows, k), size - F.pow(F.lit(2), k).cast("int")
+    return F.transform(F.sequence(F.lit(0), n - size), lambda i: F.xxhash64(size, F.get(row, i), F.get(row, i + step)))
+
+
+def _parts_found(asked: DataFrame, placed: DataFrame, unit: str) -> DataFrame | None:
+    """(m, level, run, later): the latest earlier message that holds the passage's units in a row; None: nothing to ask.
+
+    ``asked`` has m, level, run, conv, turn and text, ``placed`` conv, turn and body.
+    """
+
+    def shaped(df: DataFrame, c: str) -> DataFrame:
+        hashed = df.withColumn("u", F.transform(UNITS[unit](F.col(c)), lambda x: F.xxhash64(x))).drop(c).withColumn("n", F.size("u"))
+        return hashed.filter("n > 0").withColumn("rows", _doubled(F.col("u")))
+
+    own = F.get(_run_hashes(F.col("rows"), F.col("n"), F.col("n")), F.lit(0))
+    want = materialize(shaped(asked, "text").select("m", "level", "run", "conv", "turn", "n", own.alias("h")), f"chat-{unit}-asked")
+    many = want.count()
+    if not many:
+        return None
+    # written out, so that the join reads it straight and a very long conversation can be split
+    sizes = materialize(want.groupBy("conv").agg(F.collect_set("n").alias("sizes")), f"chat-{unit}-sizes")
+    held = shaped(placed.select("conv", F.col("turn").alias("from"), "body").join(sizes, "conv"), "body")
+    sized = held.select("conv", "from", "n", "rows", F.explode("sizes").alias("size")).filter("size <= n")
+    index = sized.select("conv", "from", F.explode(F.array_distinct(_run_hashes(F.col("rows"), F.col("n"), F.col("size")))).alias("h"))
+    if many <= BROADCAST_PASSAGES:
+        index = index.join(F.broadcast(want.select("h").distinct()), "h", "left_semi")
+    return want.join(index, ["conv", "h"]).filter(F.col("from") < F.col("turn")).groupBy("m", "level", "run").agg(F.max("from").alias("later"))
+
+
 def passages(messages: DataFrame) -> DataFrame:
     """(m, level, run, text) of ``messages`` (m, text): maximal runs of lines of one quote level."""
     lines = messages.select("m", F.posexplode(F.split("text", "\n")).alias("pos", "line")).select(
@@ -81,9 +139,9 @@ def link_quotes(
     passage comes from), ``root_turn`` and ``depth`` (0: no parent) and
     ``chat`` (the message as ``<|role|>``, a line feed and the body).
 
-    A passage is found when an earlier message's unquoted text, one of its runs
-    of unquoted lines or one of its paragraphs is equal after normalising; the
-    latest such message counts.  Messages without conversation or turn are
+    A passage is found when its words stand in a row in an earlier message's
+    unquoted text, in any case and wrapping: the whole of it, some lines or
+    paragraphs, a sentence.  The latest such message counts.  Messages without conversation or turn are
     given back without links; their root is their own turn.  Several messages
     of one turn share its place in the tree.  A null text counts as empty, a
     null role as ``user`` in ``chat``; repeated rows get equal answers; an
@@ -121,10 +179,22 @@ def link_quotes(
     )
     quotes = parts.filter("level > 0").select("m", "level", "run", normalised(F.col("text")).alias("t")).filter("t <> ''")
     asked = quotes.join(placed.select("m", "conv", "turn"), "m", "left").select("m", "level", "run", "conv", "turn", F.sha2("t", 256).alias("h"))
-    linked = (
+    keys = ["m", "level", "run"]
+    found = materialize(
         asked.join(originals, ["conv", "h"], "left")
-        .groupBy("m", "level", "run")
-        .agg(F.max(F.when(F.col("from") < F.col("turn"), F.col("from"))).alias("from"))
+        .groupBy(*keys, "conv", "turn")
+        .agg(F.max(F.when(F.col("from") < F.col("turn"), F.col("from"))).alias("from")),
+        "chat-found",
+    )
+    # of deeper passages it only counts that they are found; none can be later than the turn before
+    unsettled = F.col("from").isNull() | ((F.col("level") == 1) & (F.col("from") != F.col("turn") - 1))
+    for unit in UNITS:
+        still = found.filter(unsettled & F.col("conv").isNotNull() & F.col("turn").isNotNull()).select(*keys, "conv", "turn")
+        part = _parts_found(still.join(parts, keys), placed, unit)
+        if part is not None:
+            found = materialize(found.join(part, keys, "left").withColumn("from", F.greatest("from", "later")).drop("later"), "chat-found")
+    linked = (
+        found
         .groupBy("m")
         .agg(
             F.count(F.lit(1)).alias("n_quotes"),
@@ -164,7 +234,7 @@ def in_reply_order(linked: DataFrame, conv_col: str = "conv_id", turn_col: str =
 def as_mail(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
     """``messages`` as a mail thread: each text below a quote of the turn before it and, one level deeper, of that before.
 
-    One row for each input row; where several messages share a turn, the first text by order is quoted.
+    By turns the quote is the whole text, its middle line or its paragraphs but the last.  One row for each input row; where several messages share a turn, the first text by order is quoted.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     # written out, so that the joins below read it straight and a turn with very many replies can be split
@@ -180,7 +250,17 @@ def as_mail(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
         old = before.toDF("__c", "__t", f"__x{by}")
         return df.join(old, (F.col(conv_col) == F.col("__c")) & (F.col(turn_col) - by == F.col("__t")), "left").drop("__c", "__t")
 
-    quoted = lambda c, mark: F.concat(F.lit(mark), F.replace(F.col(c), F.lit("\n"), F.lit("\n" + mark)))
-    parts = F.array_compact(F.array(quoted("__x2", ">> "), quoted("__x1", "> ")))
+    def cut(by: int) -> Column:
+        whole, said = F.col(f"__x{by}"), lambda x: normalised(x) != ""
+        lines = F.filter(F.split(whole, "\n"), said)
+        paragraphs = F.filter(F.split(whole, r"\n[ \t\r]*\n"), said)
+        some = F.array_join(F.slice(paragraphs, 1, F.size(paragraphs) - 1), "\n\n")
+        kind = F.pmod(F.col(turn_col) + by, F.lit(3))
+        return F.when((kind == 1) & (F.size(lines) > 1), F.get(lines, (F.size(lines) / 2).cast("int"))).when(
+            (kind == 2) & (F.size(paragraphs) > 1), some
+        ).otherwise(whole)
+
+    quoted = lambda by, mark: F.concat(F.lit(mark), F.replace(cut(by), F.lit("\n"), F.lit("\n" + mark)))
+    parts = F.array_compact(F.array(quoted(2, ">> "), quoted(1, "> ")))
     mail = F.when(F.size(parts) > 0, F.concat(F.array_join(parts, "\n"), F.lit("\n\n"), text)).otherwise(text)
     return back(back(messages, 1), 2).withColumn(text_col, mail).select(*messages.columns)

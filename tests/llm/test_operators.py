@@ -262,3 +262,56 @@ def test_as_mail_gives_one_row_for_each_row(spark):
     assert got[(2, 1, "> text 0\n\ntext 1")] == 3 and got[(1, 2, ">> text 0\n> a text of the same turn\n\ntext 2")] == 3
     assert got[(None, 2, "text 2")] == 3 and got[(1, None, "text None")] == 3
     assert link_quotes(mail).count() == len(rows)
+
+
+def test_partial_quotes(spark):
+    first = "Dear all,\nthe train leaves at nine\nfrom the main station.\n\nBring food. Bring water too.\n\nBest,\nAda"
+    parts = [
+        "> the train leaves at nine",  # one line of a paragraph
+        "> Bring food. Bring water too.\n>\n> Best,\n> Ada",  # two of three paragraphs
+        "> bring WATER too.",  # a sentence
+        "> the train\n> leaves at nine from the\n> main station.",  # wrapped anew
+        "> nine\n> from the main",  # cut at both ends
+        "> the train leaves from the main station.",  # words left out: not there
+        "> Ada the",  # not in this order
+    ]
+    rows = [(1, 0, first)] + [(1, 10 + i, f"{p}\n\nanswer{i}") for i, p in enumerate(parts)]
+    rows += [(2, 10 + i, f"{p}\n\nanswer{i}") for i, p in enumerate(parts)]  # the same without the original
+    rows += [(3, 0, "alpha beta"), (3, 1, "gamma\nalpha beta\ndelta"), (3, 2, "x alpha beta gamma"), (3, 3, "> alpha beta\nq"), (3, 5, ">> alpha beta\nr")]
+    m = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): (r["n_linked"], r["parent_turn"]) for r in link_quotes(m).collect()}
+    assert [got[(1, 10 + i)] for i in range(len(parts))] == [(1, 0)] * 5 + [(0, None)] * 2
+    assert all(got[(2, 10 + i)] == (0, None) for i in range(len(parts)))
+    assert got[(3, 3)] == (1, 2) and got[(3, 5)] == (1, None)
+
+
+def test_quotes_against_all_earlier_messages(spark):
+    r = random.Random(5)
+    rows, said = [], {}
+    for c in range(12):
+        for t in range(8):
+            lines = [" ".join(r.choice("abc") for _ in range(r.randint(1, 4))) for _ in range(r.randint(1, 5))]
+            words, quote = [r.choice("abc") for _ in range(r.randint(1, 9))], []
+            while words:
+                n = r.randint(1, 4)
+                quote.append("> " + " ".join(words[:n]))
+                words = words[n:]
+            rows.append((c, t, "user", "\n".join(quote + lines)))
+            said[(c, t)] = (" ".join(q[2:] for q in quote), " ".join(lines))
+    m = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    want = {(c, t): max((u for u in range(t) if f" {q} " in f" {said[(c, u)][1]} "), default=None) for (c, t), (q, _) in said.items()}
+    assert {(x["conv_id"], x["turn"]): x["parent_turn"] for x in link_quotes(m).collect()} == want
+    assert 20 < sum(x is not None for x in want.values()) < len(want) - 20
+
+
+def test_as_mail_quotes_parts_that_link(spark):
+    texts = ["one\ntwo\nthree\n\nfour\n\nfive", "six\n\nseven\n \neight", " \n", "nine", "ten\neleven\n\n\n\ntwelve"]
+    rows = [(1, t, "user", texts[t % 5]) for t in range(15)]
+    m = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    mail = {r["turn"]: r["text"] for r in as_mail(m).collect()}
+    assert mail[1].startswith("> one\n> two\n> three\n> \n> four\n\nsix")
+    assert mail[6] == ">> ten\n>> eleven\n> three\n\n" + texts[1]
+    got = {r["turn"]: r for r in link_quotes(as_mail(m)).collect()}
+    for t in range(15):
+        ok = [t - i >= 0 and bool(texts[(t - i) % 5].strip()) for i in (1, 2)]
+        assert (got[t]["n_quotes"], got[t]["n_linked"], got[t]["parent_turn"]) == (sum(ok), sum(ok), t - 1 if ok[0] else None)
