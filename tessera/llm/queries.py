@@ -16,6 +16,7 @@ from tessera.llm.decontam import contaminated
 from tessera.llm.license_scan import scan_licenses
 from tessera.llm.mixing import mix
 from tessera.llm.quality_rules import fit_rules, quality_verdicts
+from tessera.llm.recompression import repeat_digests
 from tessera.llm.secret_scan import find_secrets, secret_digest
 from tessera.llm.sharding import shard
 from tessera.llm.simhash_dedup import simhash_dedup
@@ -168,6 +169,28 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(find_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(_table(spark, sf_dir, "documents"), window=13)
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+h AS (SELECT i, doc_id, list_transform(range(1, len(w) - 11), lambda p: md5(array_to_string(w[p:p + 12], ' '))) AS hs FROM d),
+v AS (SELECT i, doc_id, unnest(hs) AS h, unnest(range(1, len(hs) + 1)) AS p FROM h),
+a AS (SELECT i, p, min(doc_id) OVER (PARTITION BY h) < doc_id AS again FROM v),
+r AS (SELECT DISTINCT i, unnest(range(p, p + 13)) AS p FROM a WHERE again),
+x AS (SELECT i, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS (
+  SELECT x.i, count(r.p) AS n_removed, string_agg(CASE WHEN r.p IS NULL THEN word END, ' ' ORDER BY x.p) AS kept
+  FROM x LEFT JOIN r ON r.i = x.i AND r.p = x.p GROUP BY x.i)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (i)
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -185,6 +208,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quotation_linking": op8_quotation_linking,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op13_substring_dedup": op13_substring_dedup,
     "pipeline": pipeline,
 }
 #: The others learn, walk a graph or follow a plan; tests/llm holds them against brute-force versions.
@@ -193,4 +217,5 @@ ORACLES: dict[str, str] = {
     "op4_source_mixing": OP4_SQL,
     "op5_url_filter": OP5_SQL,
     "op8_quotation_linking": OP8_SQL,
+    "op13_substring_dedup": OP13_SQL,
 }
