@@ -91,3 +91,29 @@ def prefix_sums(
     inner = Window.partitionBy(*by).orderBy(key, *ties).rowsBetween(Window.unboundedPreceding, -1)
     within = dealt.withColumn("__in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
     return within.join(starts, same(by), "left").select(*df.columns, (F.col("__before") + F.col("__in")).alias(out))
+
+
+def ranked(df: DataFrame, tree: list[str], order: list[str], rank: str = "rank", total: str = "total") -> DataFrame:
+    """``df`` with each row's rank (from 0) in its tree by ``order``, null first, and the tree's row count.
+
+    ``order`` should have no ties.  One task numbers one block of a range
+    partitioning; only the blocks' counts are summed up for each tree.
+    """
+    blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [F.col(c).asc_nulls_first() for c in [*tree, *order]]
+    cut = materialize(df.repartitionByRange(blocks, *by).withColumn("__blk", F.spark_partition_id()), "ranks")
+    counts = cut.groupBy("__blk", *tree).agg(F.count(F.lit(1)).alias("__n"))
+    whole = Window.partitionBy(*tree)
+    before = whole.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        F.col("__blk").alias("__b"),
+        *[F.col(c).alias(f"__t{i}") for i, c in enumerate(tree)],
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
+        F.sum("__n").over(whole).alias(total),
+    )
+    own = F.row_number().over(Window.partitionBy("__blk", *tree).orderBy(*by[len(tree) :])) - 1
+    same = (F.col("__blk") == F.col("__b")) & F.lit(True)
+    for i, c in enumerate(tree):
+        same &= F.col(c).eqNullSafe(F.col(f"__t{i}"))
+    numbered = cut.withColumn("__own", own).join(starts, same)
+    return numbered.select(*df.columns, (F.col("__before") + F.col("__own")).alias(rank), total)

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from tessera.llm.chat_quotes import as_mail, link_quotes
 from tessera.llm.decontam import contaminated
+from tessera.llm.divergence import divergence
 from tessera.llm.license_scan import scan_licenses
+from tessera.llm.merkle import document_proofs
 from tessera.llm.mixing import mix
 from tessera.llm.quality_rules import fit_rules, quality_verdicts
 from tessera.llm.recompression import repeat_digests
@@ -169,6 +171,105 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(find_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_proofs(_table(spark, sf_dir, "documents"))
+
+
+def _crc32(text: str) -> str:
+    """DuckDB has no CRC-32: its bitwise form over the bytes of an ASCII text."""
+    step = "lambda c, b: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    codes = f"list_transform(string_split({text}, ''), lambda s: CAST(ascii(s) AS BIGINT))"
+    byte = f"lambda crc, byte: list_reduce(range(8), {step}, xor(crc, byte))"
+    return f"xor(list_reduce({codes}, {byte}, 4294967295), 4294967295)"
+
+
+def _tree_sql(leaves: str, name: str) -> str:
+    """Recursive CTEs: ``name`` holds all nodes (tree, level, pos, digest) over ``leaves`` (tree, pos, digest)."""
+    return f"""
+{name}(tree, level, pos, digest, n) AS (
+  SELECT tree, 0, pos, digest, count(*) OVER (PARTITION BY tree) FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 2) // 3)
+  FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 3)"""
+
+
+def _fold_sql(start: str, tree: str, name: str) -> str:
+    """``name``: (i, tree, level, pos, digest, proof) of each document of ``start``, one row a level, with all siblings so far."""
+    left = "string_agg(y.digest, '' ORDER BY y.pos) FILTER (y.pos < f.pos)"
+    right = "string_agg(y.digest, '' ORDER BY y.pos) FILTER (y.pos > f.pos)"
+    return f"""
+{name}(i, tree, level, pos, digest, proof) AS (
+  SELECT i, tree, 0, pos, digest, proof FROM {start}
+  UNION ALL
+  SELECT f.i, f.tree, f.level + 1, f.pos // 3,
+         sha256(coalesce({left}, '') || f.digest || coalesce({right}, '')),
+         f.proof || coalesce({left}, '') || coalesce({right}, '')
+  FROM {name} f JOIN {tree} y ON y.tree IS NOT DISTINCT FROM f.tree AND y.level = f.level AND y.pos // 3 = f.pos // 3 AND y.n > 1
+  GROUP BY f.i, f.tree, f.level, f.pos, f.digest, f.proof)"""
+
+
+_PART = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+_LEAF = " || ".join(_PART.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+OP11_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS i, doc_id, source AS tree, sha256({_LEAF} || {_PART.format("text")}) AS leaf,
+         sha256({_LEAF} || {_PART.format("u")}) AS copy
+  FROM (SELECT *, CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS u FROM documents)),
+l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, i) - 1 AS pos, leaf AS digest, '' AS proof FROM d),
+{_tree_sql("l", "g")},
+s AS (SELECT tree AS source, digest AS subroot, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos FROM g WHERE n = 1),
+t AS (SELECT CAST(NULL AS VARCHAR) AS tree, pos, subroot AS digest FROM s),
+{_tree_sql("t", "h")},
+a AS (SELECT i, tree, pos, copy AS digest, proof FROM l),
+{_fold_sql("a", "g", "b")},
+b1 AS (SELECT b.* FROM b JOIN g ON g.tree IS NOT DISTINCT FROM b.tree AND g.level = b.level AND g.n = 1),
+c AS (SELECT b1.i, CAST(NULL AS VARCHAR) AS tree, s.pos, b1.digest, b1.proof FROM b1 JOIN s ON s.source IS NOT DISTINCT FROM b1.tree),
+{_fold_sql("c", "h", "e")},
+r AS (SELECT level, digest AS root FROM h WHERE n = 1)
+SELECT d.doc_id, d.leaf, s.subroot, r.root, sha256(e.proof) AS proof_sha256, e.digest AS folded_root, e.digest = r.root AS verified
+FROM d JOIN s ON s.source IS NOT DISTINCT FROM d.tree JOIN r ON TRUE JOIN e ON e.i = d.i AND e.level = r.level
+"""
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(_table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t AS (SELECT i, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT i) >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+a AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (
+  SELECT lang, source, term, n,
+         1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p
+  FROM a JOIN v USING (lang)),
+l AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 2)) // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * any_value(v)) AS q
+  FROM a JOIN v USING (lang) GROUP BY lang, term),
+f AS (
+  SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+  FROM p x JOIN p y ON y.lang = x.lang AND y.term = x.term AND y.source <> x.source GROUP BY ALL),
+u AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(f.value, 0) AS value
+  FROM g x JOIN g y ON y.lang = x.lang AND y.source <> x.source
+  LEFT JOIN f ON f.lang = x.lang AND f.source = x.source AND f.item = y.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(_table(spark, sf_dir, "documents"), window=13)
 
@@ -208,6 +309,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quotation_linking": op8_quotation_linking,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_source_divergence": op12_source_divergence,
     "op13_substring_dedup": op13_substring_dedup,
     "pipeline": pipeline,
 }
@@ -217,5 +320,7 @@ ORACLES: dict[str, str] = {
     "op4_source_mixing": OP4_SQL,
     "op5_url_filter": OP5_SQL,
     "op8_quotation_linking": OP8_SQL,
+    "op11_merkle_manifest": OP11_SQL,
+    "op12_source_divergence": OP12_SQL,
     "op13_substring_dedup": OP13_SQL,
 }
