@@ -23,15 +23,21 @@ stands in two texts has the same symbols in both but near its ends.
 
 No group meets in one task: within a batch of texts only the smallest document
 of a symbol or window asks the others, the rest are answered there and spread
-by a salted slot.  The texts are shuffled once; the plan reads that exchange
-three times.
+by a salted slot.  The texts are shuffled once, compressed; the plan reads that
+exchange three times.  Texts are told apart by 92 bits of their SHA-256, high
+symbols and windows by 92 bits of theirs; anchors, which only rule out, by 48.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections import defaultdict
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,14 +45,17 @@ from tessera.llm.common import free_names, materialize, require_columns
 
 WINDOW = 13
 #: Rounds before anchors are taken, and before high symbols are.
-LOW_ROUNDS, HIGH_ROUNDS = 1, 8
+LOW_ROUNDS, HIGH_ROUNDS = 1, 13
 #: Words that one batch of texts holds (a longer text is a batch of its own).
 BATCH_WORDS = 400_000
 #: Stands for a null document id: larger than any.
 LAST = (1 << 63) - 1
 
 U = np.uint64
-ASKS = "s1 long, s2 long, doc long, known boolean, val long, k1 long, k2 long"
+ASKS = "s1 long, k1 long, k2 int, s2 int, doc long, known boolean, val long"
+PLACES = "s1 long, k1 long, k2 int, s2 int, doc long, place int, places array<int>"
+#: Bits of the second half of a key or name, and of an anchor.
+HALF, ANCHOR = 28, 48
 
 
 def mix(a: np.ndarray, b: np.ndarray | int, salt: int) -> np.ndarray:
@@ -60,14 +69,15 @@ def mix(a: np.ndarray, b: np.ndarray | int, salt: int) -> np.ndarray:
     return z ^ (z >> U(32))
 
 
-def word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    """(two names of each word, all texts in a row; words of each text; the words)."""
+def word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(two names of each word, all texts in a row; words of each text)."""
     words = [t.split() for t in texts]
-    seen: dict[bytes, int] = {}
-    ids = np.fromiter((seen.setdefault(w, len(seen)) for ws in words for w in ws), np.int64)
-    full = [xxhash.xxh3_128_intdigest(w) for w in seen]
-    names = np.array([[x & 0xFFFFFFFFFFFFFFFF, x >> 64] for x in full], U).reshape(-1, 2)
-    return names[ids].T, np.array([len(ws) for ws in words], np.int64), words
+    seen: dict[bytes, int] = defaultdict()
+    seen.default_factory = seen.__len__
+    sizes = np.array([len(ws) for ws in words], np.int64)
+    ids = np.fromiter(map(seen.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
+    names = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, seen)), ">u8").astype(U).reshape(-1, 2)
+    return names[ids].T, sizes
 
 
 class Parse:
@@ -130,18 +140,19 @@ class Parse:
         self.lo[gone], self.hi[gone] = 1, 0
         self.round += 1
 
-    def anchors(self, whole: np.ndarray) -> np.ndarray:
+    def anchors(self, whole) -> np.ndarray:
         """The longest pair of neighbouring sure symbols of each window (of equal ones the smallest name).
 
         A window with a single sure symbol takes that; one with none, as in
-        long runs of a word, its whole name.
+        long runs of a word, its ``whole`` name.
         """
-        best, size = whole.copy(), np.zeros(len(self.lo), np.int64)
+        best, size = np.zeros(len(self.lo), U), np.zeros(len(self.lo), np.int64)
         if not len(self.lo):
             return best
         n, long = len(self.name), self.lengths()
-        one = self.lo == self.hi
+        one, none = self.lo == self.hi, self.lo > self.hi
         best[one] = self.name[self.lo[one]]
+        best[none] = whole(self.at[none])
         pairs = np.append(mix(self.name[:-1], self.name[1:], 7), U(0))
         both = np.append(long[:-1] + long[1:], 0)
         for j in range(int((self.hi - self.lo).max(initial=0))):
@@ -149,11 +160,11 @@ class Parse:
             inside = self.lo + j + 1 <= self.hi
             better = inside & ((both[at] > size) | ((both[at] == size) & (pairs[at] < best)))
             best, size = np.where(better, pairs[at], best), np.where(better, both[at], size)
-        return best
+        return best & U((1 << ANCHOR) - 1)
 
 
 def window_names(names: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit names of the windows' words."""
+    """Both halves of the names of the windows' words."""
     out = []
     for x, salt in ((names[0], 11), (names[1], 12)):
         h = np.zeros(len(at), U)
@@ -163,17 +174,26 @@ def window_names(names: np.ndarray, at: np.ndarray, window: int) -> tuple[np.nda
     return out[0], out[1]
 
 
-def batches(frames, words_of: str = "text"):
-    """Slices of the Arrow batches with up to ``BATCH_WORDS`` words, estimated by bytes (a word and its blank: 4)."""
+def batches(frames):
+    """(slice of an Arrow batch, its texts) with up to ``BATCH_WORDS`` words, estimated by bytes (a word and its blank: 4)."""
+    unpack = zstandard.ZstdDecompressor()
     for batch in frames:
-        size = np.array([len(t) for t in batch.column(words_of).to_pylist()], np.int64) // 4
+        packed = batch.column("text").to_pylist()
+        sizes = [zstandard.get_frame_parameters(p).content_size // 4 for p in packed]
         lo = 0
         while lo < batch.num_rows:
-            hi = lo + max(1, int(np.searchsorted(np.cumsum(size[lo:]), BATCH_WORDS, "right")))
-            yield batch.slice(lo, hi - lo)
+            hi, held = lo + 1, sizes[lo]
+            while hi < batch.num_rows and held + sizes[hi] <= BATCH_WORDS:
+                held += sizes[hi]
+                hi += 1
+            yield batch.slice(lo, hi - lo), [unpack.decompress(p) for p in packed[lo:hi]]
             lo = hi
 
 
+def keys_of(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("k1", "k2", "doc"))
+
+
 def longs(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).astype(U).view(np.int64))
 
@@ -191,35 +211,41 @@ def groups(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def low_and_high(names, sizes, window: int):
     """(anchor of each window, window starts, text of each window, high symbols as (name, check, start, size, text))."""
     p = Parse(names, sizes, window)
-    texts = p.text[p.at] if len(p.at) else np.zeros(0, np.int64)
-    whole = window_names(names, p.at, window)[0]
+    texts, starts = p.text[p.at], p.at
     for _ in range(LOW_ROUNDS):
         p.step()
-    anchors = p.anchors(whole)
-    starts = p.at
+    anchors = p.anchors(lambda at: window_names(names, at, window)[0])
     p.at = p.lo = p.hi = np.zeros(0, np.int64)  # high symbols need no windows
     for _ in range(HIGH_ROUNDS - LOW_ROUNDS):
         p.step()
-    size = p.lengths() if p.words else np.zeros(0, np.int64)
+    size = p.lengths()
     big = size >= window
     return anchors, starts, texts, tuple(x[big] for x in (p.name, p.check, p.start, size, p.text))
 
 
+def half(x: np.ndarray) -> np.ndarray:
+    return (x >> U(64 - HALF)).astype(np.int32)
+
+
 def asks(window: int):
     """(k1, k2, doc, text) -> anchors and high symbols, one row for each text that has them."""
 
     def run(frames):
-        for b in batches(frames):
-            k1, k2, doc = (np.array(b.column(c).to_pylist(), np.int64) for c in ("k1", "k2", "doc"))
-            names, sizes, _ = word_names(b.column("text").to_pylist())
+        for b, texts_ in batches(frames):
+            k1, k2, doc = keys_of(b)
+            names, sizes = word_names(texts_)
             offset = np.cumsum(sizes) - sizes
             anchors, _, texts, (name, check, start, _, of) = low_and_high(names, sizes, window)
             _, once = groups(anchors, texts)
             a, t = anchors[once], texts[once]
             group, lead = groups(a, np.zeros(len(a), U))
             alone = np.bincount(group, minlength=1)[group] == 1  # in no other text of this batch
-            low = (
-                np.where(lead, a, mix(a, k1[t].view(U), 21)), np.zeros(len(a), U), np.zeros(len(a), np.int64), ~alone, a, t,
+            n = len(a)
+            slots = np.where(lead, a, mix(a, k1[t].view(U), 21) & U((1 << ANCHOR) - 1))
+            yield pa.RecordBatch.from_arrays(
+                [longs(slots), pa.array(k1[t]), pa.array(k2[t]), pa.array(np.zeros(n, np.int32)), pa.nulls(n, pa.int64()),
+                 pa.array(~alone), pa.array(a.view(np.int64), mask=lead)],
+                [f.split()[0] for f in ASKS.split(", ")],
             )
             order = np.argsort(doc[of], kind="stable")
             name, check, start, of = name[order], check[order], start[order], of[order]
@@ -228,72 +254,67 @@ def asks(window: int):
             least = np.full(len(name), LAST)
             np.minimum.at(least, group, doc[of])
             later = doc[of] > least[group]
-            high = (
-                np.where(lead, name, mix(name, mix(start, k1[of].view(U), 22), 23)), np.where(lead, check, mix(check, start, 24)),
-                doc[of], later, (start - offset[of]).astype(U), of,
-            )
-            is_high = np.append(np.zeros(len(a), bool), np.ones(len(name), bool))
-            s1, s2, d, known, val, t = (np.concatenate(x) for x in zip(low, high, strict=True))
+            slots = np.where(lead, name, mix(name, mix(start, k1[of].view(U), 22), 23))
             yield pa.RecordBatch.from_arrays(
-                [longs(s1), longs(s2), pa.array(d, mask=~is_high), pa.array(known), longs(val), pa.array(k1[t]), pa.array(k2[t])],
-                ["s1", "s2", "doc", "known", "val", "k1", "k2"],
-            )
+                [longs(slots), pa.array(k1[of]), pa.array(k2[of]), pa.array(half(check) | np.int32(1 << HALF)), pa.array(doc[of]),
+                 pa.array(later), pa.array(start - offset[of])],
+                [f.split()[0] for f in ASKS.split(", ")],
+            )
 
     return run
 
 
 def offers(window: int):
-    """(k1, k2, doc, text, shared, settled) -> open windows, and what is known to be a repeat (``known``)."""
+    """(k1, k2, doc, text, shared, settled) -> open windows with their ``place``; ``places`` known to be repeats."""
 
     def run(frames):
-        for b in batches(f.filter(f.column("shared").is_valid()) for f in frames):  # the others hold no repeat
-            k1, k2, doc = (np.array(b.column(c).to_pylist(), np.int64) for c in ("k1", "k2", "doc"))
-            names, sizes, _ = word_names(b.column("text").to_pylist())
+        for b, texts_ in batches(f.filter(f.column("shared").is_valid()) for f in frames):  # the others hold no repeat
+            k1, k2, doc = keys_of(b)
+            names, sizes = word_names(texts_)
             offset = np.cumsum(sizes) - sizes
             anchors, starts, texts, (_, _, high, size, of) = low_and_high(names, sizes, window)
-            shared, settled = b.column("shared").to_pylist(), b.column("settled").to_pylist()
 
             def among(values, owners, lists):
                 """Which (value, owner) are in the owners' lists."""
-                has = [np.array(x or [], np.int64).view(U) for x in lists]
-                have = np.concatenate([mix(x, i, 25) for i, x in enumerate(has)]) if has else np.zeros(0, U)
-                return np.isin(mix(values, owners, 25), have)
+                flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(U)
+                whose = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+                return np.isin(mix(values, owners, 25), mix(flat, whose, 25))
 
             done = np.zeros(int(sizes.sum()) + 1, np.int64)  # windows in settled symbols, as differences
-            hit = among(high - offset[of], of, settled)
+            hit = among(high - offset[of], of, b.column("settled"))
             np.add.at(done, high[hit], 1)
             np.add.at(done, (high + size - window + 1)[hit], -1)
             inside = np.cumsum(done)[starts] > 0
-            open_ = ~inside & among(anchors, texts, shared)
+            open_ = ~inside & among(anchors, texts, b.column("shared"))
             at, t = starts[open_], texts[open_]
-            order = np.argsort(doc[t], kind="stable")
-            at, t = at[order], t[order]
             w1, w2 = window_names(names, at, window)
+            order = np.argsort(doc[t], kind="stable")
+            at, t, w1, w2 = at[order], t[order], w1[order], w2[order]
             group, lead = groups(w1, w2)
             least = np.full(len(at), LAST)
             np.minimum.at(least, group, doc[t])
             later = doc[t] > least[group]
-            # a smallest document that has the window more than once asks for each place
-            same = ~lead & ~later
-            known = np.concatenate([starts[inside], at[later]])
-            of = np.concatenate([texts[inside], t[later]])
-            ask = lead | same
-            rows = [w1[ask], w2[ask]], doc[t[ask]], at[ask] - offset[t[ask]], t[ask]
-            n = int(ask.sum())
+            # asks: the first, and the smallest document's other places with this window
+            ask = np.flatnonzero(lead | ~later)
+            ask = ask[np.argsort(t[ask], kind="stable")]  # one text's rows lie together
+            a = t[ask]
             yield pa.RecordBatch.from_arrays(
-                [*(longs(x) for x in rows[0]), pa.array(rows[1]), pa.array(np.zeros(n, bool)),
-                 pa.array([[x] for x in rows[2].tolist()], pa.list_(pa.int32())), pa.array(k1[rows[3]]), pa.array(k2[rows[3]])],
-                ["s1", "s2", "doc", "known", "places", "k1", "k2"],
+                [longs(w1[ask]), pa.array(k1[a]), pa.array(k2[a]), pa.array(half(w2[ask])), pa.array(doc[a]),
+                 pa.array((at[ask] - offset[a]).astype(np.int32)), pa.nulls(len(ask), pa.list_(pa.int32()))],
+                [f.split()[0] for f in PLACES.split(", ")],
             )
             # places that are settled here: one row a text, dealt by its key
+            known, of = np.concatenate([starts[inside], at[later]]), np.concatenate([texts[inside], t[later]])
             order = np.argsort(of, kind="stable")
             of, known = of[order], known[order]
             own, first = np.unique(of, return_index=True)
-            lists = [(x - offset[i]).tolist() for i, x in zip(own.tolist(), np.split(known, first[1:]), strict=False)]
+            places = pa.ListArray.from_arrays(
+                pa.array(np.append(first, len(of)).astype(np.int32)), pa.array((known - offset[of]).astype(np.int32))
+            )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k1[own]), pa.array(k2[own]), pa.array(doc[own]), pa.array(np.ones(len(own), bool)),
-                 pa.array(lists, pa.list_(pa.int32())), pa.array(k1[own]), pa.array(k2[own])],
-                ["s1", "s2", "doc", "known", "places", "k1", "k2"],
+                [pa.array(k1[own]), pa.array(k1[own]), pa.array(k2[own]), pa.array(k2[own]), pa.array(doc[own]),
+                 pa.nulls(len(own), pa.int32()), places],
+                [f.split()[0] for f in PLACES.split(", ")],
             )
 
     return run
@@ -303,13 +324,13 @@ def cut(window: int):
     """(k1, k2, doc, text, places) -> the words that no repeated window covers."""
 
     def run(frames):
-        for b in batches(frames):
+        for b, texts in batches(frames):
             kept, counts, removed = [], [], []
-            for text, places in zip(b.column("text").to_pylist(), b.column("places").to_pylist(), strict=True):
+            for text, places in zip(texts, b.column("places"), strict=True):
                 words = text.split()
                 gone = np.zeros(len(words) + 1, np.int64)
-                if places:
-                    at = np.unique(np.array(places, np.int64))
+                if places.is_valid:
+                    at = np.unique(places.values.to_numpy(zero_copy_only=False).astype(np.int64))
                     gone[at] += 1
                     np.add.at(gone, at + window, -1)
                 stay = np.cumsum(gone[:-1]) == 0
@@ -325,15 +346,32 @@ def cut(window: int):
 
 
 def _keys(text) -> list:
-    """Two 64-bit halves of the text's SHA-256; null is the empty text."""
+    """64 and 28 bits of the text's SHA-256; null is the empty text."""
     h = F.sha2(F.coalesce(text, F.lit("")), 256)
-    return [F.conv(F.substring(h, 1 + 16 * i, 16), 16, -10).cast("long").alias(f"k{i + 1}") for i in range(2)]
+    parts = (F.conv(F.substring(h, 1, 16), 16, -10).cast("long"), F.conv(F.substring(h, 17, HALF // 4), 16, 10).cast("int"))
+    return [p.alias(f"k{i + 1}") for i, p in enumerate(parts)]
+
+
+def pack(frames):
+    """(doc, text) -> (k1, k2, doc, text compressed); the keys are those of ``_keys``."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in frames:
+        texts = [t.encode() for t in batch.column("text").to_pylist()]
+        hashes = [hashlib.sha256(t).digest() for t in texts]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([int.from_bytes(h[:8], "big", signed=True) for h in hashes], pa.int64()),
+                pa.array([int.from_bytes(h[8:12], "big") >> (32 - HALF) for h in hashes], pa.int32()),
+                batch.column("doc"), pa.array([packer.compress(t) for t in texts], pa.binary()),
+            ],
+            ["k1", "k2", "doc", "text"],
+        )
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """(k1, k2, doc, text): each text once, UTF-8, with the smallest document id that has it."""
-    text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
-    rows = docs.select(*_keys(F.col("text")), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), text)
+    """(k1, k2, doc, text): each text once, compressed, with the smallest document id that has it."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
+    rows = docs.select(doc, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(pack, "k1 long, k2 int, doc long, text binary")
     return rows.groupBy("k1", "k2").agg(F.min("doc").alias("doc"), F.first("text").alias("text"))
 
 
@@ -351,16 +389,16 @@ def kept_texts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     high = F.col("doc").isNotNull()
     found = told.filter(F.col("known") | F.when(high, F.col("least") < F.col("doc")).otherwise(F.col("n") > 1))
     lists = found.groupBy("k1", "k2").agg(
-        F.collect_list(F.when(~high, F.col("val"))).alias("shared"), F.collect_list(F.when(high, F.col("val"))).alias("settled")
+        F.collect_list(F.when(~high, F.coalesce("val", "s1"))).alias("shared"), F.collect_list(F.when(high, F.col("val"))).alias("settled")
     )
     # a left join: an inner one would filter the texts' keys and read them through an exchange of its own
     open_ = texts.join(lists, ["k1", "k2"], "left").select("k1", "k2", "doc", "text", "shared", "settled")
-    places = "s1 long, s2 long, doc long, known boolean, places array<int>, k1 long, k2 long"
-    offered = open_.mapInArrow(offers(window), places)
+    offered = open_.mapInArrow(offers(window), PLACES)
     judged = offered.withColumn("least", F.min("doc").over(by_slot))
-    repeats = judged.filter(F.col("known") | (F.col("least") < F.col("doc")))
-    where = repeats.groupBy("k1", "k2").agg(F.flatten(F.collect_list("places")).alias("places"))
-    out = "k1 long, k2 long, doc long, n_words long, n_removed long, kept string"
+    repeats = judged.filter(F.col("places").isNotNull() | (F.col("least") < F.col("doc")))
+    found = repeats.groupBy("k1", "k2").agg(F.collect_list("place").alias("one"), F.flatten(F.collect_list("places")).alias("more"))
+    where = found.select("k1", "k2", F.concat("one", "more").alias("places"))
+    out = "k1 long, k2 int, doc long, n_words long, n_removed long, kept string"
     return texts.join(where, ["k1", "k2"], "left").select("k1", "k2", "doc", "text", "places").mapInArrow(cut(window), out)
 
 
