@@ -48,10 +48,11 @@ def leaf_digest(*values: Column) -> Column:
 
 
 def fold(nodes: DataFrame, band: int, carry: list[str]) -> DataFrame:
-    """(tree, bucket, total, rows, lev0 .. lev``BAND``) from nodes (tree, total, lo, hi, digest, carried columns).
+    """(tree, bucket, total, rows, lev0 .. lev``BAND``, steps0 ..) from nodes (tree, total, lo, hi, digest, carried columns).
 
-    ``lev``j holds the nodes of level j of the band, in order; ``more``j says
-    whether that level was folded (a tree's only node stays as it is).
+    ``lev``j holds the nodes of level j of the band, in order, ``steps``j their
+    siblings; ``more``j says whether that level was folded (a tree's only node
+    stays as it is).
     """
     below = ARITY ** (BAND * band)
     row = F.struct("lo", "hi", "digest", *carry)
@@ -67,7 +68,8 @@ def fold(nodes: DataFrame, band: int, carry: list[str]) -> DataFrame:
             f"sha2(array_join(slice(lev{j}, i * {ARITY} + 1, {ARITY}).digest, ''), 256) AS digest))"
         )
         out = out.withColumn(f"lev{j + 1}", F.when(F.col(f"more{j}"), up).otherwise(F.col(f"lev{j}")))
-    return out
+    # written with the band: inside a lambda an expression would be evaluated again for every leaf
+    return out.withColumns({f"steps{j}": steps(j) for j in range(BAND)})
 
 
 def steps(j: int) -> Column:
@@ -85,8 +87,6 @@ def with_paths(bands: list[DataFrame], carry: list[str]) -> DataFrame:
     above = None
     for b in range(len(bands) - 1, -1, -1):
         rows = bands[b]
-        for j in range(BAND):
-            rows = rows.withColumn(f"steps{j}", steps(j))
         inside = ", ".join(f"steps{j}[i div {ARITY**j}]" for j in range(BAND))
         rows = rows.select(
             "tree", "bucket", F.expr(f"lev{BAND}[0].lo").alias("lo"), F.expr(f"lev{BAND}[0].hi").alias("hi"),
@@ -156,11 +156,11 @@ class Manifest:
 
     def proofs(self) -> DataFrame:
         """(tree, lo, digest, carried columns, subroot, root, path) of every leaf, the path up to the root."""
-        whole = self.top.roots.select(F.col("digest").alias("root"))  # one row
+        whole = self.top.roots.select(F.col("tree").alias("__all"), F.col("digest").alias("root"))
         above = self.top.paths().select(
-            F.col("of").alias("__of"), F.col("digest").alias("subroot"), F.col("path").alias("__upper")
+            "tree", F.col("of").alias("__of"), F.col("digest").alias("subroot"), F.col("path").alias("__upper")
         )
-        tops = materialize(above.join(whole), "merkle-tops")
+        tops = materialize(above.join(whole, F.col("tree").eqNullSafe(F.col("__all"))).drop("tree", "__all"), "merkle-tops")
         leaves = self.groups.paths()
         found = leaves.join(tops, F.col("tree").eqNullSafe(F.col("__of")))
         return found.select("tree", "lo", "digest", *self.groups.carry, "subroot", "root", F.concat("path", "__upper").alias("path"))
