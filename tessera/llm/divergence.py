@@ -182,8 +182,8 @@ def divergence(docs: DataFrame, min_docs: int = 10, top: int = 10) -> DataFrame:
     counted = clean.mapInArrow(term_counts, "lang string, source string, term string, n long, docs long")
     sums = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     # as many rows a window as the language has sources
-    spread = sums.withColumn("all", F.sum("docs").over(Window.partitionBy("lang", "term")))
-    kept = materialize(spread.filter(F.col("all") >= min_docs).select("lang", "source", "term", "n"), "kept-terms")
+    told = sums.withColumn("all", F.sum("docs").over(Window.partitionBy("lang", "term")))
+    kept = materialize(told.filter(F.col("all") >= min_docs).select("lang", "source", "term", "n"), "kept-terms")
 
     vocabulary = materialize(ranked(kept.select("lang", "term").distinct(), ["lang"], ["term"], "id", "v"), "vocabulary")
     named = kept.join(vocabulary.select("lang", "term", "id"), ["lang", "term"]).select("lang", "source", "id", "n")
@@ -216,7 +216,10 @@ def divergence(docs: DataFrame, min_docs: int = 10, top: int = 10) -> DataFrame:
         *[F.when(F.col("group") == WHOLE, F.col("other")).otherwise(f(mine, F.col("other"))).alias(c) for c, f in (("bi", F.least), ("bj", F.greatest))],
     )
     shape = "lang string, part string, a long, b long, id long, value long"
-    priced = materialize(dealt.groupBy("lang", "segment", "bi", "bj").applyInPandas(compare(top), shape), "prices")
+    cell = ["lang", "segment", "bi", "bj"]
+    # few bytes but much work a cell: a number of partitions of its own keeps them from being joined by size
+    spread = dealt.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cell)
+    priced = materialize(spread.groupBy(*cell).applyInPandas(compare(top), shape), "prices")
 
     name = groups.select("lang", F.col("group").alias("g"), "source")
     pairs = priced.filter("part = 'pair'").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
