@@ -53,7 +53,7 @@ LAST = (1 << 63) - 1
 
 U = np.uint64
 ASKS = "s1 long, k1 long, k2 int, s2 int, doc long, known boolean, val long"
-PLACES = "s1 long, k1 long, k2 int, s2 int, doc long, place int, places array<int>"
+PLACES = "s1 long, k1 long, k2 int, s2 int, doc long, place int, more array<int>"
 #: Bits of the second half of a key or name, and of an anchor.
 HALF, ANCHOR = 28, 48
 
@@ -265,7 +265,10 @@ def asks(window: int):
 
 
 def offers(window: int):
-    """(k1, k2, doc, text, shared, settled) -> open windows with their ``place``; ``places`` known to be repeats."""
+    """(k1, k2, doc, text, shared, settled) -> open windows, each once a text: the first ``place`` and ``more``.
+
+    Rows without a first place hold places that are known to be repeats.
+    """
 
     def run(frames):
         for b, texts_ in batches(f.filter(f.column("shared").is_valid()) for f in frames):  # the others hold no repeat
@@ -294,13 +297,19 @@ def offers(window: int):
             least = np.full(len(at), LAST)
             np.minimum.at(least, group, doc[t])
             later = doc[t] > least[group]
-            # asks: the first, and the smallest document's other places with this window
+            # asks: the first, and the smallest document's other texts with this window; one text's rows lie together
             ask = np.flatnonzero(lead | ~later)
-            ask = ask[np.argsort(t[ask], kind="stable")]  # one text's rows lie together
-            a = t[ask]
+            ask = ask[np.lexsort((at[ask], group[ask], t[ask]))]
+            new = np.append(True, (t[ask][1:] != t[ask][:-1]) | (group[ask][1:] != group[ask][:-1]))[: len(ask)]
+            place = (at[ask] - offset[t[ask]]).astype(np.int32)
+            rows = np.flatnonzero(new)
+            ends = np.append(rows[1:], len(ask)) - np.arange(1, len(rows) + 1)
+            more = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(place[~new]))
+            first = ask[rows]
+            a = t[first]
             yield pa.RecordBatch.from_arrays(
-                [longs(w1[ask]), pa.array(k1[a]), pa.array(k2[a]), pa.array(half(w2[ask])), pa.array(doc[a]),
-                 pa.array((at[ask] - offset[a]).astype(np.int32)), pa.nulls(len(ask), pa.list_(pa.int32()))],
+                [longs(w1[first]), pa.array(k1[a]), pa.array(k2[a]), pa.array(half(w2[first])), pa.array(doc[a]),
+                 pa.array(place[rows]), more],
                 [f.split()[0] for f in PLACES.split(", ")],
             )
             # places that are settled here: one row a text, dealt by its key
@@ -395,8 +404,8 @@ def kept_texts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     open_ = texts.join(lists, ["k1", "k2"], "left").select("k1", "k2", "doc", "text", "shared", "settled")
     offered = open_.mapInArrow(offers(window), PLACES)
     judged = offered.withColumn("least", F.min("doc").over(by_slot))
-    repeats = judged.filter(F.col("places").isNotNull() | (F.col("least") < F.col("doc")))
-    found = repeats.groupBy("k1", "k2").agg(F.collect_list("place").alias("one"), F.flatten(F.collect_list("places")).alias("more"))
+    repeats = judged.filter(F.col("place").isNull() | (F.col("least") < F.col("doc")))
+    found = repeats.groupBy("k1", "k2").agg(F.collect_list("place").alias("one"), F.flatten(F.collect_list("more")).alias("more"))
     where = found.select("k1", "k2", F.concat("one", "more").alias("places"))
     out = "k1 long, k2 int, doc long, n_words long, n_removed long, kept string"
     return texts.join(where, ["k1", "k2"], "left").select("k1", "k2", "doc", "text", "places").mapInArrow(cut(window), out)
