@@ -12,8 +12,9 @@ import time
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.session import fs_exists, fs_list, fs_read_text, fs_tree_size, fs_write_text
@@ -110,6 +111,57 @@ def foreach_row(stream_df: DataFrame, writer, checkpoint: str, trigger: str = "a
 TARGET_FILE_BYTES = {"raw": 1 << 30, "silver": 1 << 30, "curated": 1 << 30, "gold": 256 << 20}
 
 
+def _common_prefix(a: str, b: str) -> int:
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+def curve_key(df: DataFrame, cols: Sequence[str], bits: int = 5) -> Column:
+    """Place of a row on a space-filling (Z-order) curve through the ranks of ``cols``.
+
+    Each column is cut into ``2 ** bits`` ranges of about equally many rows, and the
+    bits of the ranges' numbers are dealt in turn, so neighbours on the curve are
+    near in every column.  The cuts come from quantile sketches of all rows, of
+    bounded size and merged on the map side, so a frequent value gathers nowhere.
+    Text is ranked by the seven bytes behind the prefix that all of it shares; null
+    counts as the smallest value.  ``df`` is read once more (twice with text columns).
+    """
+    text = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
+    ends = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(text) for n, f in (("lo", F.min), ("hi", F.max))]).first() if text else None
+
+    def image(c: str) -> Column:
+        if c in text:
+            i = text.index(c)
+            skip = _common_prefix(ends[f"lo{i}"] or "", ends[f"hi{i}"] or "")
+            tail = F.hex(F.encode(F.substring(c, skip + 1, 7), "UTF-8"))
+            return F.conv(F.rpad(F.substring(tail, 1, 14), 14, "0"), 16, 10).cast("long")
+        kind = df.schema[c].dataType
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return F.unix_micros(F.col(c).cast("timestamp"))
+        return F.unix_date(c) if isinstance(kind, T.DateType) else F.col(c).cast("double")
+
+    images = {c: image(c) for c in cols}
+    def below(value: Column, bounds: list) -> Column:
+        """How many of the bounds the value has reached."""
+        if not bounds:
+            return F.lit(0)
+        reached = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= value)
+        return F.when(value.isNull(), F.lit(0)).otherwise(F.size(reached))
+
+    at = [k / 2**bits for k in range(1, 2**bits)]
+    cuts = df.agg(*[F.percentile_approx(images[c], at, 10_000).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    key = F.lit(0).cast("long")
+    for i, c in enumerate(cols):
+        bounds = sorted(set(cuts[f"c{i}"] or []))
+        number = below(images[c], bounds).cast("long")
+        for bit in range(bits):
+            place = bit * len(cols) + (len(cols) - 1 - i)
+            key = key + F.shiftleft(F.shiftright(number, bit).bitwiseAND(1), place)
+    return key
+
+
 def clustered_write(
     df: DataFrame,
     cols: Sequence[str],
@@ -117,13 +169,22 @@ def clustered_write(
     mode: str = "overwrite",
     max_records_per_file: int | None = None,
     target_file_bytes: int | None = TARGET_FILE_BYTES["silver"],
+    curve: bool = False,
 ) -> None:
     """Clustered layout (SNK-5): range-partition and sort by ``cols`` so each
     file covers a narrow key range and Parquet min/max statistics skip files
     and row groups for filters on those columns.  The session's shuffle
     partitions give the ranges; AQE joins neighbours by the bytes it measured
-    up to ``target_file_bytes`` (one file per range)."""
-    out = df.repartitionByRange(*[F.col(c) for c in cols]).sortWithinPartitions(*cols)
+    up to ``target_file_bytes`` (one file per range).
+
+    In the order of ``cols`` only filters on the first column skip much; with
+    ``curve`` the files follow :func:`curve_key` and those on each column do."""
+    order = [F.col(c) for c in cols]
+    out = df
+    if curve and len(cols) > 1:
+        out = df.withColumn("__curve", curve_key(df, cols))
+        order = [F.col("__curve"), *order]
+    out = out.repartitionByRange(*order).sortWithinPartitions(*order).select(*df.columns)
     w = out.write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
@@ -253,11 +314,19 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return vs[-1] if vs else None
 
 
-def publish_version(spark: SparkSession, df: DataFrame, path: str) -> int:
-    """Write ``df`` as the next version directory, then point readers at it."""
+def publish_version(spark: SparkSession, df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> int:
+    """Write ``df`` as the next version directory, then point readers at it.
+
+    With ``cluster_by`` the version is written once as it comes and then laid
+    out along the columns' curve, from what was written."""
     cur = current_version(spark, path)
     nxt = 0 if cur is None else cur + 1
-    df.write.mode("overwrite").parquet(f"{path}/v={nxt}")
+    if cluster_by:
+        df.write.mode("overwrite").parquet(f"{path}/_plain")
+        plain = spark.read.schema(df.schema).parquet(f"{path}/_plain")
+        clustered_write(plain, cluster_by, f"{path}/v={nxt}", target_file_bytes=TARGET_FILE_BYTES["gold"], curve=True)
+    else:
+        df.write.mode("overwrite").parquet(f"{path}/v={nxt}")
     fs_write_text(spark, f"{path}/{CURRENT}", str(nxt))
     return nxt
 
@@ -269,9 +338,9 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
     return spark.read.parquet(f"{path}/v={v}")
 
 
-def refresh_view(spark: SparkSession, fn: Callable[[], DataFrame], path: str) -> DataFrame:
+def refresh_view(spark: SparkSession, fn: Callable[[], DataFrame], path: str, cluster_by: Sequence[str] = ()) -> DataFrame:
     """Materialized view (SNK-2): recompute from the source and replace on refresh."""
-    publish_version(spark, fn(), path)
+    publish_version(spark, fn(), path, cluster_by)
     return read_version(spark, path)
 
 

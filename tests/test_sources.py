@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,3 +160,56 @@ def test_compaction_keeps_the_partition_layout(spark, tmp):
     files = spark.read.parquet(f"{tmp}/clustered").groupBy(F.input_file_name().alias("f")).agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
     got = sorted((r["lo"], r["hi"]) for r in files.collect())
     assert len(got) > 1 and all(a[1] < b[0] for a, b in zip(got, got[1:]))
+
+
+def test_a_curve_skips_files_for_each_column(spark, tmp):
+    """Files that min/max statistics leave for a filter: the curve keeps few on every column, plain order on the first only."""
+    import datetime as dt
+
+    from tessera.sinks.tables import clustered_write
+
+    rows = spark.range(20000).select(
+        F.concat(F.lit("D"), F.lpad((F.xxhash64("id") % 50 + 50).cast("string"), 3, "0")).alias("dept"),
+        F.date_add(F.lit(dt.date(2000, 1, 1)), (F.xxhash64(F.col("id") + 1) % 1000).cast("int")).alias("day"),
+        F.when(F.col("id") % 97 != 0, F.xxhash64(F.col("id") + 2) % 10000).alias("pay"),
+    )
+    rows.write.parquet(f"{tmp}/rows")
+    rows = spark.read.parquet(f"{tmp}/rows")
+    cols = ["dept", "day", "pay"]
+    left = {}
+    for curve in (False, True):
+        with _partitions(spark, 64):
+            clustered_write(rows, cols, f"{tmp}/{curve}", curve=curve)
+        back = spark.read.parquet(f"{tmp}/{curve}")
+        assert back.columns == rows.columns and back.count() == 20000 and back.exceptAll(rows).isEmpty()
+        files = back.groupBy(F.input_file_name().alias("f")).agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))]).collect()
+        assert len(files) > 40
+        middle = rows.select(*[F.percentile_approx(F.col(c) if c != "dept" else F.lit(1), 0.5).alias(c) for c in cols]).first()
+        want = {"dept": "D070", "day": middle["day"], "pay": middle["pay"]}
+        left[curve] = {c: sum(f[f"lo_{c}"] <= want[c] <= f[f"hi_{c}"] for f in files) / len(files) for c in cols}
+    assert all(share <= 0.45 for share in left[True].values()), left
+    assert left[False]["day"] > 0.9 and left[False]["pay"] > 0.9
+
+
+def test_curve_of_odd_columns(spark, tmp):
+    from tessera.sinks.tables import clustered_write
+
+    rows = spark.createDataFrame([(None, None), ("same", 1.5), ("same", None), ("sameer", float("nan"))], "a string, b double")
+    clustered_write(rows, ["a", "b"], f"{tmp}/t", curve=True)
+    assert sorted(map(str, spark.read.parquet(f"{tmp}/t").collect())) == sorted(map(str, rows.collect()))
+    clustered_write(rows.limit(0), ["a", "b"], f"{tmp}/e", curve=True)
+    assert spark.read.schema(rows.schema).parquet(f"{tmp}/e").count() == 0
+
+
+@contextmanager
+def _partitions(spark, n):
+    """Exactly ``n`` shuffle partitions, small as they are."""
+    conf = {"spark.sql.shuffle.partitions": str(n), "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
