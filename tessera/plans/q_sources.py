@@ -7,6 +7,7 @@ Each stages a copy of a fixture view as files under the shared scratch folder
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -206,16 +207,16 @@ def src_rescued_json(spark, sf):
     return R.with_rescued_json(ev, "props", JSON_KNOWN, keep=["event_id"], corrupt_col=None)
 
 
-def _two_header_files(spark, sf, base):
+def _two_header_files(spark, sf, base, change=None, **opts):
     """Historical files with the declared header; newer files with two extra columns."""
-    raw = _raw(spark, sf)
-    S.write_csv(raw.filter(S.joined_before()).select(*S.STAFF_COLUMNS), f"{base}/in/a", files=2)
+    raw = _raw(spark, sf).withColumns(change or {})
+    S.write_csv(raw.filter(S.joined_before()).select(*S.STAFF_COLUMNS), f"{base}/in/a", files=2, **opts)
     newer = raw.filter(~S.joined_before()).select(
         *S.STAFF_COLUMNS,
         (F.col("row_id") * 3).cast("string").alias("bonus"),
         F.concat(F.lit("R"), (F.col("row_id") % 5).cast("string")).alias("region"),
     )
-    S.write_csv(newer, f"{base}/in/b", files=2)
+    S.write_csv(newer, f"{base}/in/b", files=2, **opts)
 
 
 RESCUE_SQL = RAW + f"""SELECT {RAW_OUT},
@@ -301,3 +302,96 @@ def src_rescued_csv_stream(spark, sf):
     q = R.rescue_csv_stream(spark, f"{base}/in", S.STAFF_FILE_SCHEMA, f"{base}/out", f"{base}/ck", recursive=True, max_files=1)
     run_to_completion(q)
     return comparable(spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/out"))
+
+
+# A name with a line feed, quotes and separators in it.
+def note():
+    return F.concat(F.col("empname"), F.lit(',\n"'), F.col("dept_id"), F.lit('",\n\n'), F.col("row_id").cast("string"))
+
+
+NOTE_SQL = """CASE WHEN row_id % 3 = 0 THEN empname || ',' || chr(10) || '"' || dept_id || '",' || chr(10) || chr(10) || CAST(row_id AS VARCHAR)
+  ELSE empname END"""
+
+
+@contextmanager
+def small_blocks(spark, size):
+    """Files are cut into blocks of ``size`` bytes, as large files are on a cluster."""
+    keys = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": str(size)}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@register(
+    "src_rescued_multiline",
+    RESCUE_SQL.replace(RAW_OUT, RAW_OUT.replace("empname,", f"{NOTE_SQL} AS empname,")),
+)
+def src_rescued_multiline(spark, sf):
+    """Quoted fields with line feeds, read by header name over many blocks a file (SRC-8, SRC-12)."""
+    base = scratch_path(spark, "src_multiline")
+    _two_header_files(spark, sf, base, change={"empname": F.when(F.col("row_id") % 3 == 0, note()).otherwise(F.col("empname"))}, quoteAll="true")
+    with small_blocks(spark, 16 << 10):
+        rows = R.read_csv_rescued(spark, f"{base}/in", S.STAFF_FILE_SCHEMA, recursive=True, multi_line=True)
+        rows.write.parquet(f"{base}/out")
+    return comparable(spark.read.schema(rows.schema).parquet(f"{base}/out"))
+
+
+def _evolving(spark, sf, name, mode, widen=False, declare=None):
+    """Old files first, then files with two more columns; the stream is started again whenever it stops."""
+    base = scratch_path(spark, name)
+    _two_header_files(spark, sf, base)
+    for i, part in enumerate(("a", "b")):
+        S.set_mtime(spark, f"{base}/in/{part}", dt.datetime(2024, 1, 1 + i))
+    stops = 0
+    while True:
+        query = R.evolving_csv_stream(
+            spark, f"{base}/in", S.STAFF_FILE_SCHEMA, f"{base}/out", f"{base}/ck", f"{base}/schema", mode, widen, recursive=True, max_files=1
+        )
+        try:
+            run_to_completion(query)
+            break
+        except Exception as e:  # noqa: BLE001 - the stop reaches us as the query's failure
+            if "new columns in input" not in str(e) or stops:
+                raise
+            stops += 1
+            if declare:
+                R.SchemaLog(spark, f"{base}/schema").add(declare)
+    if stops != (mode in ("addNewColumns", "failOnNewColumns") and not widen):
+        raise RuntimeError(f"{mode} stopped {stops} times")
+    return comparable(R.read_evolved(spark, f"{base}/out", f"{base}/schema", R.RESCUE_COL if mode == "rescue" else None))
+
+
+ADDED_SQL = RAW + f"""SELECT {RAW_OUT},
+  CASE WHEN {NEW_ROWS} THEN CAST(row_id * 3 AS VARCHAR) END AS bonus,
+  CASE WHEN {NEW_ROWS} THEN 'R' || CAST(row_id % 5 AS VARCHAR) END AS region
+FROM staff_raw"""
+
+
+@register("src_evolution_stream_add", ADDED_SQL)
+def src_evolution_stream_add(spark, sf):
+    """addNewColumns on a stream: it stops at new header names, and goes on with them when started again (SRC-10)."""
+    return _evolving(spark, sf, "src_evolve_add", "addNewColumns")
+
+
+@register("src_evolution_stream_fail", ADDED_SQL.replace("CAST(row_id * 3 AS VARCHAR)", "CAST(row_id * 3 AS BIGINT)"))
+def src_evolution_stream_fail(spark, sf):
+    """failOnNewColumns on a stream: it stops until the columns are declared, here with a type of their own (SRC-10)."""
+    declare = [T.StructField("bonus", T.LongType()), T.StructField("region", T.StringType())]
+    return _evolving(spark, sf, "src_evolve_fail", "failOnNewColumns", declare=declare)
+
+
+@register("src_evolution_stream_rescue", RESCUE_SQL.replace(",\n  CAST(NULL AS VARCHAR) AS _corrupt_record", ""))
+def src_evolution_stream_rescue(spark, sf):
+    """rescue on a stream: the schema stays, new columns' values are rescued (SRC-10)."""
+    return _evolving(spark, sf, "src_evolve_rescue", "rescue")
+
+
+@register("src_evolution_stream_none", RAW_SQL)
+def src_evolution_stream_none(spark, sf):
+    """none on a stream: new columns are left out (SRC-10)."""
+    return _evolving(spark, sf, "src_evolve_none", "none")
