@@ -30,12 +30,14 @@ from tessera.sinks.tables import append_table, foreach_batch, refresh_view, run_
 from tessera.sources.files import csv_stream, stream_table
 from tessera.sources.rescue import CORRUPT_COL, RESCUE_COL, rescue_csv_stream
 from tessera.session import fs_exists
-from tessera.streaming.changelog import ChangeLogTable
+from tessera.streaming.history import HistoryTable
+from tessera.streaming.state import StateTable
 
 SILVER_SEQUENCE = ["upd_tmst", "create_tmst"]
 CURATED_SEQUENCE = ["_commit_version", "_commit_timestamp"]
 GOLD_SEQUENCE = ["upd_tmst", "create_tmst", "_commit_version"]
 QUARANTINE_COLUMNS = ["quarantine_reason", "is_quarantined"]
+GOLD_CLUSTER = ["empid", "dept_id", "joining_date"]  # fixed values: the gold tables' clustering columns
 
 
 def _enforce(df: DataFrame, schema: T.StructType, keep) -> DataFrame:
@@ -136,9 +138,9 @@ def _curated_hop(spark: SparkSession, base: str, ck: str) -> None:
     run_to_completion(foreach_batch(_stream_dir(spark, f"{base}/silver"), curated, f"{ck}/curated"))
 
 
-def gold_history(spark: SparkSession, base: str, keys=("empid",)) -> ChangeLogTable:
+def gold_history(spark: SparkSession, base: str, keys=("empid",)) -> HistoryTable:
     """The SCD2 gold table of the primary and the ignore track (no deletes reach it)."""
-    return ChangeLogTable(spark, f"{base}/gold_cdc", list(keys), SILVER_SEQUENCE, apply_as_deletes=None)
+    return HistoryTable(spark, f"{base}/gold_cdc", list(keys), SILVER_SEQUENCE, apply_as_deletes=None)
 
 
 def _gold_hop(spark: SparkSession, base: str, ck: str, as_of, keys, order_desc) -> DataFrame:
@@ -154,7 +156,7 @@ def _gold_hop(spark: SparkSession, base: str, ck: str, as_of, keys, order_desc)
         cur = spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/curated")
         return gold_summary(cur, as_of=as_of, keys=keys, order_desc=order_desc)
 
-    return refresh_view(spark, gold, f"{base}/gold")
+    return refresh_view(spark, gold, f"{base}/gold", GOLD_CLUSTER)
 
 
 def _read_log(spark: SparkSession, log_dir: str, schema: T.StructType) -> DataFrame:
@@ -198,18 +200,18 @@ def run_ignore(
 # ------------------------------------------------------------------ propagate
 @dataclass
 class PropagateTables:
-    silver: ChangeLogTable
-    silver_bad: ChangeLogTable
-    curated: ChangeLogTable
-    curated_bad: ChangeLogTable
-    gold: ChangeLogTable
-    staging: ChangeLogTable  # quarantine staging: tagged silver rows (DQ-8)
-    manual_curated: ChangeLogTable
-    manual_bad: ChangeLogTable
+    silver: StateTable
+    silver_bad: StateTable
+    curated: StateTable
+    curated_bad: StateTable
+    gold: HistoryTable
+    staging: StateTable  # quarantine staging: tagged silver rows (DQ-8)
+    manual_curated: StateTable
+    manual_bad: StateTable
     gold_view: DataFrame | None = None  # recomputed from the curated table by each run
 
 
-def _changes_stream(spark: SparkSession, table: ChangeLogTable, max_files: int | None) -> DataFrame:
+def _changes_stream(spark: SparkSession, table: StateTable, max_files: int | None) -> DataFrame:
     return _stream_dir(spark, table.changes_path, max_files)
 
 
@@ -240,16 +242,16 @@ def run_propagate(
     ck = f"{base}/_checkpoints"
     keys = list(keys)
     t = PropagateTables(
-        silver=ChangeLogTable(spark, f"{base}/silver", keys, list(silver_sequence), except_columns=CDF_COLUMNS),
-        silver_bad=ChangeLogTable(spark, f"{base}/silver_bad", keys, list(silver_sequence), except_columns=CDF_COLUMNS),
-        curated=ChangeLogTable(spark, f"{base}/curated", keys, CURATED_SEQUENCE, except_columns=CDF_COLUMNS),
-        curated_bad=ChangeLogTable(spark, f"{base}/curated_bad", keys, CURATED_SEQUENCE, except_columns=CDF_COLUMNS),
-        gold=ChangeLogTable(spark, f"{base}/gold", keys, GOLD_SEQUENCE, except_columns=CDF_COLUMNS),
-        staging=ChangeLogTable(spark, f"{base}/staging", keys, CURATED_SEQUENCE, except_columns=CDF_COLUMNS),
-        manual_curated=ChangeLogTable(
+        silver=StateTable(spark, f"{base}/silver", keys, list(silver_sequence), except_columns=CDF_COLUMNS),
+        silver_bad=StateTable(spark, f"{base}/silver_bad", keys, list(silver_sequence), except_columns=CDF_COLUMNS),
+        curated=StateTable(spark, f"{base}/curated", keys, CURATED_SEQUENCE, except_columns=CDF_COLUMNS),
+        curated_bad=StateTable(spark, f"{base}/curated_bad", keys, CURATED_SEQUENCE, except_columns=CDF_COLUMNS),
+        gold=HistoryTable(spark, f"{base}/gold", keys, GOLD_SEQUENCE, except_columns=CDF_COLUMNS),
+        staging=StateTable(spark, f"{base}/staging", keys, CURATED_SEQUENCE, except_columns=CDF_COLUMNS),
+        manual_curated=StateTable(
             spark, f"{base}/manual_curated", keys, CURATED_SEQUENCE, except_columns=[*CDF_COLUMNS, *QUARANTINE_COLUMNS]
         ),
-        manual_bad=ChangeLogTable(
+        manual_bad=StateTable(
             spark, f"{base}/manual_bad", keys, CURATED_SEQUENCE, except_columns=[*CDF_COLUMNS, *QUARANTINE_COLUMNS]
         ),
     )
@@ -311,6 +313,9 @@ def run_propagate(
         run_to_completion(foreach_batch(_changes_stream(spark, t.curated, hop_max_files), hop3, f"{ck}/gold"))
         # the recomputed gold view: one row per key of the curated table as it is now
         t.gold_view = refresh_view(
-            spark, lambda: gold_summary(t.curated.scd1(), as_of=as_of, keys=keys, order_desc=SILVER_SEQUENCE), f"{base}/gold_view"
+            spark,
+            lambda: gold_summary(t.curated.scd1(), as_of=as_of, keys=keys, order_desc=SILVER_SEQUENCE),
+            f"{base}/gold_view",
+            GOLD_CLUSTER,
         )
     return t

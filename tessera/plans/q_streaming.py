@@ -11,44 +11,54 @@ from tessera.plans import fixtures as X
 from tessera.plans import flows
 from tessera.plans import staging as S
 from tessera.plans.q_cdc import EV, SCD1_DEL_SQL, SCD2_DEL_SQL, SCD2_OUT, SEQ
-from tessera.plans.q_quality import DERIVED_SQL, EXPECT_SQL, STAFF, STAFF_CHANGES, TYPED_OUT
+from tessera.plans.q_quality import DERIVED_SQL, EXPECT_SQL, STAFF, STAFF_CHANGES, TYPED_OUT, _changes_enforced
 from tessera.plans.q_sources import RAW_SQL
 from tessera.plans.registry import comparable, register
 from tessera.session import scratch_path
 from tessera.sinks.tables import append_table, run_to_completion
 from tessera.sources.files import csv_stream, stream_table
-from tessera.streaming.changelog import ChangeLogTable, apply_stream
-from tessera.streaming.metrics import append_with_counts, expectation_totals
+from tessera.streaming.history import scd2_stream
+from tessera.operators.metrics import employee_metrics
+from tessera.streaming.metrics import append_with_counts, expectation_totals, metric_stream
+from tessera.streaming.state import StateTable, apply_stream, scd1_stream
 
 
-def _event_table(spark, sf, name, arrival="in_order"):
-    """Stream the events change log (6 files of whole commits) into a change-log table."""
-    base = scratch_path(spark, name)
+def _event_stream(spark, sf, base, arrival="in_order"):
+    """The events change log as a stream of 6 files of whole commits."""
     schema = S.write_change_log(spark, X.changes(spark, sf), f"{base}/log", files=6, arrival=arrival)
-    table = ChangeLogTable(spark, f"{base}/table", ["user_id"], SEQ, except_columns=CDF_COLUMNS)
-    stream = stream_table(spark, f"{base}/log", schema, maxFilesPerTrigger=1, recursiveFileLookup="true")
-    run_to_completion(apply_stream(stream, table, f"{base}/ck", transform=read_changes))
-    return table
+    return stream_table(spark, f"{base}/log", schema, maxFilesPerTrigger=1, recursiveFileLookup="true")
 
 
 @register("str_scd1_stream", SCD1_DEL_SQL + f"SELECT {EV} FROM ranked WHERE rn = 1 AND _change_type <> 'delete'")
 def str_scd1_stream(spark, sf):
-    """SCD1 kept by micro-batches (six commits groups) equals the batch SCD1 (STR-4)."""
-    return _event_table(spark, sf, "str_scd1").scd1()
+    """SCD1 in the streaming state (six groups of commits) equals the batch SCD1 (STR-4)."""
+    base = scratch_path(spark, "str_scd1")
+    stream = _event_stream(spark, sf, base)
+    query, table = scd1_stream(stream, f"{base}/ck", ["user_id"], SEQ, except_columns=CDF_COLUMNS, transform=read_changes)
+    run_to_completion(query)
+    return table.scd1()
+
+
+def _event_history(spark, sf, name, arrival="in_order"):
+    base = scratch_path(spark, name)
+    stream = _event_stream(spark, sf, base, arrival)
+    query, table = scd2_stream(
+        stream, f"{base}/table", f"{base}/ck", ["user_id"], SEQ, "_change_type = 'delete'", CDF_COLUMNS, transform=read_changes
+    )
+    run_to_completion(query)
+    return flatten_sequence(table.scd2())
 
 
 @register("str_scd2_stream", SCD2_DEL_SQL + f"SELECT {SCD2_OUT} FROM hist")
 def str_scd2_stream(spark, sf):
-    """SCD2 history kept by micro-batches equals the batch history (STR-4)."""
-    return flatten_sequence(_event_table(spark, sf, "str_scd2").scd2())
+    """SCD2 history spliced together by micro-batches equals the batch history (STR-4)."""
+    return _event_history(spark, sf, "str_scd2")
 
 
 @register("str_out_of_order", SCD2_DEL_SQL + f"SELECT {SCD2_OUT} FROM hist")
 def str_out_of_order(spark, sf):
-    """Newest commits arrive first; the sequence, not arrival, decides (STR-5)."""
-    table = _event_table(spark, sf, "str_ooo", arrival="reversed")
-    table.compact()  # folding the SCD1 log must not change the history either
-    return flatten_sequence(table.scd2())
+    """Newest commits arrive first; late ones are spliced in where their sequence belongs (STR-5)."""
+    return _event_history(spark, sf, "str_ooo", arrival="reversed")
 
 
 @register("str_restart_resume", RAW_SQL)
@@ -81,6 +91,34 @@ def str_expect_metrics(spark, sf):
     return expectation_totals(spark, f"{base}/counts")
 
 
+LIVE_SQL = STAFF_CHANGES.rstrip() + """,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY empid ORDER BY upd_tmst DESC NULLS LAST, create_tmst DESC NULLS LAST, row_id DESC) AS rn
+  FROM chg_enforced WHERE _change_type = 'delete' OR NOT _is_bad),
+live AS (SELECT *, CAST(floor(datesub('month', joining_date, DATE '2001-12-15') / 12) AS BIGINT) AS tenure_y
+  FROM ranked WHERE rn = 1 AND _change_type <> 'delete')
+"""
+
+
+@register(
+    "agg_metric_from_changes",
+    LIVE_SQL
+    + """SELECT dept_id, count(*) AS employee_count, CAST(sum(salary) AS DOUBLE) AS total_salary,
+      CAST(sum(salary) AS DOUBLE) / count(salary) AS avg_salary, avg(tenure_y) AS avg_tenure_years FROM live GROUP BY dept_id""",
+)
+def agg_metric_from_changes(spark, sf):
+    """The metric view kept from a table's change feed equals the recomputed one after updates and deletes (AGG-9, SNK-2)."""
+    base = scratch_path(spark, "agg_changes")
+    good, _ = Q.split_enforced_changes(_changes_enforced(spark, sf))
+    schema = S.write_change_log(spark, good, f"{base}/log", files=4)
+    log = stream_table(spark, f"{base}/log", schema, maxFilesPerTrigger=1, recursiveFileLookup="true")
+    table = StateTable(spark, f"{base}/staff", ["empid"], ["upd_tmst", "create_tmst", "row_id"], except_columns=CDF_COLUMNS)
+    run_to_completion(apply_stream(log, table, f"{base}/ck", transform=read_changes, emit_changes=True))
+    feed = stream_table(spark, table.changes_path, table.change_feed().schema, recursiveFileLookup="true")
+    query, view = metric_stream(employee_metrics(log, as_of=X.AS_OF), feed, ["dept_id"], f"{base}/ck_view")
+    run_to_completion(query)
+    return comparable(view.read())
+
+
 CURATED_LATEST_SQL = STAFF.rstrip() + """,
 curated AS (SELECT * FROM staff WHERE dob IS NOT NULL AND empid IS NOT NULL AND salary > 0),
 latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY empid

@@ -16,7 +16,8 @@ from tessera.plans import flows
 from tessera.plans import staging as S
 from tessera.sinks.tables import run_to_completion
 from tessera.sources.files import stream_table
-from tessera.streaming.changelog import ChangeLogTable, apply_stream
+from tessera.streaming.history import HistoryTable
+from tessera.streaming.state import StateTable, apply_stream, scd1_stream
 
 SEQ = ["ts", "event_id"]
 
@@ -24,40 +25,125 @@ SEQ = ["ts", "event_id"]
 def _stream_events(spark, tmp, arrival):
     ch = X.changes(spark, SMALL)
     schema = S.write_change_log(spark, ch, f"{tmp}/log", files=5, arrival=arrival)
-    table = ChangeLogTable(spark, f"{tmp}/t", ["user_id"], SEQ, except_columns=C.CDF_COLUMNS)
-    s = stream_table(spark, f"{tmp}/log", schema, maxFilesPerTrigger=1, recursiveFileLookup="true")
-    q = run_to_completion(apply_stream(s, table, f"{tmp}/ck", transform=C.read_changes))
-    return ch, table, q
+    stream = lambda: stream_table(spark, f"{tmp}/log", schema, maxFilesPerTrigger=1, recursiveFileLookup="true")
+    query, table = scd1_stream(stream(), f"{tmp}/ck1", ["user_id"], SEQ, except_columns=C.CDF_COLUMNS, transform=C.read_changes)
+    run_to_completion(query)
+    history = HistoryTable(spark, f"{tmp}/h", ["user_id"], SEQ, except_columns=C.CDF_COLUMNS)
+    run_to_completion(apply_stream(stream(), history, f"{tmp}/ck2", transform=C.read_changes))
+    return ch, table, history, query
 
 
 def test_stream_equals_batch_for_any_arrival(spark, tmp):
     for arrival in ("in_order", "reversed", "interleaved"):
-        ch, table, q = _stream_events(spark, f"{tmp}/{arrival}", arrival)
+        ch, table, history, q = _stream_events(spark, f"{tmp}/{arrival}", arrival)
         assert len([p for p in q.recentProgress if p.numInputRows > 0]) == 5
         batch1 = scd1(C.read_changes(ch), ["user_id"], SEQ, except_columns=C.CDF_COLUMNS)
         assert sorted(table.scd1().collect()) == sorted(batch1.collect())
         batch2 = scd2(C.read_changes(ch), ["user_id"], SEQ, "_change_type = 'delete'", C.CDF_COLUMNS)
-        assert sorted(table.scd2().collect()) == sorted(batch2.collect())
+        assert sorted(history.scd2().collect()) == sorted(batch2.collect())
 
 
-def test_replayed_batch_is_idempotent_and_compaction_is_neutral(spark, tmp):
+def test_replayed_batches_change_nothing(spark, tmp):
+    ch = C.read_changes(X.changes(spark, SMALL))
+    first, second = ch.filter("event_id < 3000"), ch.filter("event_id >= 3000")
+    t = StateTable(spark, f"{tmp}/t", ["user_id"], SEQ, except_columns=C.CDF_COLUMNS)
+    h = HistoryTable(spark, f"{tmp}/h", ["user_id"], SEQ, except_columns=C.CDF_COLUMNS)
+    for table in (t, h):
+        table.apply(second, 0)  # late rows come last
+        table.apply(first, 1)
+    want1 = sorted(scd1(ch, ["user_id"], SEQ, except_columns=C.CDF_COLUMNS).collect())
+    want2 = sorted(scd2(ch, ["user_id"], SEQ, "_change_type = 'delete'", C.CDF_COLUMNS).collect())
+    assert sorted(t.scd1().collect()) == want1 and sorted(h.scd2().collect()) == want2
+    for table in (t, h):
+        table.apply(first, 1)  # a retried micro-batch
+        table.apply(second, 0)
+    assert sorted(t.scd1().collect()) == want1 and sorted(h.scd2().collect()) == want2
+
+
+def test_a_restarted_stream_goes_on_from_its_state(spark, tmp):
     ch = C.read_changes(X.changes(spark, SMALL))
-    t = ChangeLogTable(spark, f"{tmp}/t", ["user_id"], SEQ, except_columns=C.CDF_COLUMNS)
     first = ch.filter("event_id < 3000")
-    second = ch.filter("event_id >= 3000")
-    t.apply(first, 0)
-    t.apply(second, 1)
-    want = sorted(t.scd1().collect())
-    t.apply(second, 1)  # a retried micro-batch
-    assert sorted(t.scd1().collect()) == want
-    t.compact()
-    assert sorted(t.scd1().collect()) == want
-    assert t.scd2().count() == scd2(ch, ["user_id"], SEQ, "_change_type = 'delete'", C.CDF_COLUMNS).count()
+    first.write.parquet(f"{tmp}/log/a")
+
+    def run():
+        log = stream_table(spark, f"{tmp}/log", ch.schema, recursiveFileLookup="true")
+        query, table = scd1_stream(log, f"{tmp}/ck", ["user_id"], SEQ, except_columns=C.CDF_COLUMNS)
+        run_to_completion(query)
+        return table
+
+    before = sorted(run().scd1().collect())
+    assert before == sorted(scd1(first, ["user_id"], SEQ, except_columns=C.CDF_COLUMNS).collect())
+    ch.filter("event_id >= 3000").write.parquet(f"{tmp}/log/b")
+    table = run()
+    assert sorted(run().scd1().collect()) == sorted(scd1(ch, ["user_id"], SEQ, except_columns=C.CDF_COLUMNS).collect())
+    # the state as of the first batch can still be read
+    from tessera.operators.scd import scd1_view
+
+    assert sorted(scd1_view(table.state(0)).collect()) == before
+
+
+def test_a_crash_between_feed_and_log_is_repaired(spark, tmp):
+    from tessera.session import fs_delete
+
+    schema = "k string, v string, seq int, _change_type string"
+    t = StateTable(spark, f"{tmp}/t", ["k"], "seq", except_columns=["_change_type"])
+    t.apply(spark.createDataFrame([("a", "1", 1, "insert")], schema), 0, emit_changes=True)
+    late = spark.createDataFrame([("a", "2", 2, "update_postimage"), ("b", "1", 2, "insert")], schema)
+    t.apply(late, 1, emit_changes=True)
+    want = sorted(map(str, t.change_feed().drop("_commit_timestamp").collect()))
+    fs_delete(spark, f"{tmp}/t/log/batch_id=1")  # as if the run had died before the log was written
+    t.apply(late, 1, emit_changes=True)
+    assert sorted(map(str, t.change_feed().drop("_commit_timestamp").collect())) == want
+    t.apply(late, 1, emit_changes=True)  # and a replay of a whole batch
+    assert sorted(map(str, t.change_feed().drop("_commit_timestamp").collect())) == want
+    assert sorted((r["k"], r["v"]) for r in t.scd1().collect()) == [("a", "2"), ("b", "1")]
+
+
+def test_late_changes_touch_their_neighbours_only(spark, tmp):
+    """The rows that are put in order are the batch's and at most two more for each of its keys."""
+    schema = "k long, v string, seq long, gone boolean"
+    rows = [(k, f"v{k}-{s}", s, False) for k in range(50) for s in range(0, 200, 10)]
+    h = HistoryTable(spark, f"{tmp}/h", ["k"], "seq", "gone")
+    h.apply(spark.createDataFrame(rows, schema), 0)
+    late = [(3, "late", 55, False), (3, "later", 57, True), (7, "first", -5, False), (9, "last", 500, False), (99, "new", 1, False)]
+    from tessera.operators.scd import with_change_helpers
+
+    batch = with_change_helpers(spark.createDataFrame(late, schema), "seq", "gone")
+    near = h.neighbourhood(batch, 1).select("k", "__seq.seq", "__new").collect()
+    assert sorted(map(tuple, near)) == [
+        (3, 50, False), (3, 55, True), (3, 57, True), (3, 60, False), (7, -5, True), (7, 0, False),
+        (9, 190, False), (9, 500, True), (99, 1, True),
+    ]
+    h.apply(spark.createDataFrame(late, schema), 1)
+    written = spark.read.parquet(f"{tmp}/h/versions/batch_id=1")
+    assert sorted((r["k"], r["__seq"]["seq"]) for r in written.filter("NOT __new").collect()) == [(3, 50), (9, 190)]
+    want = scd2(spark.createDataFrame(rows + late, schema), ["k"], "seq", "gone")
+    assert sorted(h.scd2().collect()) == sorted(want.collect())
+
+
+def test_history_of_any_batches_equals_the_batch_history(spark, tmp):
+    """Random cuts and orders, null keys and sequences, ties, deletes, changes that are sent again."""
+    import random
+
+    r = random.Random(8)
+    schema = "k string, v int, seq int, gone boolean"
+    rows = [(r.choice(["a", "b", None]), r.randrange(5), r.choice([None, *range(12)]), r.random() < 0.2) for _ in range(120)]
+    want = sorted(map(str, scd2(spark.createDataFrame(rows, schema), ["k"], "seq", "gone").collect()))
+    for turn in range(2):
+        h = HistoryTable(spark, f"{tmp}/{turn}", ["k"], "seq", "gone", blocks=3)
+        left = r.sample(rows, len(rows))
+        sent = []
+        for batch_id in range(4):
+            part, left = left[:30], left[30:]
+            again = r.sample(sent, min(5, len(sent)))
+            sent += part
+            h.apply(spark.createDataFrame(part + again, schema), batch_id)
+        assert sorted(map(str, h.scd2().collect())) == want
 
 
 def test_emitted_change_feed(spark, tmp):
     schema = "k string, v string, seq int, _change_type string"
-    t = ChangeLogTable(spark, f"{tmp}/t", ["k"], "seq", except_columns=["_change_type"])
+    t = StateTable(spark, f"{tmp}/t", ["k"], "seq", except_columns=["_change_type"])
     t.apply(spark.createDataFrame([("a", "1", 1, "insert"), ("b", "1", 1, "insert")], schema), 0, emit_changes=True)
     t.apply(spark.createDataFrame([("a", "2", 2, "update_postimage"), ("b", "1", 2, "delete"), ("c", "1", 2, "insert")], schema), 1, emit_changes=True)
     feed = {(r["_commit_version"], r["k"], r["v"], r["_change_type"]) for r in t.change_feed().collect()}
@@ -217,19 +303,17 @@ def test_strict_stream_raises(spark, tmp):
         run_to_completion(append_table(C.assert_append_only(log).drop("_change_type"), f"{tmp}/out", f"{tmp}/ck"))
 
 
-def test_a_changed_bucket_count_is_refused(spark, tmp):
-    import pytest
-
+def test_a_batch_with_a_new_column_is_merged_by_name(spark, tmp):
     schema = "k string, v string, seq int, _change_type string"
-    rows = spark.createDataFrame([("a", "1", 1, "insert")], schema)
-    t = ChangeLogTable(spark, f"{tmp}/t", ["k"], "seq", except_columns=["_change_type"], buckets=16)
-    t.apply(rows, 0)
-    t.compact()
-    with pytest.raises(ValueError, match="16 buckets"):
-        ChangeLogTable(spark, f"{tmp}/t", ["k"], "seq", except_columns=["_change_type"], buckets=64).scd1()
-    # a batch with a new column is merged by name
-    t.apply(rows.withColumn("more", F.lit("x")).withColumn("seq", F.lit(2)), 1, emit_changes=True)
-    assert [(r["k"], r["more"]) for r in t.scd1().collect()] == [("a", "x")]
+    rows = spark.createDataFrame([("a", "1", 1, "insert"), ("b", "1", 1, "insert")], schema)
+    t = StateTable(spark, f"{tmp}/t", ["k"], "seq", except_columns=["_change_type"])
+    h = HistoryTable(spark, f"{tmp}/h", ["k"], "seq", except_columns=["_change_type"])
+    wide = rows.filter("k = 'a'").withColumn("more", F.lit("x")).withColumn("seq", F.lit(2))
+    for table, how in ((t, {"emit_changes": True}), (h, {})):
+        table.apply(rows, 0, **how)
+        table.apply(wide, 1, **how)
+    assert sorted((r["k"], r["more"]) for r in t.scd1().collect()) == [("a", "x"), ("b", None)]
+    assert sorted((r["k"], r["more"] or "") for r in h.scd2().collect()) == [("a", ""), ("a", "x"), ("b", "")]
 
 
 def test_observed_expectations_on_a_stream(spark, tmp):
@@ -299,45 +383,6 @@ def test_foreach_row_sink(spark, tmp):
     assert ids == ["0", "1", "2"]
 
 
-def test_tombstone_ttl_on_compaction(spark, tmp):
-    schema = "k string, v string, ts timestamp, _change_type string"
-    t = ChangeLogTable(spark, f"{tmp}/t", ["k"], ["ts"], compact_every=None, tombstone_ttl_seconds=3600, tombstone_ts_field="ts")
-    rows = [
-        ("a", "1", dt.datetime(2024, 1, 1, 0, 0), "insert"),
-        ("a", "1", dt.datetime(2024, 1, 1, 1, 0), "delete"),  # old tombstone: dropped
-        ("b", "1", dt.datetime(2024, 1, 1, 9, 0), "insert"),
-        ("b", "1", dt.datetime(2024, 1, 1, 9, 30), "delete"),  # recent tombstone: kept
-        ("c", "1", dt.datetime(2024, 1, 1, 10, 0), "insert"),
-    ]
-    t.apply(spark.createDataFrame(rows, schema), 0)
-    t.compact()
-    base = spark.read.parquet(f"{tmp}/t/base/v=0")
-    assert sorted((r["k"], r["__is_delete"]) for r in base.collect()) == [("b", True), ("c", False)]
-    assert [r["k"] for r in t.scd1().collect()] == ["c"]
-
-
-def test_bucketed_compaction_rewrites_only_touched_buckets(spark, tmp):
-    import json
-
-    from tessera.session import fs_read_text
-
-    ch = C.read_changes(X.changes(spark, SMALL))
-    t = ChangeLogTable(spark, f"{tmp}/t", ["user_id"], SEQ, except_columns=C.CDF_COLUMNS, compact_every=None, buckets=16)
-    t.apply(ch.filter("user_id < 10"), 0)
-    t.compact()
-    assert ch.filter("user_id >= 10 AND user_id < 12").count() > 0
-    t.apply(ch.filter("user_id >= 10 AND user_id < 12"), 1)
-    t.compact()
-    m = json.loads(fs_read_text(spark, f"{tmp}/t/base/_MANIFEST.json"))
-    versions = set(m["buckets"].values())
-    assert m["version"] == 1 and versions == {0, 1}  # untouched buckets still point at v=0
-    want = scd1(ch.filter("user_id < 12"), ["user_id"], SEQ, except_columns=C.CDF_COLUMNS)
-    assert sorted(t.scd1().collect()) == sorted(want.collect())
-    # a key lookup reads only its bucket; the change feed stays right
-    t.apply(ch.filter("user_id = 3"), 2, emit_changes=True)
-    assert sorted(t.scd1().collect()) == sorted(want.collect())
-
-
 def test_primary_track_side_outputs(spark, tmp):
     from tessera.operators import quality as Q
 
@@ -363,15 +408,3 @@ def test_primary_track_side_outputs(spark, tmp):
     assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, want_counts.collect()))
     history = flows.gold_history(spark, f"{tmp}/tables").scd2()
     assert {r["empid"] for r in history.filter("__END_AT IS NULL").collect()} == {r["empid"] for r in read("curated").collect()}
-
-
-def test_scd1_stream_entry_point(spark, tmp):
-    from tessera.streaming import scd1_stream
-
-    ch = X.changes(spark, SMALL)
-    schema = S.write_change_log(spark, ch, f"{tmp}/log", files=3)
-    s = stream_table(spark, f"{tmp}/log", schema, maxFilesPerTrigger=1, recursiveFileLookup="true")
-    q, table = scd1_stream(s, f"{tmp}/t", f"{tmp}/ck", ["user_id"], SEQ, except_columns=C.CDF_COLUMNS, transform=C.read_changes)
-    run_to_completion(q)
-    want = scd1(C.read_changes(ch), ["user_id"], SEQ, except_columns=C.CDF_COLUMNS)
-    assert sorted(table.scd1().collect()) == sorted(want.collect())
