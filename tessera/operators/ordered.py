@@ -67,3 +67,25 @@ def next_in_key(
     Rows should be unique on (keys, order).
     """
     return lead_in_blocks(with_block_ids(ranges(df, [*keys, *order], blocks)), keys, order, out_col)
+
+
+def lag_in_blocks(blocked: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str], out_col: str = "__prev") -> DataFrame:
+    """``blocked`` with ``out_col`` = struct(carry...) of the row before within the same key, null for the first.
+
+    The mirror image of :func:`lead_in_blocks`: the last row of each block is
+    copied to the start of the block after it.  ``__blk`` stays.
+    """
+    cols = [c for c in blocked.columns if c != BLOCK]
+    place = F.struct(*[F.col(c) for c in [*keys, *order]])
+    known = [*keys, *order, *[c for c in carry if c not in (*keys, *order)]]
+    tails = blocked.groupBy(BLOCK).agg(F.max_by(F.struct(*known), place).alias("__tail"))
+    after = tails.select(F.lead(BLOCK).over(Window.orderBy(BLOCK)).alias(BLOCK), "__tail").filter(F.col(BLOCK).isNotNull())
+    copies = after.select(
+        *[F.col(f"__tail.{c}").alias(c) if c in known else F.lit(None).cast(blocked.schema[c].dataType).alias(c) for c in cols],
+        BLOCK,
+        F.lit(True).alias("__copy"),
+    )
+    rows = blocked.select(*cols, BLOCK, F.lit(False).alias("__copy")).unionByName(copies)
+    w = Window.partitionBy(BLOCK, *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    lagged = rows.withColumn(out_col, F.lag(F.struct(*[F.col(c) for c in carry])).over(w))
+    return lagged.filter(~F.col("__copy")).drop("__copy")

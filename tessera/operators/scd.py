@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.rules import as_column
-from tessera.operators.ordered import lead_in_blocks, ranges, with_block_ids
+from tessera.operators.ordered import lag_in_blocks, lead_in_blocks, ranges, with_block_ids
 
 SEQ = "__seq"
 IS_DELETE = "__is_delete"
@@ -116,23 +116,31 @@ def gc_tombstones(state: DataFrame, ts_field: str, ttl_seconds: int, now: Column
     return state.filter(~F.col(IS_DELETE) | F.coalesce(ts >= cutoff, F.lit(True)))
 
 
-def scd2_versions(staged: DataFrame, keys: Sequence[str], blocks: int | None = None) -> DataFrame:
+def scd2_versions(
+    staged: DataFrame, keys: Sequence[str], blocks: int | None = None, collapse_on: Sequence[str] | None = None
+) -> DataFrame:
     """History from staged rows: ``__START_AT`` / ``__END_AT`` (sequence structs).
 
     Every distinct sequence of a key opens a version (an unchanged row still
     makes one); a delete closes the open version and opens none.  Duplicate
-    (key, sequence, kind) rows collapse to one, chosen by the tie hash.
+    (key, sequence, kind) rows collapse to one, chosen by the tie hash; they
+    are reduced on the map side, so a third of all rows may be such.
+
+    With ``collapse_on`` a version opens only where one of these columns differs
+    from the version before (null equals null) or where none is open: a run of
+    equal versions is one, with the values of its first row.
     """
     cols = list(staged.columns)
     order = [*keys, SEQ, IS_DELETE]
-    # ranges of the grouping columns serve the aggregate too: equal rows share one
     deduped = (
-        ranges(staged, order, blocks)
-        .groupBy(*[F.col(c) for c in order])
+        staged.groupBy(*[F.col(c) for c in order])
         .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(TIE)).alias("__row"))
         .select(*[F.col(c) if c in order else F.col(f"__row.{c}").alias(c) for c in cols])
     )
-    ordered = lead_in_blocks(with_block_ids(deduped), keys, [SEQ, IS_DELETE])
+    blocked = with_block_ids(ranges(deduped, order, blocks))
+    if collapse_on is not None:
+        blocked = _run_starts(blocked, keys, list(collapse_on))
+    ordered = lead_in_blocks(blocked, keys, [SEQ, IS_DELETE])
     return (
         ordered.filter(~F.col(IS_DELETE))
         .withColumn("__START_AT", F.col(SEQ))
@@ -141,6 +149,21 @@ def scd2_versions(staged: DataFrame, keys: Sequence[str], blocks: int | None = N
     )
 
 
+def _run_starts(blocked: DataFrame, keys: Sequence[str], compared: list[str]) -> DataFrame:
+    """The changes that begin a run of equal ones: the row before is another, of another kind, or not there.
+
+    Block by block, with the last row of the block before carried over, so runs
+    and keys of any length are never gathered.
+    """
+    text = {c: F.to_json(c) for c in compared if isinstance(blocked.schema[c].dataType, T.MapType)}
+    values = F.struct(F.lit(0).alias("__none"), *[text.get(c, F.col(c)).alias(c) for c in compared])
+    told = lag_in_blocks(blocked.withColumn("__values", values), keys, [SEQ, IS_DELETE], [IS_DELETE, "__values"])
+    before = F.col(f"__prev.{IS_DELETE}")
+    # equal kinds, and of versions equal values; a delete where nothing is open tells nothing either
+    same = (F.col(IS_DELETE) & before) | (~F.col(IS_DELETE) & ~before & F.col("__prev.__values").eqNullSafe(F.col("__values")))
+    return told.filter(~F.coalesce(same, F.lit(False))).drop("__prev", "__values")
+
+
 def scd2(
     changes: DataFrame,
     keys: Sequence[str],
@@ -148,14 +171,21 @@ def scd2(
     apply_as_deletes: str | Column | None = None,
     except_columns: Sequence[str] = (),
     blocks: int | None = None,
+    collapse_unchanged: bool | Sequence[str] = False,
 ) -> DataFrame:
     """Version history per key (CDC-3; with ``apply_as_deletes`` CDC-4).
 
     ``blocks``: contiguous ranges of (key, sequence) that the history is cut
     into, each at most one task (default: the session's shuffle partitions).
+    ``collapse_unchanged`` merges neighbouring versions that are equal in the
+    columns named, or (True) in all but the keys and the sequence's columns.
     """
     staged = with_change_helpers(changes, sequence_by, apply_as_deletes, except_columns)
-    return scd2_versions(staged, keys, blocks)
+    compared = None
+    if collapse_unchanged:
+        moving = {*keys, *HELPERS, *staged.schema[SEQ].dataType.fieldNames()}
+        compared = [c for c in staged.columns if c not in moving] if collapse_unchanged is True else list(collapse_unchanged)
+    return scd2_versions(staged, keys, blocks, compared)
 
 
 def scd2_current(history: DataFrame) -> DataFrame:

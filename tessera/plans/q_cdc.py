@@ -142,6 +142,26 @@ def cdc_scd2_current(spark, sf):
     return flatten_sequence(scd2_current(h))
 
 
+@register(
+    "cdc_scd2_collapsed",
+    CHG.rstrip()
+    + f""",
+ev AS (SELECT *, _change_type = 'delete' AS del, lag(_change_type = 'delete') OVER w AS pdel, lag(event_type) OVER w AS ptype
+  FROM changes WHERE {CH_FILTER} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id, (_change_type = 'delete'))),
+runs AS (SELECT * FROM ev WHERE pdel IS NULL OR del <> pdel OR (NOT del AND event_type IS DISTINCT FROM ptype)),
+hist AS (SELECT * FROM (SELECT *, lead(ts) OVER w AS nts, lead(event_id) OVER w AS nid FROM runs
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id, del)) WHERE NOT del)
+SELECT {SCD2_OUT} FROM hist""",
+)
+def cdc_scd2_collapsed(spark, sf):
+    """Neighbouring versions of one event type are one version (CDC-3/4)."""
+    h = scd2(
+        _changes(spark, sf), ["user_id"], SEQ, apply_as_deletes="_change_type = 'delete'", except_columns=C.CDF_COLUMNS,
+        collapse_unchanged=["event_type"],
+    )
+    return flatten_sequence(h)
+
+
 FEED_TS = "2024-01-02 00:00:00"
 CF_SQL = X.with_ctes(X.SQL_SNAPSHOTS) + f"""
 SELECT k, name, bal, _change_type, CAST(2 AS BIGINT) AS _commit_version, TIMESTAMP '{FEED_TS}' AS _commit_timestamp FROM (
@@ -163,6 +183,14 @@ def cdc_change_feed(spark, sf):
     )
 
 
+@register("cdc_change_feed_digests", CF_SQL)
+def cdc_change_feed_digests(spark, sf):
+    """The same feed, with key buckets compared by digests before any row is joined (CDC-6)."""
+    return C.change_feed(
+        X.snapshot_old(spark, sf), X.snapshot_new(spark, sf), ["k"], 2, F.lit(FEED_TS).cast("timestamp_ntz"), buckets=64
+    )
+
+
 DIVERGE_SQL = SCD1_DEL_SQL.rstrip() + f""",
 b AS (SELECT {EV} FROM ranked WHERE rn = 1 AND _change_type <> 'delete'),
 clean AS (SELECT * FROM changes WHERE _commit_version IN

@@ -178,3 +178,68 @@ def test_map_columns_in_changes(spark):
     kinds = sorted(r["_change_type"] for r in C.diff_tables(old, new, ["k"]).collect())
     assert kinds == ["update_postimage", "update_preimage"]
     assert C.diff_tables(old, old, ["k"]).count() == 0
+
+
+# ------------------------------------------------------------ unchanged versions, equal changes, digests
+def _history(rows, compared):
+    """Versions (key, value, start, end) of (key, value, sequence, delete) rows, runs of equal ones merged."""
+    out = []
+    for k in {r[0] for r in rows}:
+        events, last = [], None
+        for r in sorted({r for r in rows if r[0] == k}, key=lambda r: (r[2], r[3])):
+            same = last is not None and last[3] == r[3] and (r[3] or not compared or last[1] == r[1])
+            if not (compared and same):
+                events.append(r)
+            last = r
+        for i, r in enumerate(events):
+            if not r[3]:
+                out.append((r[0], r[1], r[2], events[i + 1][2] if i + 1 < len(events) else None))
+    return sorted(out, key=str)
+
+
+def test_unchanged_versions_collapse_over_blocks(spark):
+    """A third of all rows are one key's, whose runs are far longer than a block."""
+    import random
+
+    r = random.Random(6)
+    rows, seq = [], 0
+    for _ in range(40):
+        value, gone = r.choice(["x", "y", None]), r.random() < 0.2
+        for _ in range(r.choice([1, 2, 60])):
+            seq += 1
+            rows.append(("hot", value, seq, gone))
+    rows += [(r.choice(["a", "b", "c", None]), r.choice(["x", None]), i, r.random() < 0.1) for i in range(2 * len(rows))]
+    df = spark.createDataFrame(r.sample(rows, len(rows)), "k string, v string, seq int, gone boolean")
+    for compared in (True, ["v"], False):
+        for blocks in (1, 13):
+            got = scd2(df, ["k"], "seq", "gone", except_columns=["gone"], blocks=blocks, collapse_unchanged=compared).collect()
+            flat = [(x["k"], x["v"], x["__START_AT"]["seq"], None if x["__END_AT"] is None else x["__END_AT"]["seq"]) for x in got]
+            assert sorted(flat, key=str) == _history(rows, bool(compared))
+    assert scd2(df.limit(0), ["k"], "seq", "gone", collapse_unchanged=True).count() == 0
+
+
+def test_equal_changes_are_reduced_before_they_travel(spark):
+    """Half of all rows share a null key and sequence: what the range exchange reads is one row."""
+    rows = spark.range(20000).selectExpr("IF(id % 2 = 0, NULL, id) AS k", "IF(id % 2 = 0, NULL, id) AS seq", "'v' AS v")
+    out = scd2(rows, ["k"], "seq")
+    assert out.count() == 10001
+    from tessera.operators.ordered import ranges
+    from tessera.operators.scd import IS_DELETE, SEQ, with_change_helpers
+
+    staged = with_change_helpers(rows, "seq", None)
+    plan = ranges(staged.groupBy("k", SEQ, IS_DELETE).count(), ["k", SEQ, IS_DELETE], 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("rangepartitioning") < plan.index("hashpartitioning") < plan.index("partial_count")
+
+
+def test_only_unequal_buckets_are_joined(spark):
+    schema = "k long, v string, m map<string,int>"
+    old = spark.createDataFrame([(i, f"v{i}", {"a": i}) for i in range(2000)] + [(None, None, None)], schema)
+    new = old.filter("k is null or k not in (5, 700)").withColumn("v", F.when(F.col("k") == 9, "other").otherwise(F.col("v")))
+    new = new.unionByName(spark.createDataFrame([(5000, "new", None)], schema))
+    o, n, unequal = C.changed_buckets(old, new, ["k"], 500)
+    assert unequal.count() <= 4 and o.count() < 40 and n.count() < 40
+    want = sorted(map(str, C.change_feed(old, new, ["k"], 3, "2024-01-01 00:00:00").collect()))
+    assert sorted(map(str, C.change_feed(old, new, ["k"], 3, "2024-01-01 00:00:00", buckets=500).collect())) == want and len(want) == 5
+    assert sorted(map(str, C.diff_tables(old, new, ["k"], buckets=7).collect())) == sorted(map(str, C.diff_tables(old, new, ["k"]).collect()))
+    assert C.change_feed(old, old, ["k"], 1, buckets=16).count() == 0
+    assert C.change_feed(old.limit(0), old, ["k"], 1, buckets=16).count() == 2001
