@@ -43,7 +43,7 @@ class SecretRule:
 BASE = (
     SecretRule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, True),
     SecretRule("access", r"AKIA[A-Z0-9]+", 0, 20, True),
-    SecretRule("hex", r"[0-9a-f]+", 0, 24, True),
+    SecretRule("hex", r"[0-9a-f]{24,}", 0, 24, True),  # the same spans as [0-9a-f]+ of 24 or more
 )
 MORE = (
     SecretRule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
@@ -54,6 +54,8 @@ MORE = (
     SecretRule("url_login", r"://[^\x00-\x20:/@]{1,64}:[^\x00-\x20:/@]{1,64}@"),
 )
 MAX_ALTERNATIVES = 32
+#: Matches whose spans are put into one list before the lists are joined.
+LOT = 256
 
 
 # ------------------------------------------------------------------ trigram queries
@@ -112,7 +114,8 @@ def trigram_query(regex: str) -> list[list[list[str]]]:
 def _spans(text: Column, rule: SecretRule, number: int) -> Column:
     """Array of (start, kind, end) in code points of the rule's leftmost non-overlapping matches.
 
-    The pieces between matches and the matches themselves add up to the places.
+    The pieces between matches and the matches themselves add up to the places,
+    in lots of ``LOT`` matches, as a list that grows match by match is copied each time.
     """
     cut = F.struct(
         F.split(text, rule.regex).alias("between"),
@@ -121,7 +124,7 @@ def _spans(text: Column, rule: SecretRule, number: int) -> Column:
     )
 
     def placed(x: Column) -> Column:
-        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("out"))
+        none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
         parts = F.zip_with(
             F.slice(x["between"], 1, F.size(x["whole"])),
             F.arrays_zip(x["whole"].alias("whole"), x["inner"].alias("inner")),
@@ -134,7 +137,23 @@ def _spans(text: Column, rule: SecretRule, number: int) -> Column:
             out = F.when(p["inner"] >= rule.least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
             return F.struct((start + p["len"]).alias("at"), out.alias("out"))
 
-        return F.aggregate(parts, empty, step, lambda acc: acc["out"])
+        def in_lots(parts: Column) -> Column:
+            lots = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / LOT).cast("int")), lambda i: F.slice(parts, i * LOT + 1, LOT))
+            return F.get(F.transform(F.array(lots), joined), F.lit(0))
+
+        def joined(lots: Column) -> Column:
+            start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+            length = lambda lot: F.aggregate(lot, F.lit(0), lambda n, p: n + p["skip"] + p["len"])
+            starts = F.aggregate(
+                F.transform(lots, length),
+                start,
+                lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")),
+                lambda acc: acc["all"],
+            )
+            spans = lambda lot, at: F.aggregate(lot, F.struct(at.alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+            return F.flatten(F.zip_with(lots, starts, spans))
+
+        return F.when(F.size(x["whole"]) > 0, F.get(F.transform(F.array(parts), in_lots), F.lit(0))).otherwise(none)
 
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     return F.when(text.rlike(rule.regex), F.get(F.transform(F.array(cut), placed), F.lit(0))).otherwise(none)
@@ -199,11 +218,13 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     tried = [F.when(F.array_contains("rules", i), _spans(F.col("text"), rules[i], i)).otherwise(none) for i in gated]
-    verified = (
+    # written out, so that the rows' join knows its sizes and splits a text that many rows share
+    verified = materialize(
         own.join(candidates, "k")
         .select("k", F.concat(*tried).alias("verified"))
         .groupBy("k")
-        .agg(F.first("verified").alias("verified"))  # equal texts have equal spans
+        .agg(F.first("verified").alias("verified")),  # equal texts have equal spans
+        "secret-verified",
     )
     spans = F.array_sort(F.concat("scanned", F.coalesce("verified", none)))
     return rows.join(verified, "k", "left").select(
