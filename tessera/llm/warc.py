@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import require_columns
+from tessera.llm.common import materialize, require_columns
 
 CHUNK_BYTES = 64 * 1024
 RECORDS_PER_FILE = 1024
@@ -49,12 +49,14 @@ def chunk_rows(
     own = pages.select(F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"), data.alias("data")).select(
         "*", F.octet_length("data").cast("long").alias("bytes"), F.sha2("data", 256).alias("digest")
     )
-    firsts = (
+    # written out, so that the payloads' join knows its sizes and splits a digest that many pages share
+    firsts = materialize(
         own.filter(F.col("bytes") >= min_revisit)
         .groupBy("digest")
         .agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
-        .select("digest", "first")
+        .select("digest", "first"),
+        "warc-firsts",
     )
     revisits = F.col("first").isNotNull() & (F.col("page").isNull() | (F.col("page") > F.col("first")))
     records = own.join(firsts, "digest", "left").select(
