@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.dates import as_of_column, whole_years_between
 from tessera.operators import quality as Q
 from tessera.operators.derive import add_derived, employee_derivations
 from tessera.operators.scd import scd1
@@ -72,6 +73,19 @@ def prj_is_bad(spark, sf):
     return enforced.select("row_id", "_is_bad", compat.alias("_is_bad_compat"))
 
 
+@register("prj_is_bad_compat", STAFF + "SELECT row_id, _is_bad FROM staff_enforced")
+def prj_is_bad_compat(spark, sf):
+    """The compat flag (a rescued field is not null) agrees with the default one on a nullable schema (PRJ-3)."""
+    return X.staff_enforced(spark, sf, compat=True).select("row_id", "_is_bad")
+
+
+@register("prj_age_today", STAFF + "SELECT row_id, CAST(floor(datesub('month', dob, current_date) / 12) AS BIGINT) AS age FROM staff")
+def prj_age_today(spark, sf):
+    """Whole years up to current_date, where no date is given."""
+    age = whole_years_between(as_of_column(None), "dob").cast("bigint")
+    return X.staff(spark, sf).select("row_id", age.alias("age"))
+
+
 @register(
     "prj_enforce_with_change_type",
     STAFF_CHANGES + f"SELECT row_id, _change_type, {TYPED_OUT}, _is_bad FROM chg_enforced",

@@ -11,11 +11,11 @@ from tessera.plans import fixtures as X
 from tessera.plans import flows
 from tessera.plans import staging as S
 from tessera.plans.q_cdc import EV, SCD1_DEL_SQL, SCD2_DEL_SQL, SCD2_OUT, SEQ
-from tessera.plans.q_quality import DERIVED_SQL, EXPECT_SQL, STAFF, STAFF_CHANGES, TYPED_OUT, _changes_enforced
+from tessera.plans.q_quality import DERIVED_SQL, EXPECT_SQL, STAFF, STAFF_CHANGES, TAG_SQL, TYPED_OUT, _changes_enforced
 from tessera.plans.q_sources import RAW_SQL
 from tessera.plans.registry import comparable, register
 from tessera.session import scratch_path
-from tessera.sinks.tables import append_table, run_to_completion
+from tessera.sinks.tables import append_table, run_to_completion, start_stream
 from tessera.sources.files import csv_stream, stream_table
 from tessera.streaming.history import scd2_stream
 from tessera.operators.metrics import employee_metrics
@@ -179,7 +179,7 @@ def propagate(spark, sf, name="cdc_propagate", arrival="in_order", files=6, chan
 
 # One row per commit.  o numbers the rows by silver sequence, so a running max of o
 # names the row that is the key's state after each commit; feeds are its changes.
-PROPAGATE_SQL = STAFF_CHANGES.rstrip() + f""",
+FEED_SQL = STAFF_CHANGES.rstrip() + """,
 good AS (SELECT *, row_number() OVER (ORDER BY upd_tmst NULLS FIRST, create_tmst NULLS FIRST, row_id) AS o
   FROM chg_enforced WHERE _change_type = 'delete' OR NOT _is_bad),
 st AS (SELECT empid, _commit_version AS v,
@@ -187,7 +187,8 @@ st AS (SELECT empid, _commit_version AS v,
     max(o) OVER (PARTITION BY empid ORDER BY _commit_version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM good),
 live AS (SELECT st.*, ra._change_type <> 'delete' AS al, coalesce(rb._change_type <> 'delete', FALSE) AS bl
   FROM st JOIN good ra ON ra.o = st.a LEFT JOIN good rb ON rb.o = st.b),
-feed1 AS (SELECT v, CASE WHEN al THEN a ELSE b END AS o, NOT al AS del FROM live WHERE (al AND a IS DISTINCT FROM b) OR (bl AND NOT al)),
+feed1 AS (SELECT v, CASE WHEN al THEN a ELSE b END AS o, NOT al AS del FROM live WHERE (al AND a IS DISTINCT FROM b) OR (bl AND NOT al))"""
+PROPAGATE_SQL = FEED_SQL + f""",
 gated AS (SELECT feed1.v, feed1.o, feed1.del, g.empid FROM feed1 JOIN good g ON g.o = feed1.o
   WHERE feed1.del OR (g.dob IS NOT NULL AND g.empid IS NOT NULL AND g.salary > 0)),
 cur AS (SELECT *, lag(o) OVER w AS b, coalesce(NOT lag(del) OVER w, FALSE) AS bl FROM gated WINDOW w AS (PARTITION BY empid ORDER BY v)),
@@ -206,3 +207,39 @@ def cdc_propagate_hops(spark, sf):
     """Raw change log -> silver SCD1 -> curated SCD1 -> gold SCD2 through change feeds (CDC-7)."""
     t = propagate(spark, sf)
     return comparable(flatten_sequence(t.gold.scd2()))
+
+
+def _manual_sql(side):
+    """The last change of each key on one side of the quarantine; deletes reach both sides."""
+    return FEED_SQL + f""",
+tagged AS (SELECT *, {TAG_SQL} AS quarantine_reason FROM (SELECT g.*, f.v, f.del FROM feed1 f JOIN good g ON g.o = f.o)),
+target AS (SELECT *, row_number() OVER (PARTITION BY empid ORDER BY v DESC) AS rn FROM tagged WHERE del OR length(quarantine_reason) {side} 0)
+SELECT row_id, {TYPED_OUT} FROM target WHERE rn = 1 AND NOT del"""
+
+
+@register("dq_propagate_manual_curated", _manual_sql("="))
+def dq_propagate_manual_curated(spark, sf):
+    """Quarantine staging by change feeds, its good target: a row that turned bad leaves its last good version (DQ-8)."""
+    t = propagate(spark, sf, "dq_manual_curated")
+    return comparable(t.manual_curated.scd1().select("row_id", *X.SILVER_COLUMNS))
+
+
+@register("dq_propagate_manual_bad", _manual_sql(">"))
+def dq_propagate_manual_bad(spark, sf):
+    """The same branch's quarantine target (DQ-8)."""
+    t = propagate(spark, sf, "dq_manual_bad")
+    return comparable(t.manual_bad.scd1().select("row_id", *X.SILVER_COLUMNS))
+
+
+@register("str_processing_time", RAW_SQL)
+def str_processing_time(spark, sf):
+    """A processingTime trigger: batches of two files a second until all files are in, then stopped (STR-2)."""
+    base = scratch_path(spark, "str_processing")
+    S.write_csv(X.staff_raw(spark, sf), f"{base}/in", files=4)
+    rows = csv_stream(spark, f"{base}/in", S.STAFF_FILE_SCHEMA, max_files=2)
+    query = start_stream(rows, f"{base}/out", f"{base}/ck", trigger="processingTime", interval="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return comparable(spark.read.parquet(f"{base}/out"))
