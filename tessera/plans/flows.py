@@ -103,26 +103,17 @@ def run_primary(
         raise FileNotFoundError(f"no input files under {raw_dir}")
     run_to_completion(foreach_batch(_stream_dir(spark, f"{base}/raw"), silver, f"{ck}/silver"))
 
-    # hop 3: silver -> curated (drop rules), what they drop, and the rules' counts
-    _curated_hop(spark, base, ck)
-
-    # hop 3b: silver -> tagged staging -> manual curated and bad, from one read of each batch
-    def quarantine(batch: DataFrame, batch_id: int) -> None:
-        tagged = Q.tag_violations(batch).persist()
-        try:
-            tagged.write.mode("overwrite").partitionBy("is_quarantined").parquet(f"{base}/silver_quarantine/batch_id={batch_id}")
-            ok, bad = Q.split_quarantine(tagged)
-            ok.write.mode("overwrite").parquet(f"{base}/curated_manual/batch_id={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{base}/curated_manual_bad/batch_id={batch_id}")
-        finally:
-            tagged.unpersist()
-
-    run_to_completion(foreach_batch(_stream_dir(spark, f"{base}/silver"), quarantine, f"{ck}/quarantine"))
+    # hop 3: silver -> curated (drop rules), what they drop, the rules' counts; and the quarantine
+    # branch (tagged staging, manual curated and bad), all from one read of each batch
+    _curated_hop(spark, base, ck, quarantine=True)
     return _gold_hop(spark, base, ck, as_of, keys, order_desc)
 
 
-def _curated_hop(spark: SparkSession, base: str, ck: str) -> None:
-    """silver -> curated, curated_bad and curated_counts (rule, passed, failed of each batch)."""
+def _curated_hop(spark: SparkSession, base: str, ck: str, quarantine: bool = False) -> None:
+    """silver -> curated, curated_bad and curated_counts (rule, passed, failed of each batch).
+
+    With ``quarantine`` also silver_quarantine, partitioned by its flag, and the
+    two tables that it splits into."""
     rules = Q.CURATED_DROP_RULES
 
     def curated(batch: DataFrame, batch_id: int) -> None:
@@ -132,6 +123,12 @@ def _curated_hop(spark: SparkSession, base: str, ck: str) -> None:
             Q.quarantine_complement(batch, rules).write.mode("overwrite").parquet(f"{base}/curated_bad/batch_id={batch_id}")
             counts = Q.expectation_counts(batch, {**rules, **Q.CURATED_WARN_RULES})
             counts.write.mode("overwrite").parquet(f"{base}/curated_counts/batch_id={batch_id}")
+            if quarantine:
+                tagged = Q.tag_violations(batch)
+                tagged.write.mode("overwrite").partitionBy("is_quarantined").parquet(f"{base}/silver_quarantine/batch_id={batch_id}")
+                ok, bad = Q.split_quarantine(tagged)
+                ok.write.mode("overwrite").parquet(f"{base}/curated_manual/batch_id={batch_id}")
+                bad.write.mode("overwrite").parquet(f"{base}/curated_manual_bad/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
