@@ -13,9 +13,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import BLANKS, free_names, hash_key, materialize, prefix_sums, require_columns, word_array
 
+#: Copies of one row that one task writes.
+LOT = 1_000
 WEIGHTS = (3.0, 1.0, 2.0)
 
 
@@ -55,6 +58,7 @@ def mix(
     share: float = 1.5,
     cap: float = 2.0,
     seed: str = "mix",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """How many words of each document the mix takes; one row for each input row.
 
@@ -67,9 +71,10 @@ def mix(
     A null text has size 0; a null source is a source of its own, the last;
     null ids and repeated rows take part one by one (which of two equal rows is
     cut is not defined, the set of answers is).  Sources without words have
-    target 0.  An empty table gives no rows.  Other columns are ignored.
+    target 0.  An empty table gives no rows.  Other columns are ignored, but
+    those in ``keep`` come out too.
     """
-    require_columns(docs, id_col, text_col, source_col)
+    require_columns(docs, id_col, text_col, source_col, *keep)
     rows = materialize(
         docs.select(
             F.col(id_col).alias("id"),
@@ -77,6 +82,7 @@ def mix(
             F.xxhash64(F.lit(2), F.col(text_col).isNull(), F.col(text_col)).alias("text_hash"),
             word_count(F.col(text_col)).alias("size"),
             hash_key(F.lit(seed), F.col(id_col), F.md5(F.col(text_col))).alias("key"),
+            *[F.col(c).alias(f"__keep{i}") for i, c in enumerate(keep)],
         ),
         "mix-rows",
     )
@@ -103,6 +109,7 @@ def mix(
             F.col("epochs").cast("long").alias("epochs"),
             "partial",
             (F.col("epochs") * F.col("size") + F.col("partial")).cast("long").alias("taken"),
+            *[F.col(f"__keep{i}").alias(c) for i, c in enumerate(keep)],
         )
     )
 
@@ -111,27 +118,40 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` (its columns, of whatever name) with each row as often as the mix takes it.
 
     The copy in which a source's budget ends keeps as many words as are taken,
-    joined by single blanks.  Documents without words are not taken.
+    joined by single blanks.  Documents without words are not taken.  Rows are
+    told apart by all of their columns (two 64-bit hashes), so rows of one id and
+    text keep their sources and other values; rows that are equal in all of them
+    stand for each other, and each is copied by itself, however many there are.
     """
     names = docs.columns
-    k1, k2, n_whole, n_piece, n_copy = free_names(docs, "__k1", "__k2", "__whole", "__piece", "__n")
-    i, t = F.col(id_col), F.col(text_col)
-    whole = F.col("epochs") + ((F.col("partial") == F.col("size")) & (F.col("size") > 0)).cast("long")
-    piece = F.when((F.col("partial") > 0) & (F.col("partial") < F.col("size")), F.col("partial"))
-    taken = (
-        mix(docs, id_col, text_col, source_col, **how)
-        .filter("taken > 0")
-        .groupBy(F.xxhash64(F.lit(1), F.col(id_col).isNull(), F.col(id_col)).alias(k1), F.col("text_hash").alias(k2))
-        .agg(F.sum(whole).alias(n_whole), F.max(piece).alias(n_piece))  # more than one row only for repeated ones
-    )
-    own = docs.withColumns({k1: F.xxhash64(F.lit(1), i.isNull(), i), k2: F.xxhash64(F.lit(2), t.isNull(), t)})
-    # of equal rows the first stands for all
-    first = own.join(taken, [k1, k2]).dropDuplicates([k1, k2])
-    uncut = F.lit(-1).cast("long")
-    copies = F.concat(
-        F.array_repeat(uncut, F.col(n_whole).cast("int")),
-        F.when(F.col(n_piece).isNotNull(), F.array(n_piece)).otherwise(F.array().cast("array<bigint>")),
+    k1, k2, n_copy = free_names(docs, "__k1", "__k2", "__n")
+    plain = [F.to_json(c) if isinstance(docs.schema[c].dataType, T.MapType) else F.col(c) for c in names]
+    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in names])
+    own = docs.withColumns({k: F.xxhash64(F.lit(i), nulls, *plain) for i, k in enumerate((k1, k2))})
+    text_size = F.col("size") > 0
+    plan = mix(own, id_col, text_col, source_col, keep=[k1, k2], **how).select(
+        k1,
+        k2,
+        F.when(text_size, F.col("epochs")).otherwise(F.lit(0)).alias("e"),
+        (text_size & (F.col("partial") == F.col("size"))).cast("long").alias("x"),
+        F.when((F.col("partial") > 0) & (F.col("partial") < F.col("size")), F.col("partial")).alias("p"),
     )
+    # equal rows have one source, hence the same epochs; its budget may end among them
+    per = plan.groupBy(k1, k2).agg(F.max("e").alias("e"), F.sum("x").alias("x"), F.count(F.lit(1)).alias("m"), F.max("p").alias("p"))
+    per = materialize(per, "mix-plan")
+    every = F.col("e") + (F.col("x") == F.col("m")).cast("long")
+    whole = own.join(per.select(k1, k2, every.alias(n_copy)).filter(F.col(n_copy) > 0), [k1, k2])
+    whole = whole.withColumn(n_copy, F.explode(F.array_repeat(F.lit(-1).cast("long"), F.col(n_copy).cast("int"))))
+    # the rows in which a budget ends, at most one kind for each source: some of them once more, one in part
+    rest = F.when(F.col("x") < F.col("m"), F.col("x")).otherwise(F.lit(0))
+    ends = materialize(per.select(k1, k2, rest.alias("__rest"), F.col("p").alias("__p")).filter("__rest > 0 OR __p IS NOT NULL"), "mix-ends")
+    some = own.join(ends, [k1, k2]).dropDuplicates([k1, k2])
+    lots = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"__rest div {LOT}")))
+    again = some.filter("__rest > 0").withColumn("__lot", lots).repartition(F.rand(7))  # lots of copies, one task each
+    left = F.least(F.lit(LOT), F.col("__rest") - F.col("__lot") * LOT).cast("int")
+    again = again.withColumn(n_copy, F.explode(F.array_repeat(F.lit(-1).cast("long"), left)))
+    part = some.filter("__p IS NOT NULL").withColumn(n_copy, F.col("__p"))
     cut = F.array_join(F.slice(word_array(F.col(text_col), BLANKS), F.lit(1), F.col(n_copy).cast("int")), " ")
     text = F.when(F.col(n_copy) < 0, F.col(text_col)).otherwise(cut)
-    return first.withColumn(n_copy, F.explode(copies)).select(*[text.alias(c) if c == text_col else F.col(c) for c in names])
+    out = [text.alias(c) if c == text_col else F.col(c) for c in names]
+    return whole.select(*out).unionByName(again.select(*out)).unionByName(part.select(*out))
