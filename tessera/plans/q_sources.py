@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tessera.plans import fixtures as X
 from tessera.plans import staging as S
 from tessera.plans.registry import comparable, register
-from tessera.session import scratch_path
+from tessera.session import fs_tree_size, scratch_path
 from tessera.sinks.tables import append_table, run_to_completion
 from tessera.sources import files as SF
 from tessera.sources import rescue as R
@@ -327,6 +327,12 @@ def small_blocks(spark, size):
             spark.conf.set(k, v)
 
 
+def block_bytes(spark, path, blocks=256, least=16 << 10, most=32 << 20):
+    """The size that cuts the files below ``path`` into about ``blocks`` blocks, within bounds: many
+    blocks a file, but not more tasks the larger the files are."""
+    return min(max(least, -(-fs_tree_size(spark, path) // blocks)), most)
+
+
 @register(
     "src_rescued_multiline",
     RESCUE_SQL.replace(RAW_OUT, RAW_OUT.replace("empname,", f"{NOTE_SQL} AS empname,")),
@@ -335,7 +341,7 @@ def src_rescued_multiline(spark, sf):
     """Quoted fields with line feeds, read by header name over many blocks a file (SRC-8, SRC-12)."""
     base = scratch_path(spark, "src_multiline")
     _two_header_files(spark, sf, base, change={"empname": F.when(F.col("row_id") % 3 == 0, note()).otherwise(F.col("empname"))}, quoteAll="true")
-    with small_blocks(spark, 16 << 10):
+    with small_blocks(spark, block_bytes(spark, f"{base}/in")):
         rows = R.read_csv_rescued(spark, f"{base}/in", S.STAFF_FILE_SCHEMA, recursive=True, multi_line=True)
         rows.write.parquet(f"{base}/out")
     return comparable(spark.read.schema(rows.schema).parquet(f"{base}/out"))
