@@ -19,6 +19,8 @@ STAFF_CSV_SCHEMA = T.StructType([T.StructField("row_id", T.LongType()), *X.RAW_S
 STAFF_COLUMNS = ["row_id", *[f.name for f in X.RAW_SCHEMA.fields if f.name != "_corrupt_record"]]
 STAFF_FILE_SCHEMA = T.StructType([f for f in STAFF_CSV_SCHEMA.fields if f.name != "_corrupt_record"])
 SPLIT_DATE = "1998-01-01"
+ROWS_PER_FILE = 4_000_000
+LOG_BLOCK_BYTES = 4 << 20  # row groups of a change log: a micro-batch of one file is read by many tasks
 
 
 def joined_before(cutoff: str = SPLIT_DATE) -> Column:
@@ -27,7 +29,9 @@ def joined_before(cutoff: str = SPLIT_DATE) -> Column:
 
 
 def write_csv(df: DataFrame, path: str, files: int = 4, header: bool = True, mode: str = "overwrite", **opts) -> None:
-    w = df.repartition(files).write.mode(mode).option("header", str(header).lower())
+    """Write ``files`` CSV files; more of them where one would get over ``ROWS_PER_FILE`` rows, as a file is one task's."""
+    n = max(files, -(-df.count() // ROWS_PER_FILE))
+    w = df.repartition(n).write.mode(mode).option("header", str(header).lower())
     for k, v in opts.items():
         w = w.option(k, str(v))
     w.csv(path)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.plans import staging as S
 from tessera.plans.q_sources import block_bytes, small_blocks
-from tessera.session import fs_tree_size
+from tessera.session import fs_list, fs_tree_size
 from tessera.sources.rescue import csv_lines
 
 
@@ -18,3 +19,12 @@ def test_blocks_do_not_grow_with_the_files(spark, tmp):
         assert 2 < lines.rdd.getNumPartitions() <= 258 < fs_tree_size(spark, tmp) // (16 << 10)
         assert lines.count() == 160_000
     assert block_bytes(spark, tmp, blocks=1 << 20) == 16 << 10  # small files: blocks as before
+
+
+def test_csv_files_are_bounded(spark, tmp, monkeypatch):
+    monkeypatch.setattr(S, "ROWS_PER_FILE", 100)
+    S.write_csv(spark.range(1000), f"{tmp}/many", files=2)
+    S.write_csv(spark.range(150), f"{tmp}/few", files=4)
+    names = lambda at: [n for n, *_ in fs_list(spark, f"{tmp}/{at}") if n.endswith(".csv")]
+    assert len(names("many")) == 10 and len(names("few")) == 4
+    assert sorted(int(r["id"]) for r in spark.read.csv(f"{tmp}/many", header=True).collect()) == list(range(1000))
