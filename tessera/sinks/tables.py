@@ -109,6 +109,8 @@ def foreach_row(stream_df: DataFrame, writer, checkpoint: str, trigger: str = "a
 # ------------------------------------------------------------------ batch
 # Target file sizes of the layers (fixed values of the reference's tables).
 TARGET_FILE_BYTES = {"raw": 1 << 30, "silver": 1 << 30, "curated": 1 << 30, "gold": 256 << 20}
+# Shuffled bytes that one task sorts for a clustered file; in memory the rows take about four times as many.
+SORT_BYTES = 128 << 20
 
 
 def _common_prefix(a: str, b: str) -> int:
@@ -175,7 +177,8 @@ def clustered_write(
     file covers a narrow key range and Parquet min/max statistics skip files
     and row groups for filters on those columns.  The session's shuffle
     partitions give the ranges; AQE joins neighbours by the bytes it measured
-    up to ``target_file_bytes`` (one file per range).
+    up to ``target_file_bytes`` (one file per range), but no further than
+    ``SORT_BYTES``: a range is sorted in one task's memory.
 
     In the order of ``cols`` only filters on the first column skip much; with
     ``curve`` the files follow :func:`curve_key` and those on each column do."""
@@ -188,7 +191,7 @@ def clustered_write(
     w = out.write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
-    with advisory_size(df.sparkSession, target_file_bytes):
+    with advisory_size(df.sparkSession, min(target_file_bytes, SORT_BYTES) if target_file_bytes else None):
         w.parquet(path)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.plans import staging as S
 from tessera.plans.q_sources import block_bytes, small_blocks
 from tessera.session import fs_list, fs_tree_size
+from tessera.sinks import tables as K
 from tessera.sources.rescue import csv_lines
 
 
@@ -28,3 +29,13 @@ def test_csv_files_are_bounded(spark, tmp, monkeypatch):
     names = lambda at: [n for n, *_ in fs_list(spark, f"{tmp}/{at}") if n.endswith(".csv")]
     assert len(names("many")) == 10 and len(names("few")) == 4
     assert sorted(int(r["id"]) for r in spark.read.csv(f"{tmp}/many", header=True).collect()) == list(range(1000))
+
+
+def test_clustered_ranges_are_bounded(spark, tmp, monkeypatch):
+    monkeypatch.setattr(K, "SORT_BYTES", 100_000)
+    rows = spark.range(100_000).select((F.col("id") * 7919 % 100_003).alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+    K.clustered_write(rows, ["k"], tmp)
+    back = spark.read.parquet(tmp)
+    ends = sorted((r["lo"], r["hi"]) for r in back.groupBy(F.input_file_name()).agg(F.min("k").alias("lo"), F.max("k").alias("hi")).collect())
+    assert len(ends) > 1 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+    assert back.exceptAll(rows).isEmpty() and back.count() == 100_000
