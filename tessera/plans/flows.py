@@ -160,6 +160,11 @@ def _read_log(spark: SparkSession, log_dir: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(log_dir)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over as many tasks as the session shuffles to."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 # ------------------------------------------------------------------ ignore
 def run_ignore(
     spark: SparkSession,
@@ -255,7 +260,8 @@ def run_propagate(
 
     # hop 1: raw change feed -> enforce -> silver SCD1 and silver-bad SCD1 (deletes reach both)
     def hop1(batch: DataFrame, batch_id: int) -> None:
-        commits = whole_commits(batch, _read_log(spark, log_dir, log_schema))
+        # the log's splits are cut for the whole log: a batch's rows may all be in a few of them
+        commits = spread(whole_commits(batch, _read_log(spark, log_dir, log_schema)))
         enforced = _enforce(read_changes(commits), silver_schema, [*keep, *CDF_COLUMNS]).persist()
         try:
             good, bad = Q.split_enforced_changes(enforced)

@@ -83,9 +83,10 @@ def write_change_log(
     (
         changes.withColumn("__bucket", bucket)
         .withColumn("__part", part)
-        .repartition(files * parts, "__bucket", "__part")
+        .repartitionById(files * parts, F.coalesce(F.col("__bucket") * parts + F.col("__part"), F.lit(0)))
         .sortWithinPartitions("_commit_version")
         .write.mode("overwrite")
+        .option("parquet.block.size", str(LOG_BLOCK_BYTES))
         .partitionBy("__bucket", "__part")
         .parquet(path)
     )

@@ -145,22 +145,19 @@ def curve_key(df: DataFrame, cols: Sequence[str], bits: int = 5) -> Column:
         return F.unix_date(c) if isinstance(kind, T.DateType) else F.col(c).cast("double")
 
     images = {c: image(c) for c in cols}
-    def below(value: Column, bounds: list) -> Column:
-        """How many of the bounds the value has reached."""
-        if not bounds:
-            return F.lit(0)
-        reached = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= value)
-        return F.when(value.isNull(), F.lit(0)).otherwise(F.size(reached))
+
+    def dealt(number: int, i: int) -> int:
+        """The bits of column ``i``'s range number at their places on the curve."""
+        return sum(((number >> bit) & 1) << (bit * len(cols) + (len(cols) - 1 - i)) for bit in range(bits))
 
     at = [k / 2**bits for k in range(1, 2**bits)]
     cuts = df.agg(*[F.percentile_approx(images[c], at, 10_000).alias(f"c{i}") for i, c in enumerate(cols)]).first()
     key = F.lit(0).cast("long")
     for i, c in enumerate(cols):
         bounds = sorted(set(cuts[f"c{i}"] or []))
-        number = below(images[c], bounds).cast("long")
-        for bit in range(bits):
-            place = bit * len(cols) + (len(cols) - 1 - i)
-            key = key + F.shiftleft(F.shiftright(number, bit).bitwiseAND(1), place)
+        # each bound that the value has reached adds its step; no lambda, so the steps are compiled
+        for n, bound in enumerate(bounds, 1):
+            key = key + F.when(images[c] >= F.lit(bound), F.lit(dealt(n, i) - dealt(n - 1, i)).cast("long")).otherwise(F.lit(0).cast("long"))
     return key
 
 
