@@ -26,6 +26,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Keys in one row of a packed table.
+PACK = 16
+
+
+def listed(rows: DataFrame, key: str, keys: DataFrame, most: int, how: str = "left_semi") -> DataFrame:
+    """The ``rows`` whose long ``key`` is in ``keys`` (its one column, distinct, not null); how: or ``left_anti``.
+
+    Up to ``most`` keys are broadcast, ``PACK`` of them to a row: about 12 bytes each,
+    where a hash table of single longs takes 70 to 110 and the driver holds several
+    copies while it builds one.  Beyond it, a shuffle join: files of hashes say too
+    little about their rows to leave that to their size.
+    """
+    n = keys.count()
+    k, p, ks = free_names(rows, "__key", "__p", "__ks")
+    keys = keys.toDF(k)
+    if n > most:
+        return rows.join(keys.hint("merge"), F.col(key) == F.col(k), how)
+    pack = lambda c: F.pmod(F.col(c), F.lit(max(1, -(-n // PACK))))
+    packed = keys.groupBy(pack(k).alias(p)).agg(F.collect_list(k).alias(ks))
+    return rows.join(F.broadcast(packed), (pack(key) == F.col(p)) & F.array_contains(F.col(ks), F.col(key)), how)
+
+
 def require_columns(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:

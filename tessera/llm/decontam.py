@@ -28,14 +28,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import NOT_WORD, free_names, materialize, require_columns, word_array
+from tessera.llm.common import NOT_WORD, free_names, listed, materialize, require_columns, word_array
 
 SHINGLE = 5
 SIMILARITY = 0.8
 MAX_BITS = 24
 #: Items of so few shingles skip the radius: ties of their bit counts widen the distance.
 EXACT_SHINGLES = 5
-#: Distinct benchmark shingles up to which their hash table is broadcast (16 bytes each); beyond it, a shuffle join.
+#: Distinct benchmark shingles up to which they are broadcast, packed; beyond it, a shuffle join.
 BROADCAST_SHINGLES = 2_000_000
 #: The same for the 8-byte keys of texts that share a shingle with the benchmark.
 BROADCAST_TEXTS = 2_000_000
@@ -136,20 +136,15 @@ def leaks(
         "leak-index",
     )
     known = index.select("h").distinct()
-    if known.count() <= BROADCAST_SHINGLES:
-        known = F.broadcast(known)
     key = F.xxhash64(F.lit(2), F.col(text_col).isNull(), F.col(text_col))
     shingled = docs.select(key.alias("k"), shingle_hashes(F.col(text_col), shingle).alias("hs"))
     # shared shingles; rows of equal texts answer for each other
-    hits = materialize(
-        shingled.select("k", F.posexplode("hs").alias("pos", "h")).join(known, "h").select("k", "pos", "h").distinct(), "leak-hits"
-    )
+    at = shingled.select("k", F.posexplode("hs").alias("pos", "h"))
+    hits = materialize(listed(at, "h", known, BROADCAST_SHINGLES).distinct(), "leak-hits")
     near = materialize(hits.select("k").distinct(), "leak-near")
-    if near.count() <= BROADCAST_TEXTS:
-        near = F.broadcast(near)  # else whole texts are shuffled to find the few with shared shingles
+    # beyond the limit whole texts are shuffled to find the few with shared shingles
     texts = materialize(
-        docs.select(key.alias("k"), F.col(text_col).alias("t"))
-        .join(near, "k", "left_semi")
+        listed(docs.select(key.alias("k"), F.col(text_col).alias("t")), "k", near, BROADCAST_TEXTS)
         .groupBy("k")
         .agg(F.first("t").alias("t"))
         .select("k", shingle_hashes(F.col("t"), shingle).alias("hs")),
@@ -181,7 +176,8 @@ def leaks(
     whole = items.select("version", F.explode(occurrences(F.col("hs"))).alias("h"))
     item_fp = simhash(whole, ["version"], "h").withColumnRenamed("fp", "item_fp")
     blocks = lambda c: F.explode(hamming_blocks(F.col(c), max_bits)).alias("b")
-    mine = spans.join(window_fp, ["k", "n", "start"]).select("k", "n", "start", "version", "fp", blocks("fp")).select("*", "b.*")
+    # the spans' file is far smaller than their rows, so its size must not choose a broadcast
+    mine = spans.join(window_fp.hint("merge"), ["k", "n", "start"]).select("k", "n", "start", "version", "fp", blocks("fp")).select("*", "b.*")
     theirs = item_fp.select("version", "item_fp", blocks("item_fp")).select("version", "item_fp", "b.*")
     close = (
         mine.join(theirs, ["version", "block", "bits"])
@@ -256,4 +252,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     t = F.col(text_col)
     (k,) = free_names(docs, "__k")
     bad = materialize(leaks(docs, benchmark, text_col, **how).select(F.col("__k").alias(k)).distinct(), "leak-found")
-    return docs.withColumn(k, F.xxhash64(F.lit(2), t.isNull(), t)).join(bad, k, "left_anti").drop(k)
+    own = docs.withColumn(k, F.xxhash64(F.lit(2), t.isNull(), t))
+    return listed(own, k, bad, BROADCAST_TEXTS, "left_anti").drop(k)

@@ -9,6 +9,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.llm import decontam
+from tessera.llm.common import PACK, listed
 from tessera.llm.decontam import contaminated, drop_contaminated, hamming_blocks, occurrences
 
 DOCS = "doc_id long, text string, items string"  # a clashing extra column
@@ -110,3 +112,49 @@ def test_occurrences_are_numbered(spark):
     df = spark.createDataFrame([([5, 7, 5, 5, 9, 7],), ([7, 5, 5, 7, 5, 9],), ([5, 7],), ([],), ([5] * 300,)], "hs array<long>")
     a, b, c, d, e = [x["o"] for x in df.select(occurrences(F.col("hs")).alias("o")).collect()]
     assert a == b and len(set(a)) == 6 and set(c) < set(a) and d == [] and len(set(e)) == 300 and len(set(a) & set(e)) == 3
+
+
+def broadcasts(plan):
+    """Rows of each broadcast in a plan that has run."""
+    kind, out = plan.getClass().getSimpleName(), []
+    if kind == "AdaptiveSparkPlanExec":
+        return broadcasts(plan.executedPlan())
+    if kind == "BroadcastExchangeExec":
+        out.append(plan.metrics().apply("numOutputRows").value())
+    below = [plan.plan()] if kind.endswith("QueryStageExec") else [plan.children().apply(i) for i in range(plan.children().size())]
+    return out + [n for x in below for n in broadcasts(x)]
+
+
+def test_driver_holds_no_row_for_each_text(spark, monkeypatch):
+    """All texts share a shingle with the benchmark, and all windows are in one small file."""
+    n, rows, joins = 4000, {}, {}
+
+    def watched(df, name):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        rows[name], joins[name] = broadcasts(plan), plan.toString()
+        return kept(df, name)
+
+    kept = decontam.materialize
+    monkeypatch.setattr(decontam, "materialize", watched)
+    body = "one two three four five six seven eight"
+    items = spark.createDataFrame([(1, body), (2, body + " nine ten eleven")], "item_id long, text string")
+    i = F.col("id").cast("string")
+    text = F.concat_ws(" ", F.concat(F.lit("a"), i), F.lit(body), F.concat(F.lit("b"), i))
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") < n - 9, text).otherwise("none").alias("text"))
+    assert sorted(r["doc_id"] for r in drop_contaminated(docs, items).collect()) == list(range(n - 9, n))
+    assert max(rows["leak-texts"]) <= n // PACK + 1
+    assert not re.search(r"BroadcastHashJoin \[k#\d+L, n#\d+, start#", joins["leak-found"])
+
+
+@pytest.mark.parametrize("most", [2_000, 10])
+def test_listed_is_a_semi_or_anti_join(spark, most):
+    keys = spark.range(1_000).select((F.col("id") * 7 - 3_000).alias("h")).distinct()
+    own = spark.range(-4_000, 4_000).select(F.when(F.col("id") % 5 != 0, F.col("id")).alias("h"), F.lit("x").alias("__p"), F.lit(1).alias("__key"))
+    own = own.unionByName(own)
+    want = {x * 7 - 3_000 for x in range(1_000)}
+    have = sorted(r["h"] for r in listed(own, "h", keys, most).collect())
+    assert have == sorted(x for x in [*range(-4_000, 4_000)] * 2 if x % 5 and x in want)
+    rest = listed(own, "h", keys, most, "left_anti")
+    assert rest.columns == own.columns and rest.count() == own.count() - len(have)
+    assert listed(own, "h", keys.limit(0), most).count() == 0
