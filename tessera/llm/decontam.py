@@ -170,13 +170,13 @@ def leaks(
     )
     spans = materialize(reach, "leak-windows")
     windows = spans.select("k", "n", "start").distinct()
-    held = windows.join(texts, "k").select("k", "n", "start", F.slice("hs", F.col("start") + 1, F.col("n")).alias("w"))
+    # the windows' file is far smaller than their rows: by its size the driver would get them all as a broadcast
+    held = windows.join(texts.hint("merge"), "k").select("k", "n", "start", F.slice("hs", F.col("start") + 1, F.col("n")).alias("w"))
     content = held.select("k", "n", "start", F.explode(occurrences(F.col("w"))).alias("h"))
     window_fp = simhash(content, ["k", "n", "start"], "h")
     whole = items.select("version", F.explode(occurrences(F.col("hs"))).alias("h"))
     item_fp = simhash(whole, ["version"], "h").withColumnRenamed("fp", "item_fp")
     blocks = lambda c: F.explode(hamming_blocks(F.col(c), max_bits)).alias("b")
-    # the spans' file is far smaller than their rows, so its size must not choose a broadcast
     mine = spans.join(window_fp.hint("merge"), ["k", "n", "start"]).select("k", "n", "start", "version", "fp", blocks("fp")).select("*", "b.*")
     theirs = item_fp.select("version", "item_fp", blocks("item_fp")).select("version", "item_fp", "b.*")
     close = (
